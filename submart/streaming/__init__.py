@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The jobs this library rebuilds are batch only; they have no stream source,
+watermark, event-time window or state store.  Late data is handled in batch:
+every usage run re-reads a trailing window of days and overwrites exactly
+those day partitions (see ``submart.sources.sinks.overwrite_partitions``),
+so late rows are restated on the next run.
+"""
