@@ -54,11 +54,15 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                     hot_key_rows: int | None = None, max_hot_keys: int | None = None,
-                     max_salt: int | None = None) -> DataFrame:
+                     hot_keys_from: DataFrame | None = None, hot_key_rows: int | None = None,
+                     max_hot_keys: int | None = None, max_salt: int | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` with hot keys split.
 
-    Column names of ``left`` and ``right`` must not overlap.
+    Column names of ``left`` and ``right`` must not overlap.  Hot keys are
+    counted in ``hot_keys_from`` (default ``left``), which must hold
+    ``left_key``: pass the narrow table the key comes from when ``left`` is
+    itself the output of other joins, so they are not planned twice.  Which
+    keys count as hot changes only the cost, never the result.
     """
     hot_key_rows = hot_key_rows or _conf_int(left, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
     max_hot_keys = max_hot_keys or _conf_int(left, MAX_HOT_KEYS_CONF, MAX_HOT_KEYS)
@@ -67,8 +71,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
 
     # at most max_hot_keys rows by construction; the order is total so every
     # use of the list sees the same keys
+    source = left if hot_keys_from is None else hot_keys_from
     hot = F.broadcast(
-        left.where(F.col(left_key).isNotNull())
+        source.where(F.col(left_key).isNotNull())
             .groupBy(F.col(left_key).alias(hk))
             .agg(F.count(F.lit(1)).alias("__n"))
             .where(F.col("__n") > F.lit(hot_key_rows))
@@ -91,7 +96,8 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
 
 
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                small: bool | None = None, probe: DataFrame | None = None) -> DataFrame:
+                small: bool | None = None, probe: DataFrame | None = None,
+                hot_keys_from: DataFrame | None = None) -> DataFrame:
     """Left join onto a lookup: broadcast when proven small, else salted.
 
     ``probe`` holds the stored rows ``right`` is read from; its bounded count
@@ -102,4 +108,4 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         small = fits_broadcast(right if probe is None else probe)
     if small:
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "left")
-    return salted_left_join(left, right, left_key, right_key)
+    return salted_left_join(left, right, left_key, right_key, hot_keys_from)

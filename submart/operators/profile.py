@@ -97,8 +97,11 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     run = F.lit(run_date.isoformat()).alias("run_date")
 
     def lookups(x: DataFrame) -> DataFrame:
-        x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small, probe=acct_probe)
-        return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small, probe=cust_probe)
+        # hot keys are counted on the subscribers alone, not on joined rows
+        x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small, probe=acct_probe,
+                        hot_keys_from=a)
+        return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small, probe=cust_probe,
+                           hot_keys_from=a)
 
     def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:
         x = x.join(b, F.col("a_subs_key") == F.col("b_key"), "left")
@@ -114,7 +117,10 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
 
     # as written: one row per (subscriber, distinct usage tuple); the per-tuple
     # sums are summed again after the joins, which multiplies by any fan-out
-    g = (usage.groupBy(F.col("subs_key").alias("g_subs_key"),
+    # one shuffle on subs_key serves both the tuple aggregate and the join;
+    # a subscriber has at most one usage row per day, so no key is hot here
+    g = (usage.repartition(F.col("subs_key"))
+              .groupBy(F.col("subs_key").alias("g_subs_key"),
                        *[F.col(m).alias(f"g_{m}") for m in OUTPUT_MEASURES])
               .agg(*[F.sum(m).alias(f"s_{m}") for m in OUTPUT_MEASURES]))
     x = by_subscriber(lookups(a), g)
