@@ -53,6 +53,27 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     return bounded_count(df, max_rows) <= max_rows
 
 
+def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = None) -> dict[str, bool]:
+    """``fits_broadcast`` for several tables in one Spark job.
+
+    Each probe contributes at most ``max_rows + 1`` rows, tagged with its
+    name; one grouped count over their union gives every bounded count.
+    """
+    if not probes:
+        return {}
+    any_df = next(iter(probes.values()))
+    if max_rows is None:
+        max_rows = _conf_int(any_df, BROADCAST_MAX_ROWS_CONF, BROADCAST_MAX_ROWS)
+    tagged = [df.limit(int(max_rows) + 1).select(F.lit(name).alias("__probe"))
+              for name, df in probes.items()]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionAll(t)
+    counts = {r["__probe"]: r["n"] for r in
+              union.groupBy("__probe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in probes}
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                      hot_keys_from: DataFrame | None = None, hot_key_rows: int | None = None,
                      max_hot_keys: int | None = None, max_salt: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import key_cast
 from ..operators.enrich import enrich_subscribers
-from ..operators.joins import fits_broadcast
+from ..operators.joins import fits_broadcast_many
 from ..operators.profile import build_profile
 from ..operators.usage import OUTPUT_MEASURES, aggregate_usage
 from ..session import shared_dir
@@ -102,11 +102,18 @@ def usage_monthly_aggr_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_usage(dt_.usage(table(spark, sf_dir, "events")), "MONTHLY")
 
 
-def _enrichment(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE) -> DataFrame:
+def _small(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, bool]:
+    """Which lookup tables are proven small enough to broadcast (one job)."""
+    return fits_broadcast_many({n: table(spark, sf_dir, n) for n in names})
+
+
+def _enrichment(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
+                small: dict[str, bool] | None = None) -> DataFrame:
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    small = small or _small(spark, sf_dir, "nation", "region")
     return enrich_subscribers(scd4_active(dt_.subscribers(customer)), dt_.status_lookup(nation),
                               dt_.cust_type_lookup(region), run_date,
-                              stts_probe=nation, cust_type_probe=region)
+                              stts_small=small["nation"], cust_type_small=small["region"])
 
 
 def enrich_status_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +134,8 @@ def cast_key_left_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _profile(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     customer, nation, orders = (table(spark, sf_dir, t) for t in ("customer", "nation", "orders"))
-    enriched = dt_.as_stored_enrichment(_enrichment(spark, sf_dir))
+    small = _small(spark, sf_dir, "nation", "region", "orders")
+    enriched = dt_.as_stored_enrichment(_enrichment(spark, sf_dir, small=small))
     acct = dt_.accounts(scd4_asof(orders, ["o_custkey"], "o_orderdate", RUN_DATE))
     prof = build_profile(
         subs=scd4_active(dt_.subscribers(customer)),
@@ -135,7 +143,7 @@ def _profile(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
         acct=acct, cust=dt_.customers(nation),
         usage=_usage_daily(spark, sf_dir),
         run_date=RUN_DATE, mode=mode, key_cast_type="bigint",
-        acct_small=fits_broadcast(orders), cust_small=fits_broadcast(nation))
+        acct_small=small["orders"], cust_small=small["nation"])
     return prof.select(*PROFILE_SUBSET)
 
 
@@ -180,9 +188,10 @@ def full_table_overwrite_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_write_read_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = TargetSpec(name="subs_enriched", location=shared_dir(spark, "snapshot"),
                         partition_columns=("run_date",), keys=("subs_key",))
-    overwrite_partitions(_enrichment(spark, sf_dir, dt_.PREVIOUS_RUN_DATE), target)
-    overwrite_partitions(_enrichment(spark, sf_dir, RUN_DATE), target)
-    overwrite_partitions(_enrichment(spark, sf_dir, RUN_DATE), target)  # a re-run
+    small = _small(spark, sf_dir, "nation", "region")
+    overwrite_partitions(_enrichment(spark, sf_dir, dt_.PREVIOUS_RUN_DATE, small), target)
+    overwrite_partitions(_enrichment(spark, sf_dir, RUN_DATE, small), target)
+    overwrite_partitions(_enrichment(spark, sf_dir, RUN_DATE, small), target)  # a re-run
     back = snapshot(read_table(spark, target.location), "run_date", RUN_DATE)
     # path discovery types the partition as DATE; the job stored ISO text
     return back.withColumn("run_date", F.col("run_date").cast("string"))

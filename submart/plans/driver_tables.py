@@ -34,8 +34,22 @@ STATUS_KEYS_BELOW = 20
 CUST_TYPE_MODULUS = 7
 
 
+_LOADED: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, loaded once per session (the files are read-only).
+
+    Loading lists the file and reads its footer in a small Spark job; the
+    DataFrame handle is reused so a query touching a table three times pays
+    that once.  No data is cached.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _LOADED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _LOADED[key] = spark.read.parquet(path)
+    return df
 
 
 def usage(events: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import window_start
 from ..operators.enrich import ENRICHED_COLUMNS, enrich_subscribers
-from ..operators.joins import fits_broadcast
+from ..operators.joins import fits_broadcast_many
 from ..operators.profile import PROFILE_COLUMNS, build_profile
 from ..operators.usage import OUTPUT_MEASURES, aggregate_usage
 from ..sources.readers import read_source, source_size_probe
@@ -108,8 +108,9 @@ def enrichment_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]
     return sources, target
 
 
-def _small(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> bool:
-    return fits_broadcast(source_size_probe(spark, spec, ctx))
+def _small(spark: SparkSession, specs: list[SourceSpec], ctx: RunContext) -> dict[str, bool]:
+    """Which sources are proven small enough to broadcast (one Spark job)."""
+    return fits_broadcast_many({s.name: source_size_probe(spark, s, ctx) for s in specs})
 
 
 def enrichment_result(spark: SparkSession, sources: dict[str, SourceSpec],
@@ -117,9 +118,10 @@ def enrichment_result(spark: SparkSession, sources: dict[str, SourceSpec],
     subs = read_source(spark, sources["vw_subs"], ctx)
     stts = read_source(spark, sources["vw_subs_stts"], ctx)
     ctype = read_source(spark, sources["vw_cust_type"], ctx)
+    small = _small(spark, [sources["vw_subs_stts"], sources["vw_cust_type"]], ctx)
     return enrich_subscribers(subs, stts, ctype, ctx.run_date,
-                              stts_small=_small(spark, sources["vw_subs_stts"], ctx),
-                              cust_type_small=_small(spark, sources["vw_cust_type"], ctx))
+                              stts_small=small["vw_subs_stts"],
+                              cust_type_small=small["vw_cust_type"])
 
 
 def run_subs_enriched(spark: SparkSession, layout: Layout, ctx: RunContext) -> TargetSpec:
@@ -154,10 +156,10 @@ def profile_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]:
 def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: RunContext,
                    mode: str = "as_written") -> DataFrame:
     read = {name: read_source(spark, spec, ctx) for name, spec in sources.items()}
+    small = _small(spark, [sources["vw_acct"], sources["vw_cust"]], ctx)
     return build_profile(read["vw_subs"], read["subs_enriched"], read["vw_acct"],
                          read["vw_cust"], read["usge_dly_aggr"], ctx.run_date, mode=mode,
-                         acct_small=_small(spark, sources["vw_acct"], ctx),
-                         cust_small=_small(spark, sources["vw_cust"], ctx))
+                         acct_small=small["vw_acct"], cust_small=small["vw_cust"])
 
 
 def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,
