@@ -12,6 +12,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dates import window_start
 from ..operators.enrich import ENRICHED_COLUMNS, enrich_subscribers
@@ -61,11 +62,12 @@ def scd4(layout: Layout, name: str, keys: str, **kw) -> SourceSpec:
 # ---------------------------------------------------------------- P1 usage
 
 def usage_specs(spark: SparkSession, layout: Layout, window_days: int = USAGE_WINDOW_DAYS,
-                drop_duplicates: bool = False,
-                partition_column: str | None = None) -> tuple[SourceSpec, TargetSpec]:
+                drop_duplicates: bool = False, partition_column: str | None = None,
+                until_run_date: bool = False) -> tuple[SourceSpec, TargetSpec]:
     source = SourceSpec(name="vw_usge", kind=ScdKind.CURRENT_SCD1,
                         location=layout.where("vw_usge"), ts_column=USAGE_TS,
-                        window_days=window_days, drop_duplicates=drop_duplicates,
+                        window_days=window_days, window_until_run_date=until_run_date,
+                        drop_duplicates=drop_duplicates,
                         partition_column=partition_column, format=layout.format)
     target = TargetSpec(name="usge_dly_aggr", location=layout.where("usge_dly_aggr"),
                         partition_columns=(USAGE_PARTITION,),
@@ -88,9 +90,12 @@ def usage_result(spark: SparkSession, source: SourceSpec, ctx: RunContext,
     return aggregate_usage(read_source(spark, source, ctx), grain=grain)
 
 
-def run_usage_daily(spark: SparkSession, layout: Layout, ctx: RunContext, **kw) -> TargetSpec:
+def run_usage_daily(spark: SparkSession, layout: Layout, ctx: RunContext,
+                    grain: str = "DAILY", align_month: bool = True, **kw) -> TargetSpec:
+    """P1.  ``grain="MONTHLY"`` writes ``'yyyy-MM-01'`` text into the same
+    partition column (the job's other, unused, branch)."""
     source, target = usage_specs(spark, layout, **kw)
-    overwrite_partitions(usage_result(spark, source, ctx), target)
+    overwrite_partitions(usage_result(spark, source, ctx, grain, align_month), target)
     return target
 
 
@@ -154,8 +159,15 @@ def profile_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]:
 
 
 def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: RunContext,
-                   mode: str = "as_written") -> DataFrame:
+                   mode: str = "as_written", usage_from: dt.date | None = None,
+                   usage_to: dt.date | None = None) -> DataFrame:
+    """P3's result.  The job sums every day in the usage table, after the run
+    date too; ``usage_from`` / ``usage_to`` bound the days (partition pruned)."""
     read = {name: read_source(spark, spec, ctx) for name, spec in sources.items()}
+    if usage_from is not None:
+        read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) >= F.lit(usage_from))
+    if usage_to is not None:
+        read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) <= F.lit(usage_to))
     small = _small(spark, [sources["vw_acct"], sources["vw_cust"]], ctx)
     return build_profile(read["vw_subs"], read["subs_enriched"], read["vw_acct"],
                          read["vw_cust"], read["usge_dly_aggr"], ctx.run_date, mode=mode,
@@ -163,10 +175,10 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
 
 
 def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,
-                     mode: str = "as_written") -> TargetSpec:
+                     mode: str = "as_written", **kw) -> TargetSpec:
     sources, target = profile_specs(layout)
     target = TargetSpec(**{**target.__dict__, "files_per_partition": _shuffle_partitions(spark)})
-    overwrite_partitions(profile_result(spark, sources, ctx, mode), target)
+    overwrite_partitions(profile_result(spark, sources, ctx, mode, **kw), target)
     return target
 
 

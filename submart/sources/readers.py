@@ -108,7 +108,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataF
             df = scd1_full(base)
         else:
             df = scd1_window(base, spec.ts_column, ctx.run_date, spec.window_days,
-                             spec.partition_column)
+                             spec.partition_column,
+                             until=ctx.run_date if spec.window_until_run_date else None)
     elif spec.kind is ScdKind.DELTA_SCD4 and ctx.reads_active:
         df = scd4_active(load(spark, spec.active, spec.format))
     elif spec.kind is ScdKind.DELTA_SCD4:

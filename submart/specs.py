@@ -62,6 +62,9 @@ class SourceSpec:
     keys: tuple[str, ...] = ()
     ts_column: str | None = None
     window_days: int | None = None
+    #: also drop rows after the run date (the jobs keep them: restating an
+    #: old date rewrites every day since)
+    window_until_run_date: bool = False
     snapshot_column: str | None = None
     drop_duplicates: bool = False
     columns: tuple[str, ...] | None = None

@@ -88,3 +88,48 @@ def test_parse_context(spark):
     assert ctx.run_date == fx.RUN_DATE and not ctx.reads_active
     with pytest.raises(Exception):
         parse_context(spark, "2024-02-30", "yyyy-MM-dd")
+
+
+def test_cli_runs_all_jobs(spark, layout):
+    from submart.plans.cli import main
+    assert main(["all", "25/01/2024", "dd/MM/yyyy", "error", "--root", layout.root,
+                 "--current-date", "2024-03-01"]) == 0
+    prof = read_table(spark, layout.where("subs_profile")).where("run_date = '2024-01-25'")
+    assert fx.sorted_rows(prof, fx.PROFILE_CHECKED) == fx.as_sorted(fx.EXPECTED_AS_WRITTEN)
+
+
+def test_profile_usage_bounds(spark, layout):
+    from submart.plans.pipelines import profile_result, profile_specs
+    ctx = RunContext(fx.RUN_DATE, fx.CURRENT_DATE)
+    run_all(spark, layout, ctx)
+    sources, _ = profile_specs(layout)
+    df = profile_result(spark, sources, ctx, "per_subscriber", usage_to=fx.RUN_DATE)
+    row = df.where("subs_key = 1").first()
+    assert row.dwld_vlum_qty == 300  # the 26th is left out
+
+
+def test_monthly_grain_job(spark):
+    lay = Layout(root=shared_dir(spark, "monthly"))
+    fx.usage(spark).write.parquet(lay.where("vw_usge"))
+    run_usage_daily(spark, lay, RunContext(fx.RUN_DATE, fx.CURRENT_DATE), grain="MONTHLY")
+    got = sorted(tuple(r) for r in read_table(spark, lay.where("usge_dly_aggr"))
+                 .withColumn("evnt_strt", F.col("evnt_strt").cast("string")).collect())
+    assert got == sorted(fx.EXPECTED_MONTHLY_ALIGNED)
+
+
+def test_until_run_date_window(spark):
+    lay = Layout(root=shared_dir(spark, "until"))
+    fx.usage(spark).write.parquet(lay.where("vw_usge"))
+    run_usage_daily(spark, lay, RunContext(fx.RUN_DATE, fx.CURRENT_DATE), until_run_date=True)
+    days = {r.evnt_strt for r in read_table(spark, lay.where("usge_dly_aggr")).collect()}
+    assert max(days) == fx.RUN_DATE
+
+
+def test_source_registered_as_view(spark, layout):
+    from submart.sources import read_source
+    from submart.specs import SourceSpec
+    spec = SourceSpec(name="vw_subs", kind="DELTA_SCD4", active=layout.where("vw_subs_active"),
+                      hist=layout.where("vw_subs_hist"), keys="subs_key", ts_column="ecf_nsrt_ts",
+                      view_name="vw_subs")
+    read_source(spark, spec, RunContext(fx.RUN_DATE, fx.CURRENT_DATE))
+    assert spark.sql("select count(*) from vw_subs").first()[0] == 4
