@@ -30,9 +30,10 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
                     F.col("subs_stts_ds").alias("__b_ds"))
     c = cust_type.select(F.col("cust_type_key").alias("__c_key"),
                          F.col("cust_type_ds").alias("__c_ds"))
-    j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, probe=stts_probe)
+    j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, probe=stts_probe,
+                    salt_by=["subs_key"])
     j = lookup_join(j, c, "cust_type_key", "__c_key", small=cust_type_small,
-                    probe=cust_type_probe, hot_keys_from=a)
+                    probe=cust_type_probe, hot_keys_from=a, salt_by=["subs_key"])
     return j.select(
         "subs_key", "subs_stts_key",
         unknown_default("__b_ds", unknown).alias("subs_stts_ds"),

@@ -75,15 +75,18 @@ def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = Non
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                     hot_keys_from: DataFrame | None = None, hot_key_rows: int | None = None,
-                     max_hot_keys: int | None = None, max_salt: int | None = None) -> DataFrame:
+                     hot_keys_from: DataFrame | None = None, salt_by: list[str] | None = None,
+                     hot_key_rows: int | None = None, max_hot_keys: int | None = None,
+                     max_salt: int | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` with hot keys split.
 
     Column names of ``left`` and ``right`` must not overlap.  Hot keys are
     counted in ``hot_keys_from`` (default ``left``), which must hold
     ``left_key``: pass the narrow table the key comes from when ``left`` is
     itself the output of other joins, so they are not planned twice.  Which
-    keys count as hot changes only the cost, never the result.
+    keys count as hot changes only the cost, never the result.  ``salt_by``
+    names the columns hashed to pick a row's salt (default: all of ``left``);
+    a row identifier such as the subscriber key is enough and cheaper.
     """
     hot_key_rows = hot_key_rows or _conf_int(left, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
     max_hot_keys = max_hot_keys or _conf_int(left, MAX_HOT_KEYS_CONF, MAX_HOT_KEYS)
@@ -103,8 +106,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
             .select(hk, F.least(F.ceil(F.col("__n") / F.lit(hot_key_rows)),
                                 F.lit(max_salt)).cast("int").alias(nb)))
 
-    spread = F.pmod(row_hash(left.columns), F.lit(max_salt)).cast("int")
-    lsalt = (F.when(F.col(nb).isNotNull(), F.pmod(row_hash(left.columns), F.col(nb)).cast("int"))
+    h = row_hash(list(salt_by or left.columns))
+    spread = F.pmod(h, F.lit(max_salt)).cast("int")
+    lsalt = (F.when(F.col(nb).isNotNull(), F.pmod(h, F.col(nb)).cast("int"))
               .when(F.col(left_key).isNull(), spread)
               .otherwise(F.lit(0)))
     lhs = (left.join(hot, F.col(left_key) == F.col(hk), "left")
@@ -118,7 +122,8 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
 
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 small: bool | None = None, probe: DataFrame | None = None,
-                hot_keys_from: DataFrame | None = None) -> DataFrame:
+                hot_keys_from: DataFrame | None = None,
+                salt_by: list[str] | None = None) -> DataFrame:
     """Left join onto a lookup: broadcast when proven small, else salted.
 
     ``probe`` holds the stored rows ``right`` is read from; its bounded count
@@ -129,4 +134,4 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         small = fits_broadcast(right if probe is None else probe)
     if small:
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "left")
-    return salted_left_join(left, right, left_key, right_key, hot_keys_from)
+    return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by)

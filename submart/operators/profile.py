@@ -99,9 +99,9 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     def lookups(x: DataFrame) -> DataFrame:
         # hot keys are counted on the subscribers alone, not on joined rows
         x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small, probe=acct_probe,
-                        hot_keys_from=a)
+                        hot_keys_from=a, salt_by=["a_subs_key"])
         return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small, probe=cust_probe,
-                           hot_keys_from=a)
+                           hot_keys_from=a, salt_by=["a_subs_key"])
 
     def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:
         x = x.join(b, F.col("a_subs_key") == F.col("b_key"), "left")

@@ -165,9 +165,11 @@ def restate_usage_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything and overwrites its 10-day window.  Days before run 2's window
     must survive from run 1, and the part-day must be restated.
     """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     target = TargetSpec(name="usge_dly_aggr", location=shared_dir(spark, "restate"),
                         partition_columns=("evnt_strt",), columns=USAGE_TARGET_COLUMNS,
-                        keys=("subs_key",))
+                        keys=("subs_key",),
+                        files_per_partition=max(1, parts // (WINDOW_DAYS + 1)))
     events = table(spark, sf_dir, "events")
     seen_at_noon = events.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 20, 12, 0)))
     overwrite_partitions(_usage_daily(spark, sf_dir, dt.date(2024, 1, 20), seen_at_noon), target)

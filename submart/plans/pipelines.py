@@ -131,7 +131,8 @@ def enrichment_result(spark: SparkSession, sources: dict[str, SourceSpec],
 
 def run_subs_enriched(spark: SparkSession, layout: Layout, ctx: RunContext) -> TargetSpec:
     sources, target = enrichment_specs(layout)
-    target = TargetSpec(**{**target.__dict__, "files_per_partition": _shuffle_partitions(spark)})
+    # one run_date per write: the result is already spread by subscriber,
+    # so each task writes one file and no extra shuffle is needed
     overwrite_partitions(enrichment_result(spark, sources, ctx), target)
     return target
 
@@ -177,7 +178,6 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
 def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,
                      mode: str = "as_written", **kw) -> TargetSpec:
     sources, target = profile_specs(layout)
-    target = TargetSpec(**{**target.__dict__, "files_per_partition": _shuffle_partitions(spark)})
     overwrite_partitions(profile_result(spark, sources, ctx, mode, **kw), target)
     return target
 

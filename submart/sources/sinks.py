@@ -40,6 +40,8 @@ def _spread(df: DataFrame, target: TargetSpec) -> DataFrame:
     (tasks x days small files); with it one value never serialises on one
     task either.
     """
+    if target.files_per_partition is None:
+        return df
     parts = [F.col(c) for c in target.partition_columns]
     n = int(target.files_per_partition)
     if n == 1:
@@ -48,11 +50,9 @@ def _spread(df: DataFrame, target: TargetSpec) -> DataFrame:
     return df.repartition(*parts, F.pmod(row_hash(keys), F.lit(n)))
 
 
-def overwrite_partitions(df: DataFrame, target: TargetSpec, spread: bool = True) -> None:
+def overwrite_partitions(df: DataFrame, target: TargetSpec) -> None:
     """K1: dynamic partition overwrite into a path or a catalog table."""
-    out = conform(df, target)
-    if spread:
-        out = _spread(out, target)
+    out = _spread(conform(df, target), target)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if target.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(target.max_records_per_file))

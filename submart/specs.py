@@ -118,9 +118,11 @@ class TargetSpec:
     columns: tuple[str, ...] | None = None
     keys: tuple[str, ...] = ()
     format: str = "parquet"
-    #: files written per partition value; rows of one value are spread over
-    #: this many writer tasks by a hash of ``keys`` (or of the whole row)
-    files_per_partition: int = 1
+    #: files written per partition value: rows of one value are spread over
+    #: this many writer tasks by a hash of ``keys`` (or of the whole row).
+    #: ``None`` writes as the result is partitioned, right for a result with
+    #: a single partition value (one file per task, no extra shuffle)
+    files_per_partition: int | None = None
     max_records_per_file: int | None = None
 
     def __post_init__(self):
@@ -134,7 +136,7 @@ class TargetSpec:
                 raise ValueError(f"{self.name}: partition columns must come last")
         if not self.partition_columns:
             raise ValueError(f"{self.name}: a partitioned target needs partition columns")
-        if int(self.files_per_partition) < 1:
+        if self.files_per_partition is not None and int(self.files_per_partition) < 1:
             raise ValueError(f"{self.name}: files_per_partition must be >= 1")
 
 
