@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import UNKNOWN, unknown_default
-from .joins import lookup_join
+from .joins import fits_broadcast, hot_keys, lookup_join
 
 ENRICHED_COLUMNS = ("subs_key", "subs_stts_key", "subs_stts_ds", "cust_type_key",
                     "cust_type_ds", "run_date")
@@ -30,10 +30,17 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
                     F.col("subs_stts_ds").alias("__b_ds"))
     c = cust_type.select(F.col("cust_type_key").alias("__c_key"),
                          F.col("cust_type_ds").alias("__c_ds"))
-    j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, probe=stts_probe,
-                    salt_by=["subs_key"])
+    if stts_small is None:
+        stts_small = fits_broadcast(b if stts_probe is None else stts_probe)
+    if cust_type_small is None:
+        cust_type_small = fits_broadcast(c if cust_type_probe is None else cust_type_probe)
+    salted = [k for k, small in (("subs_stts_key", stts_small), ("cust_type_key", cust_type_small))
+              if not small]
+    hot = hot_keys(a, salted) if salted else {}
+    j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, salt_by=["subs_key"],
+                    hot=hot.get("subs_stts_key"))
     j = lookup_join(j, c, "cust_type_key", "__c_key", small=cust_type_small,
-                    probe=cust_type_probe, hot_keys_from=a, salt_by=["subs_key"])
+                    salt_by=["subs_key"], hot=hot.get("cust_type_key"))
     return j.select(
         "subs_key", "subs_stts_key",
         unknown_default("__b_ds", unknown).alias("subs_stts_ds"),

@@ -74,48 +74,77 @@ def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = Non
     return {name: counts.get(name, 0) <= max_rows for name in probes}
 
 
+HK, NB = "__hot_key", "__hot_salts"
+
+
+def _limits(df: DataFrame, hot_key_rows, max_hot_keys, max_salt) -> tuple[int, int, int]:
+    return (hot_key_rows or _conf_int(df, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS),
+            max_hot_keys or _conf_int(df, MAX_HOT_KEYS_CONF, MAX_HOT_KEYS),
+            max_salt or _conf_int(df, MAX_SALT_CONF, MAX_SALT))
+
+
+def _top_hot(counts: DataFrame, key: str, hot_key_rows: int, max_hot_keys: int,
+             max_salt: int) -> DataFrame:
+    # at most max_hot_keys rows by construction; the order is total so every
+    # use of the list sees the same keys
+    return F.broadcast(
+        counts.where(F.col(key).isNotNull() & (F.col("__n") > F.lit(hot_key_rows)))
+              .orderBy(F.col("__n").desc(), F.col(key))
+              .limit(max_hot_keys)
+              .select(F.col(key).alias(HK),
+                      F.least(F.ceil(F.col("__n") / F.lit(hot_key_rows)),
+                              F.lit(max_salt)).cast("int").alias(NB)))
+
+
+def hot_keys(source: DataFrame, keys: list[str], hot_key_rows: int | None = None,
+             max_hot_keys: int | None = None, max_salt: int | None = None) -> dict[str, DataFrame]:
+    """For each key column, its hottest values and how many salts each gets.
+
+    One pass over ``source`` for all keys: a GROUPING SETS aggregate (one set
+    per key, combined map-side), whose shuffle every list below reuses.  Each
+    list is a bounded top-k, ready to broadcast.
+    """
+    rows, top, salt = _limits(source, hot_key_rows, max_hot_keys, max_salt)
+    if len(keys) == 1:
+        counts = source.groupBy(keys[0]).agg(F.count(F.lit(1)).alias("__n"))
+        return {keys[0]: _top_hot(counts, keys[0], rows, top, salt)}
+    flags = [F.grouping(k).alias(f"__g{i}") for i, k in enumerate(keys)]
+    counts = (source.groupingSets([[k] for k in keys], *keys)
+                    .agg(F.count(F.lit(1)).alias("__n"), *flags))
+    return {k: _top_hot(counts.where(F.col(f"__g{i}") == 0), k, rows, top, salt)
+            for i, k in enumerate(keys)}
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                      hot_keys_from: DataFrame | None = None, salt_by: list[str] | None = None,
-                     hot_key_rows: int | None = None, max_hot_keys: int | None = None,
-                     max_salt: int | None = None) -> DataFrame:
+                     hot: DataFrame | None = None, hot_key_rows: int | None = None,
+                     max_hot_keys: int | None = None, max_salt: int | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` with hot keys split.
 
     Column names of ``left`` and ``right`` must not overlap.  Hot keys are
     counted in ``hot_keys_from`` (default ``left``), which must hold
     ``left_key``: pass the narrow table the key comes from when ``left`` is
-    itself the output of other joins, so they are not planned twice.  Which
-    keys count as hot changes only the cost, never the result.  ``salt_by``
-    names the columns hashed to pick a row's salt (default: all of ``left``);
-    a row identifier such as the subscriber key is enough and cheaper.
+    itself the output of other joins, so they are not planned twice; or pass
+    ``hot`` from ``hot_keys``.  Which keys count as hot changes only the
+    cost, never the result.  ``salt_by`` names the columns hashed to pick a
+    row's salt (default: all of ``left``); a row identifier such as the
+    subscriber key is enough and cheaper.
     """
-    hot_key_rows = hot_key_rows or _conf_int(left, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
-    max_hot_keys = max_hot_keys or _conf_int(left, MAX_HOT_KEYS_CONF, MAX_HOT_KEYS)
-    max_salt = max_salt or _conf_int(left, MAX_SALT_CONF, MAX_SALT)
-    hk, nb, ls, rs = "__hot_key", "__hot_salts", "__lsalt", "__rsalt"
-
-    # at most max_hot_keys rows by construction; the order is total so every
-    # use of the list sees the same keys
-    source = left if hot_keys_from is None else hot_keys_from
-    hot = F.broadcast(
-        source.where(F.col(left_key).isNotNull())
-            .groupBy(F.col(left_key).alias(hk))
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > F.lit(hot_key_rows))
-            .orderBy(F.col("__n").desc(), F.col(hk))
-            .limit(max_hot_keys)
-            .select(hk, F.least(F.ceil(F.col("__n") / F.lit(hot_key_rows)),
-                                F.lit(max_salt)).cast("int").alias(nb)))
-
+    _, _, max_salt = _limits(left, hot_key_rows, max_hot_keys, max_salt)
+    if hot is None:
+        source = left if hot_keys_from is None else hot_keys_from
+        hot = hot_keys(source, [left_key], hot_key_rows, max_hot_keys, max_salt)[left_key]
+    ls, rs = "__lsalt", "__rsalt"
     h = row_hash(list(salt_by or left.columns))
     spread = F.pmod(h, F.lit(max_salt)).cast("int")
-    lsalt = (F.when(F.col(nb).isNotNull(), F.pmod(h, F.col(nb)).cast("int"))
+    lsalt = (F.when(F.col(NB).isNotNull(), F.pmod(h, F.col(NB)).cast("int"))
               .when(F.col(left_key).isNull(), spread)
               .otherwise(F.lit(0)))
-    lhs = (left.join(hot, F.col(left_key) == F.col(hk), "left")
-               .withColumn(ls, lsalt).drop(hk, nb))
-    rhs = (right.join(hot, F.col(right_key) == F.col(hk), "left")
-                .withColumn(rs, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(nb), F.lit(1)) - 1)))
-                .drop(hk, nb))
+    lhs = (left.join(hot, F.col(left_key) == F.col(HK), "left")
+               .withColumn(ls, lsalt).drop(HK, NB))
+    rhs = (right.join(hot, F.col(right_key) == F.col(HK), "left")
+                .withColumn(rs, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(NB), F.lit(1)) - 1)))
+                .drop(HK, NB))
     cond = (F.col(left_key) == F.col(right_key)) & (F.col(ls) == F.col(rs))
     return lhs.join(rhs, cond, "left").drop(ls, rs)
 
@@ -123,7 +152,7 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 small: bool | None = None, probe: DataFrame | None = None,
                 hot_keys_from: DataFrame | None = None,
-                salt_by: list[str] | None = None) -> DataFrame:
+                salt_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Left join onto a lookup: broadcast when proven small, else salted.
 
     ``probe`` holds the stored rows ``right`` is read from; its bounded count
@@ -134,4 +163,4 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         small = fits_broadcast(right if probe is None else probe)
     if small:
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "left")
-    return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by)
+    return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by, hot)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import key_cast, sum_result_type
-from .joins import lookup_join
+from .joins import fits_broadcast, hot_keys, lookup_join
 from .usage import OUTPUT_MEASURES
 
 #: Subscriber columns the profile reads
@@ -96,12 +96,20 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     measures = [f"g_{m}" for m in OUTPUT_MEASURES]
     run = F.lit(run_date.isoformat()).alias("run_date")
 
+    if acct_small is None:
+        acct_small = fits_broadcast(e if acct_probe is None else acct_probe)
+    if cust_small is None:
+        cust_small = fits_broadcast(f if cust_probe is None else cust_probe)
+    # hot keys of both lookups in one pass over the subscribers alone
+    salted = [k for k, small in (("a_prim_acct_key", acct_small), ("a_cust_key", cust_small))
+              if not small]
+    hot = hot_keys(a, salted) if salted else {}
+
     def lookups(x: DataFrame) -> DataFrame:
-        # hot keys are counted on the subscribers alone, not on joined rows
-        x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small, probe=acct_probe,
-                        hot_keys_from=a, salt_by=["a_subs_key"])
-        return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small, probe=cust_probe,
-                           hot_keys_from=a, salt_by=["a_subs_key"])
+        x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small,
+                        salt_by=["a_subs_key"], hot=hot.get("a_prim_acct_key"))
+        return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small,
+                           salt_by=["a_subs_key"], hot=hot.get("a_cust_key"))
 
     def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:
         x = x.join(b, F.col("a_subs_key") == F.col("b_key"), "left")
