@@ -5,8 +5,10 @@ lookup (status, customer type, account, customer, snapshot, usage).  Two
 things decide its plan at scale:
 
 * **A lookup of proven size is broadcast.**  The proof is a bounded row
-  count (``limit(cap + 1).count()``) of the stored rows the lookup is read
-  from; a lookup over the bound is never broadcast.
+  count (``limit(cap + 1)``) of the stored rows the lookup is read from; a
+  lookup over the bound is never broadcast.  The probe projects no column
+  (``ReadSchema: struct<>``), so on a large table it reads row counts, not
+  data; all of a query's probes run as one Spark job.
 * **Otherwise hot keys are salted.**  A lookup key may carry a third of the
   left rows (one corporate account, one status code, NULL).  In a plain
   shuffled join all of them land in one task.  ``salted_left_join`` counts

@@ -39,6 +39,27 @@ def rows(names, tuples):
     return [tuple(_norm(t[i]) for i in order) for t in tuples]
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date",
+                  "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double", "BOOLEAN": "boolean",
+                  "SMALLINT": "smallint", "TINYINT": "tinyint", "FLOAT": "float"}
+
+
+def duck_type(t: str) -> str:
+    t = str(t).upper()
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return _DUCK_TO_SPARK.get(t, t.lower())
+
+
+def types_match(df, con, sql):
+    """(ok, message): column types agree by name."""
+    rel = con.sql(sql)
+    d = {n.lower(): duck_type(t) for n, t in zip(rel.columns, rel.types)}
+    s = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    bad = {n: (s[n], d.get(n)) for n in s if d.get(n) != s[n]}
+    return (not bad), (f"type mismatch {bad}" if bad else "types ok")
+
+
 def spark_rows(df):
     names = df.columns
     return sorted(names, key=str.lower), rows(names, [tuple(r) for r in df.collect()])
@@ -52,6 +73,9 @@ def duck_rows(con, sql):
 
 def compare(df, con, sql):
     """(ok, message)."""
+    ok, msg = types_match(df, con, sql)
+    if not ok:
+        return ok, msg
     s_names, s_rows = spark_rows(df)
     d_names, d_rows = duck_rows(con, sql)
     if [n.lower() for n in s_names] != [n.lower() for n in d_names]:
