@@ -19,7 +19,8 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
                        stts_probe: DataFrame | None = None,
                        cust_type_probe: DataFrame | None = None,
                        stts_small: bool | None = None,
-                       cust_type_small: bool | None = None) -> DataFrame:
+                       cust_type_small: bool | None = None,
+                       hot_key_rows: int | None = None) -> DataFrame:
     """``subs`` left-joined to both lookups; a missing or NULL description is
     ``unknown``; the run date is stamped as ISO text in ``run_date``.
 
@@ -36,7 +37,7 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
         cust_type_small = fits_broadcast(c if cust_type_probe is None else cust_type_probe)
     salted = [k for k, small in (("subs_stts_key", stts_small), ("cust_type_key", cust_type_small))
               if not small]
-    hot = hot_keys(a, salted) if salted else {}
+    hot = hot_keys(a, salted, hot_key_rows) if salted else {}
     j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, salt_by=["subs_key"],
                     hot=hot.get("subs_stts_key"))
     j = lookup_join(j, c, "cust_type_key", "__c_key", small=cust_type_small,

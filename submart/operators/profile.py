@@ -80,7 +80,8 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
                   usage: DataFrame, run_date: dt.date, mode: str = "as_written",
                   key_cast_type: str = "int",
                   acct_probe: DataFrame | None = None, cust_probe: DataFrame | None = None,
-                  acct_small: bool | None = None, cust_small: bool | None = None) -> DataFrame:
+                  acct_small: bool | None = None, cust_small: bool | None = None,
+                  hot_key_rows: int | None = None) -> DataFrame:
     """Join the as-of subscribers to enrichment, account, customer and usage.
 
     ``enriched.subs_key`` is cast to ``key_cast_type`` for the join; bad text
@@ -103,7 +104,7 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     # hot keys of both lookups in one pass over the subscribers alone
     salted = [k for k, small in (("a_prim_acct_key", acct_small), ("a_cust_key", cust_small))
               if not small]
-    hot = hot_keys(a, salted) if salted else {}
+    hot = hot_keys(a, salted, hot_key_rows) if salted else {}
 
     def lookups(x: DataFrame) -> DataFrame:
         x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small,

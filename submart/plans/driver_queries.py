@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import window_start
 from ..functions.exprs import key_cast
 from ..operators.enrich import enrich_subscribers
 from ..operators.joins import fits_broadcast_many
@@ -25,6 +26,7 @@ from ..specs import RunContext, ScdKind, SourceSpec, TargetSpec
 from . import driver_tables as dt_
 from .driver_tables import (ASOF_DATE, RUN_DATE, SNAPSHOT_DATE, WINDOW_DAYS, table)
 
+SKEW_SAFE_HOT_KEY_ROWS = 50
 PROFILE_SUBSET = ("subs_key", "subs_id", "subs_stts_ds", "cust_type_ds", "acct_id", "cust_id",
                   *OUTPUT_MEASURES, "run_date")
 USAGE_TARGET_COLUMNS = ("subs_key",) + OUTPUT_MEASURES + ("evnt_strt",)
@@ -65,6 +67,21 @@ def scd4_asof_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("o_custkey", "o_orderkey", "o_orderstatus", "rnk")
 
 
+def scd4_asof_tie_break_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 with the tie-break option: one version per key even when tied."""
+    spec = _orders_spec(sf_dir, tie_break=("o_orderkey",))
+    df = read_source(spark, spec, _history(ASOF_DATE))
+    return df.select("o_custkey", "o_orderkey", "o_orderstatus", "rnk")
+
+
+def scd1_window_until_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 with the optional upper bound: nothing after the run date."""
+    spec = SourceSpec(name="events", kind=ScdKind.CURRENT_SCD1, location=_path(sf_dir, "events"),
+                      ts_column="ts", window_days=WINDOW_DAYS, window_until_run_date=True,
+                      columns=("event_id", "user_id", "event_type"))
+    return read_source(spark, spec, RunContext(RUN_DATE, RUN_DATE))
+
+
 def scd4_active_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = SourceSpec(name="customer", kind=ScdKind.DELTA_SCD4, active=_path(sf_dir, "customer"),
                       hist=_path(sf_dir, "orders"), keys="c_custkey", ts_column="o_orderdate",
@@ -107,13 +124,23 @@ def _small(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, bool]:
     return fits_broadcast_many({n: table(spark, sf_dir, n) for n in names})
 
 
+def usage_monthly_aligned_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 over a window aligned to the first of its month (Q8)."""
+    days = (RUN_DATE - window_start(RUN_DATE, WINDOW_DAYS, align_month=True)).days
+    windowed = scd1_window(dt_.usage(table(spark, sf_dir, "events")), "evnt_strt_ts",
+                           RUN_DATE, days)
+    return aggregate_usage(windowed, "MONTHLY")
+
+
 def _enrichment(spark: SparkSession, sf_dir: str, run_date: dt.date = RUN_DATE,
-                small: dict[str, bool] | None = None) -> DataFrame:
+                small: dict[str, bool] | None = None,
+                hot_key_rows: int | None = None) -> DataFrame:
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     small = small or _small(spark, sf_dir, "nation", "region")
     return enrich_subscribers(scd4_active(dt_.subscribers(customer)), dt_.status_lookup(nation),
                               dt_.cust_type_lookup(region), run_date,
-                              stts_small=small["nation"], cust_type_small=small["region"])
+                              stts_small=small["nation"], cust_type_small=small["region"],
+                              hot_key_rows=hot_key_rows)
 
 
 def enrich_status_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,10 +159,18 @@ def cast_key_left_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(F.col("a_key").alias("subs_key"), F.col("b_name").alias("subs_id"))
 
 
-def _profile(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def _profile(spark: SparkSession, sf_dir: str, mode: str, skew_safe: bool = False) -> DataFrame:
     customer, nation, orders = (table(spark, sf_dir, t) for t in ("customer", "nation", "orders"))
-    small = _small(spark, sf_dir, "nation", "region", "orders")
-    enriched = dt_.as_stored_enrichment(_enrichment(spark, sf_dir, small=small))
+    hot_key_rows = None
+    if skew_safe:
+        # every lookup shuffled and salted; each nation key (shared by
+        # thousands of customers at scale) counts as hot from 50 rows on
+        small = {"nation": False, "region": False, "orders": False}
+        hot_key_rows = SKEW_SAFE_HOT_KEY_ROWS
+    else:
+        small = _small(spark, sf_dir, "nation", "region", "orders")
+    enriched = dt_.as_stored_enrichment(_enrichment(spark, sf_dir, small=small,
+                                                    hot_key_rows=hot_key_rows))
     acct = dt_.accounts(scd4_asof(orders, ["o_custkey"], "o_orderdate", RUN_DATE))
     prof = build_profile(
         subs=scd4_active(dt_.subscribers(customer)),
@@ -143,7 +178,7 @@ def _profile(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
         acct=acct, cust=dt_.customers(nation),
         usage=_usage_daily(spark, sf_dir),
         run_date=RUN_DATE, mode=mode, key_cast_type="bigint",
-        acct_small=small["orders"], cust_small=small["nation"])
+        acct_small=small["orders"], cust_small=small["nation"], hot_key_rows=hot_key_rows)
     return prof.select(*PROFILE_SUBSET)
 
 
@@ -155,6 +190,11 @@ def profile_per_subscriber_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir, "per_subscriber")
 
 
+def profile_as_written_skewsafe_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile with no lookup broadcast: salted joins, hot keys split."""
+    return _profile(spark, sf_dir, "as_written", skew_safe=True)
+
+
 # -------------------------------------------------------------------- sinks
 
 def restate_usage_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,15 +243,19 @@ QUERIES = {
     "scd1_window": scd1_window_q,
     "scd1_full": scd1_full_q,
     "scd4_asof_latest": scd4_asof_latest_q,
+    "scd4_asof_tie_break": scd4_asof_tie_break_q,
+    "scd1_window_until": scd1_window_until_q,
     "scd4_active_route": scd4_active_route_q,
     "snapshot_read": snapshot_read_q,
     "source_dedup": source_dedup_q,
     "usage_daily_aggr": usage_daily_aggr_q,
     "usage_monthly_aggr": usage_monthly_aggr_q,
+    "usage_monthly_aligned": usage_monthly_aligned_q,
     "enrich_status_type": enrich_status_type_q,
     "cast_key_left_join": cast_key_left_join_q,
     "profile_as_written": profile_as_written_q,
     "profile_per_subscriber": profile_per_subscriber_q,
+    "profile_as_written_skewsafe": profile_as_written_skewsafe_q,
     "restate_usage_window": restate_usage_window_q,
     "full_table_overwrite": full_table_overwrite_q,
     "snapshot_write_read": snapshot_write_read_q,

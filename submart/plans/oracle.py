@@ -54,6 +54,13 @@ where cast(ts as date) >= date '2024-01-25' - 10""",
   select *, rank() over (partition by o_custkey order by o_orderdate desc) as rnk
   from orders where cast(o_orderdate as date) <= date '1999-06-30') z where rnk = 1""",
 
+    "scd4_asof_tie_break": """select o_custkey, o_orderkey, o_orderstatus, cast(rnk as int) as rnk from (
+  select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rnk
+  from orders where cast(o_orderdate as date) <= date '1999-06-30') z where rnk = 1""",
+
+    "scd1_window_until": """select event_id, user_id, event_type from events
+where cast(ts as date) >= date '2024-01-25' - 10 and cast(ts as date) <= date '2024-01-25'""",
+
     "scd4_active_route": "select c_custkey, c_name, c_nationkey from customer",
 
     "snapshot_read": """select o_orderkey, o_custkey from orders
@@ -68,6 +75,13 @@ select subs_key,{_SUMS},
   strftime(evnt_strt_ts, '%Y-%m-01') as aggr_grain
 from u group by subs_key, strftime(evnt_strt_ts, '%Y-%m-01')""",
 
+    # 2024-01-25 minus 10 days is 2024-01-15; aligned to its month: 2024-01-01
+    "usage_monthly_aligned": f"""with {_USAGE}
+select subs_key,{_SUMS},
+  strftime(evnt_strt_ts, '%Y-%m-01') as aggr_grain
+from u where cast(evnt_strt_ts as date) >= date '2024-01-01'
+group by subs_key, strftime(evnt_strt_ts, '%Y-%m-01')""",
+
     "enrich_status_type": _ENRICH,
 
     "cast_key_left_join": """select a.c_custkey as subs_key, b.c_name as subs_id from customer a
@@ -104,6 +118,8 @@ left join ac e on a.c_custkey = e.o_custkey
 left join nation f on a.c_nationkey = f.n_nationkey
 left join s g on a.c_custkey = g.subs_key""",
 
+    "profile_as_written_skewsafe": None,  # filled below: same rows as profile_as_written
+
     # run 1 (2024-01-20, window from 01-10) is overwritten from 01-15 on by
     # run 2 (2024-01-25); every day from 01-10 ends up complete
     "restate_usage_window": f"with {_USAGE}\n{_daily("date '2024-01-20' - 10")}",
@@ -112,3 +128,5 @@ left join s g on a.c_custkey = g.subs_key""",
 
     "snapshot_write_read": _ENRICH,
 }
+
+ORACLE_SQL["profile_as_written_skewsafe"] = ORACLE_SQL["profile_as_written"]
