@@ -86,34 +86,39 @@ def _limits(df: DataFrame, hot_key_rows, max_hot_keys, max_salt) -> tuple[int, i
 
 
 def _top_hot(counts: DataFrame, key: str, hot_key_rows: int, max_hot_keys: int,
-             max_salt: int) -> DataFrame:
+             max_salt: int, include_null: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     # at most max_hot_keys rows by construction; the order is total so every
     # use of the list sees the same keys
+    keep = F.col("__n") > F.lit(hot_key_rows)
+    if not include_null:
+        keep = keep & F.col(key).isNotNull()
     return F.broadcast(
-        counts.where(F.col(key).isNotNull() & (F.col("__n") > F.lit(hot_key_rows)))
+        counts.where(keep)
               .orderBy(F.col("__n").desc(), F.col(key))
               .limit(max_hot_keys)
               .select(F.col(key).alias(HK),
                       F.least(F.ceil(F.col("__n") / F.lit(hot_key_rows)),
-                              F.lit(max_salt)).cast("int").alias(NB)))
+                              F.lit(max_salt)).cast("int").alias(NB), *extra))
 
 
 def hot_keys(source: DataFrame, keys: list[str], hot_key_rows: int | None = None,
-             max_hot_keys: int | None = None, max_salt: int | None = None) -> dict[str, DataFrame]:
+             max_hot_keys: int | None = None, max_salt: int | None = None,
+             include_null: bool = False) -> dict[str, DataFrame]:
     """For each key column, its hottest values and how many salts each gets.
 
     One pass over ``source`` for all keys: a GROUPING SETS aggregate (one set
     per key, combined map-side), whose shuffle every list below reuses.  Each
-    list is a bounded top-k, ready to broadcast.
+    list is a bounded top-k, ready to broadcast.  ``include_null`` lets NULL
+    be a hot key too (where NULL keys form one group, as in a window).
     """
     rows, top, salt = _limits(source, hot_key_rows, max_hot_keys, max_salt)
     if len(keys) == 1:
         counts = source.groupBy(keys[0]).agg(F.count(F.lit(1)).alias("__n"))
-        return {keys[0]: _top_hot(counts, keys[0], rows, top, salt)}
+        return {keys[0]: _top_hot(counts, keys[0], rows, top, salt, include_null)}
     flags = [F.grouping(k).alias(f"__g{i}") for i, k in enumerate(keys)]
     counts = (source.groupingSets([[k] for k in keys], *keys)
                     .agg(F.count(F.lit(1)).alias("__n"), *flags))
-    return {k: _top_hot(counts.where(F.col(f"__g{i}") == 0), k, rows, top, salt)
+    return {k: _top_hot(counts.where(F.col(f"__g{i}") == 0), k, rows, top, salt, include_null)
             for i, k in enumerate(keys)}
 
 

@@ -70,21 +70,104 @@ def scd4_active(df: DataFrame) -> DataFrame:
 
 def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str,
               run_date: dt.date, tie_break: list[str] | tuple[str, ...] | None = None,
-              rank_column: str = "rnk") -> DataFrame:
+              rank_column: str = "rnk", skew_safe: bool = True,
+              hot_key_rows: int | None = None) -> DataFrame:
     """R4: newest version per key as of the run date.
 
     ``RANK`` keeps every version tied on the newest time.  ``tie_break``
-    orders the tied versions further and keeps one (``ROW_NUMBER``).
+    orders the tied versions further and keeps one per key.
+
+    With ``skew_safe`` (the default) no key, however hot, is ranked whole in
+    one task (see ``_asof_rank_salted`` and ``_asof_one_per_key``);
+    ``skew_safe=False`` is the plain window.
     """
+    eligible = hist.where(day_of(ts_column) <= F.lit(run_date))
+    keys = list(keys)
+    if tie_break and skew_safe and _orderable(eligible):
+        return _asof_one_per_key(eligible, keys, ts_column, list(tie_break), rank_column)
     order: list[Column] = [F.col(ts_column).desc()]
     ranker = F.rank()
     if tie_break:
         order += [F.col(c).desc() for c in tie_break]
         ranker = F.row_number()
+    if skew_safe and not tie_break:
+        return _asof_rank_salted(eligible, keys, ts_column, rank_column, hot_key_rows)
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    return (hist.where(day_of(ts_column) <= F.lit(run_date))
-                .withColumn(rank_column, ranker.over(w))
-                .where(F.col(rank_column) == 1))
+    return (eligible.withColumn(rank_column, ranker.over(w))
+                    .where(F.col(rank_column) == 1))
+
+
+def _orderable(df: DataFrame) -> bool:
+    from pyspark.sql import types as T
+
+    def ok(t):
+        if isinstance(t, T.MapType):
+            return False
+        if isinstance(t, T.ArrayType):
+            return ok(t.elementType)
+        if isinstance(t, T.StructType):
+            return all(ok(f.dataType) for f in t.fields)
+        return True
+    return ok(df.schema)
+
+
+def _asof_one_per_key(eligible: DataFrame, keys: list[str], ts_column: str,
+                      tie_break: list[str], rank_column: str) -> DataFrame:
+    """One version per key: the greatest ``(ts, tie_break..., other columns)``.
+
+    A plain aggregate (``max`` of a struct), combined map-side: each input
+    split sends one row per key, so a hot key costs nothing extra, and there
+    is no sort.  Among versions equal on ``(ts, tie_break)`` the choice is
+    deterministic (the greatest remaining columns).
+    """
+    cols = eligible.columns
+    rest = [c for c in cols if c not in keys and c != ts_column and c not in tie_break]
+    order = [ts_column, *tie_break, *rest]
+    best = F.max(F.struct(*[F.col(c).alias(f"__f{i}") for i, c in enumerate(order)]))
+    agg = eligible.groupBy(*keys).agg(best.alias("__best"))
+    picked = {c: F.col(f"__best.__f{i}") for i, c in enumerate(order)}
+    return agg.select(*[(F.col(c) if c in keys else picked[c]).alias(c) for c in cols],
+                      F.lit(1).alias(rank_column))
+
+
+def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank_column: str,
+                      hot_key_rows: int | None = None) -> DataFrame:
+    """Newest versions per key (ties kept) with hot keys ranked in pieces.
+
+    The partial ``WindowGroupLimit`` already shrinks a key with many
+    versions before the shuffle, but it keeps every row *tied* on the newest
+    time: a key (or NULL) whose newest version was loaded as millions of
+    copies would still land whole in one window task.  So:
+
+    1. one narrow aggregate (key and time columns only, combined map-side)
+       gives each key's row count and newest time; the hottest keys over
+       ``submart.skew.hotKeyRows`` form a bounded top-k, broadcast;
+    2. a hot key's rows are cut to those at its newest time (all of them are
+       the answer) and spread over several salts by a hash of the row;
+    3. the rank runs within ``(key, salt)``: a hot key's rows are all tied,
+       so every piece keeps all of them; every other key has one piece and
+       gets exactly the plain window's answer.
+
+    NULL keys form one group, as in the window.
+    """
+    from ..operators.joins import HK, NB, _limits, _top_hot
+
+    kc = "__asof_key"
+    key = F.struct(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
+    cols = eligible.columns
+    keyed = eligible.withColumn(kc, key)
+    rows, top, max_salt = _limits(eligible, hot_key_rows, None, None)
+    counts = keyed.groupBy(kc).agg(F.count(F.lit(1)).alias("__n"),
+                                   F.max(ts_column).alias("__newest"))
+    hot = _top_hot(counts, kc, rows, top, max_salt, include_null=True, extra=("__newest",))
+    salt = F.when(F.col(NB).isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col(NB)))
+    pieces = (keyed.join(hot, F.col(kc).eqNullSafe(F.col(HK)), "left")
+                   .where(F.col(NB).isNull() | (F.col(ts_column) == F.col("__newest")))
+                   .withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")))
+    w = Window.partitionBy(kc, "__salt").orderBy(F.col(ts_column).desc())
+    return (pieces.withColumn(rank_column, F.rank().over(w))
+                  .where(F.col(rank_column) == 1)
+                  .select(*cols, rank_column))
 
 
 def snapshot(df: DataFrame, snapshot_column: str, run_date: dt.date) -> DataFrame:
@@ -114,7 +197,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataF
         df = scd4_active(load(spark, spec.active, spec.format))
     elif spec.kind is ScdKind.DELTA_SCD4:
         df = scd4_asof(load(spark, spec.hist, spec.format), spec.keys, spec.ts_column,
-                       ctx.run_date, spec.tie_break)
+                       ctx.run_date, spec.tie_break, skew_safe=spec.skew_safe)
     elif spec.kind is ScdKind.SNAPSHOT:
         df = snapshot(load(spark, spec.location, spec.format), spec.snapshot_column,
                       ctx.run_date)

@@ -55,3 +55,35 @@ def test_salted_join_spreads_hot_and_null_keys(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_asof_spreads_a_hot_tied_key(spark):
+    import datetime as dt
+    from submart.sources import scd4_asof
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        t0 = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+        # a third of the rows: key 7, all loaded at the same instant (tied);
+        # a sixth: NULL key, also tied; the rest: many keys, varied times
+        hist = (spark.range(N).select(
+            F.col("id").alias("row_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7))
+             .when(F.col("id") % 6 == 1, F.lit(None))
+             .otherwise(F.col("id") % 997 + 1000).cast("int").alias("k"),
+            F.when(F.col("id") % 3 == 0, t0).when(F.col("id") % 6 == 1, t0)
+             .otherwise(t0 - F.expr("make_interval(0, 0, 0, 0, 0, 0, id % 50)")).alias("ts")))
+        run = dt.date(2024, 1, 2)
+        salted = scd4_asof(hist, ["k"], "ts", run, hot_key_rows=500)
+        plain = scd4_asof(hist, ["k"], "ts", run, skew_safe=False)
+        per_task = [r["n"] for r in salted.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect()]
+        plain_tasks = [r["n"] for r in plain.groupBy(F.spark_partition_id().alias("p"))
+                       .agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(plain_tasks) >= N // 3          # the control: one task ranks key 7
+        assert max(per_task) < N // 10             # salted: spread
+        key = lambda r: (r.row_id, r.rnk)
+        assert sorted(map(key, salted.collect())) == sorted(map(key, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
