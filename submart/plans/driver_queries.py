@@ -171,7 +171,9 @@ def _profile(spark: SparkSession, sf_dir: str, mode: str, skew_safe: bool = Fals
         small = _small(spark, sf_dir, "nation", "region", "orders")
     enriched = dt_.as_stored_enrichment(_enrichment(spark, sf_dir, small=small,
                                                     hot_key_rows=hot_key_rows))
-    acct = dt_.accounts(scd4_asof(orders, ["o_custkey"], "o_orderdate", RUN_DATE))
+    acct = dt_.accounts(scd4_asof(orders, ["o_custkey"], "o_orderdate", RUN_DATE,
+                                  skew_safe=True if skew_safe else None,
+                                  hot_key_rows=hot_key_rows))
     prof = build_profile(
         subs=scd4_active(dt_.subscribers(customer)),
         enriched=snapshot(enriched, "run_date", RUN_DATE),

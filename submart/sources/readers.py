@@ -70,19 +70,26 @@ def scd4_active(df: DataFrame) -> DataFrame:
 
 def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str,
               run_date: dt.date, tie_break: list[str] | tuple[str, ...] | None = None,
-              rank_column: str = "rnk", skew_safe: bool = True,
+              rank_column: str = "rnk", skew_safe: bool | None = None,
               hot_key_rows: int | None = None) -> DataFrame:
     """R4: newest version per key as of the run date.
 
     ``RANK`` keeps every version tied on the newest time.  ``tie_break``
     orders the tied versions further and keeps one per key.
 
-    With ``skew_safe`` (the default) no key, however hot, is ranked whole in
-    one task (see ``_asof_rank_salted`` and ``_asof_one_per_key``);
-    ``skew_safe=False`` is the plain window.
+    With ``skew_safe`` no key, however hot, is ranked whole in one task (see
+    ``_asof_rank_salted`` and ``_asof_one_per_key``); ``False`` is the plain
+    window.  ``None`` (the default) decides by a bounded, column-less count:
+    a history of at most ``hot_key_rows`` rows cannot hold a hot key, so it
+    gets the plain window; anything larger gets the skew-safe plan.
     """
+    from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, bounded_count
+
     eligible = hist.where(day_of(ts_column) <= F.lit(run_date))
     keys = list(keys)
+    if skew_safe is None:
+        rows = hot_key_rows or _conf_int(hist, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
+        skew_safe = bounded_count(hist, rows) > rows
     if tie_break and skew_safe and _orderable(eligible):
         return _asof_one_per_key(eligible, keys, ts_column, list(tie_break), rank_column)
     order: list[Column] = [F.col(ts_column).desc()]

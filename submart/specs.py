@@ -69,8 +69,9 @@ class SourceSpec:
     drop_duplicates: bool = False
     columns: tuple[str, ...] | None = None
     tie_break: tuple[str, ...] | None = None
-    #: rank hot keys of a history table in pieces (see ``scd4_asof``)
-    skew_safe: bool = True
+    #: rank hot keys of a history table in pieces (see ``scd4_asof``);
+    #: ``None`` decides by the table's size
+    skew_safe: bool | None = None
     #: storage partition column that holds ``to_date(ts_column)``; when set,
     #: the trailing window is also applied to it so whole directories prune
     partition_column: str | None = None

@@ -27,18 +27,35 @@ def test_window_filter_reaches_parquet(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in text
 
 
-def test_asof_uses_partial_window_group_limit(spark):
-    text = plan(QUERIES["scd4_asof_latest"](spark, SF))
+def _window_limits_around_shuffle(text: str) -> bool:
     tree = text.split("\n\n")[0].splitlines()
     limits = [i for i, line in enumerate(tree) if "WindowGroupLimit" in line]
     shuffles = [i for i, line in enumerate(tree)
                 if "Exchange" in line and "Broadcast" not in line]
     # final limit above the shuffle, partial limit below it
-    assert len(limits) == 2 and any(limits[0] < e < limits[1] for e in shuffles)
-    assert "Partial" in text and "Final" in text
+    return (len(limits) == 2 and any(limits[0] < e < limits[1] for e in shuffles)
+            and "Partial" in text and "Final" in text)
+
+
+def test_asof_uses_partial_window_group_limit(spark):
+    # a small history cannot hold a hot key: the plain window
+    text = plan(QUERIES["scd4_asof_latest"](spark, SF))
+    assert _window_limits_around_shuffle(text)
     assert "LessThan(o_orderdate,1999-07-01T00:00)" in text
-    # the hot-key pass reads only the key and time columns
+    assert "TakeOrderedAndProject" not in text
+
+
+def test_skew_safe_asof_plan(spark):
+    spark.conf.set("submart.skew.hotKeyRows", "100")
+    try:
+        text = plan(QUERIES["scd4_asof_latest"](spark, SF))
+    finally:
+        spark.conf.unset("submart.skew.hotKeyRows")
+    assert _window_limits_around_shuffle(text)
+    # the hot-key pass reads only the key and time columns, and its result
+    # is a bounded top-k
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in text
+    assert "TakeOrderedAndProject" in text
 
 
 def test_snapshot_read_prunes_partitions(spark):
@@ -74,7 +91,7 @@ def test_salted_join_plans_are_linear(spark):
         spark.conf.unset("submart.broadcast.maxRows")
     tree = text.split("\n\n")[0]
     # four salted lookups (two in the enrichment, two in the profile), each
-    # using its hot-key top-k on both sides, plus the account as-of read's
-    # own top-k; nothing more is planned
-    assert tree.count("TakeOrderedAndProject") == 9
+    # using its hot-key top-k on both sides; nothing more is planned (the
+    # account history is too small to hold a hot key: plain window)
+    assert tree.count("TakeOrderedAndProject") == 8
     assert "Generate" in text
