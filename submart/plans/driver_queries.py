@@ -213,7 +213,9 @@ def restate_usage_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                         keys=("subs_key",),
                         files_per_partition=max(1, parts // (WINDOW_DAYS + 1)))
     events = table(spark, sf_dir, "events")
-    seen_at_noon = events.where(F.col("ts") < F.lit(dt.datetime(2024, 1, 20, 12, 0)))
+    # a zone-free literal, like the column: no session or process zone involved
+    noon = F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
+    seen_at_noon = events.where(F.col("ts") < noon)
     overwrite_partitions(_usage_daily(spark, sf_dir, dt.date(2024, 1, 20), seen_at_noon), target)
     overwrite_partitions(_usage_daily(spark, sf_dir, RUN_DATE, events), target)
     return read_table(spark, target.location)
