@@ -36,7 +36,10 @@ HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS_CONF = "submart.skew.maxHotKeys"
 MAX_HOT_KEYS = 10_000
 MAX_SALT_CONF = "submart.skew.maxSalt"
-MAX_SALT = 256
+# a hot key gets one salt per hotKeyRows rows, up to this many; the lookup
+# rows copied for salting total about (all left rows / hotKeyRows), so the
+# cap bounds task size, not cost: 1/3 of 1e11 rows in 4096 pieces is ~8e6 each
+MAX_SALT = 4096
 
 
 def _conf_int(df: DataFrame, key: str, default: int) -> int:
