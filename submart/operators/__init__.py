@@ -1,13 +1,14 @@
 """The jobs' transformations, as DataFrame in / DataFrame out functions."""
 
 from .enrich import ENRICHED_COLUMNS, enrich_subscribers
-from .joins import (bounded_count, fits_broadcast, fits_broadcast_many,
-                    hot_keys, lookup_join, salted_left_join)
+from .joins import (fits_broadcast, fits_broadcast_many, hot_keys, lookup_join,
+                    row_count, row_counts, salted_left_join)
 from .profile import PROFILE_COLUMNS, build_profile
 from .usage import MEASURES, OUTPUT_MEASURES, aggregate_usage
 
 __all__ = [
     "ENRICHED_COLUMNS", "MEASURES", "OUTPUT_MEASURES", "PROFILE_COLUMNS",
-    "aggregate_usage", "bounded_count", "build_profile", "enrich_subscribers",
-    "fits_broadcast", "fits_broadcast_many", "hot_keys", "lookup_join", "salted_left_join",
+    "aggregate_usage", "build_profile", "enrich_subscribers", "fits_broadcast",
+    "fits_broadcast_many", "hot_keys", "lookup_join", "row_count", "row_counts",
+    "salted_left_join",
 ]

@@ -4,11 +4,14 @@ Every join in the jobs is a left outer equi-join of a large table onto a
 lookup (status, customer type, account, customer, snapshot, usage).  Two
 things decide its plan at scale:
 
-* **A lookup of proven size is broadcast.**  The proof is a bounded row
-  count (``limit(cap + 1)``) of the stored rows the lookup is read from; a
-  lookup over the bound is never broadcast.  The probe projects no column
-  (``ReadSchema: struct<>``), so on a large table it reads row counts, not
-  data; all of a query's probes run as one Spark job.
+* **A lookup of proven size is broadcast.**  The proof is an exact row
+  count of the stored rows the lookup is read from; a lookup over the bound
+  is never broadcast.  The count projects no column (``ReadSchema:
+  struct<>``: Parquet answers from row-group metadata) and is combined
+  map-side (one partial count per task crosses the network), so it stays
+  cheap on a huge table; all of a query's counts run as one Spark job.
+  (``limit(n + 1).count()`` would not: it funnels up to ``n + 1`` rows *per
+  split* into a single task.)
 * **Otherwise hot keys are salted.**  A lookup key may carry a third of the
   left rows (one corporate account, one status code, NULL).  In a plain
   shuffled join all of them land in one task.  ``salted_left_join`` counts
@@ -46,37 +49,41 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
     return int(df.sparkSession.conf.get(key, str(default)))
 
 
-def bounded_count(df: DataFrame, cap: int) -> int:
-    """``min(count(df), cap + 1)`` without counting past the cap."""
-    return df.limit(int(cap) + 1).count()
+def row_counts(probes: dict[str, DataFrame]) -> dict[str, int]:
+    """Exact row counts of several DataFrames in one Spark job.
+
+    Each DataFrame is projected to a constant tag (no column is read) and
+    one grouped count runs over their union: every task sends one partial
+    count per tag, and the driver receives one row per DataFrame.
+    """
+    if not probes:
+        return {}
+    tagged = [df.select(F.lit(name).alias("__probe")) for name, df in probes.items()]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionAll(t)
+    counts = {r["__probe"]: r["n"] for r in
+              union.groupBy("__probe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: int(counts.get(name, 0)) for name in probes}
+
+
+def row_count(df: DataFrame) -> int:
+    return row_counts({"df": df})["df"]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (checked, not estimated)."""
-    if max_rows is None:
-        max_rows = _conf_int(df, BROADCAST_MAX_ROWS_CONF, BROADCAST_MAX_ROWS)
-    return bounded_count(df, max_rows) <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (counted, not estimated)."""
+    return fits_broadcast_many({"df": df}, max_rows)["df"]
 
 
 def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = None) -> dict[str, bool]:
-    """``fits_broadcast`` for several tables in one Spark job.
-
-    Each probe contributes at most ``max_rows + 1`` rows, tagged with its
-    name; one grouped count over their union gives every bounded count.
-    """
+    """``fits_broadcast`` for several tables in one Spark job."""
     if not probes:
         return {}
-    any_df = next(iter(probes.values()))
     if max_rows is None:
+        any_df = next(iter(probes.values()))
         max_rows = _conf_int(any_df, BROADCAST_MAX_ROWS_CONF, BROADCAST_MAX_ROWS)
-    tagged = [df.limit(int(max_rows) + 1).select(F.lit(name).alias("__probe"))
-              for name, df in probes.items()]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionAll(t)
-    counts = {r["__probe"]: r["n"] for r in
-              union.groupBy("__probe").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in probes}
+    return {name: n <= max_rows for name, n in row_counts(probes).items()}
 
 
 HK, NB = "__hot_key", "__hot_salts"
@@ -165,7 +172,7 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
                 salt_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Left join onto a lookup: broadcast when proven small, else salted.
 
-    ``probe`` holds the stored rows ``right`` is read from; its bounded count
+    ``probe`` holds the stored rows ``right`` is read from; its row count
     decides ``small`` when the caller has not.  Without a probe ``right``
     itself is counted.
     """

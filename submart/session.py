@@ -25,7 +25,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # broadcast on measured sizes only: no static broadcast from file-size
     # estimates; AQE still turns a join whose side *measured* small at run
-    # time into a broadcast, and explicit broadcasts follow a bounded count
+    # time into a broadcast, and explicit broadcasts follow an exact row count
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # partitions not present in a result are never deleted by a write

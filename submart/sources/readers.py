@@ -79,17 +79,17 @@ def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str
 
     With ``skew_safe`` no key, however hot, is ranked whole in one task (see
     ``_asof_rank_salted`` and ``_asof_one_per_key``); ``False`` is the plain
-    window.  ``None`` (the default) decides by a bounded, column-less count:
-    a history of at most ``hot_key_rows`` rows cannot hold a hot key, so it
+    window.  ``None`` (the default) decides by a column-less row count: a
+    history of at most ``hot_key_rows`` rows cannot hold a hot key, so it
     gets the plain window; anything larger gets the skew-safe plan.
     """
-    from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, bounded_count
+    from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, row_count
 
     eligible = hist.where(day_of(ts_column) <= F.lit(run_date))
     keys = list(keys)
     if skew_safe is None:
         rows = hot_key_rows or _conf_int(hist, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
-        skew_safe = bounded_count(hist, rows) > rows
+        skew_safe = row_count(hist) > rows
     if tie_break and skew_safe and _orderable(eligible):
         return _asof_one_per_key(eligible, keys, ts_column, list(tie_break), rank_column)
     order: list[Column] = [F.col(ts_column).desc()]
@@ -222,8 +222,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataF
 def source_size_probe(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataFrame:
     """The stored rows a source reads from, before any window or rank.
 
-    Its row count bounds the size of ``read_source(spec)``, so a bounded count
-    of it decides a broadcast without computing the as-of read twice.
+    Its row count bounds the size of ``read_source(spec)``, so counting it
+    decides a broadcast without computing the as-of read twice.
     """
     if spec.kind is ScdKind.DELTA_SCD4:
         return load(spark, spec.active if ctx.reads_active else spec.hist, spec.format)
