@@ -51,3 +51,13 @@ def sum_result_type(dtype: T.DataType) -> T.DataType:
 def row_hash(cols: list[str]) -> Column:
     """Deterministic 64-bit hash of some columns (stable across task retries)."""
     return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def salt_hash(cols: list[str]) -> Column:
+    """Hash for picking a salt: the columns plus the task's partition index.
+
+    Identical rows (copies) hash alike by content alone; adding the input
+    partition index spreads copies that sit in different input splits.  The
+    index is fixed for a task, so a retried task picks the same salts.
+    """
+    return F.xxhash64(*[F.col(c) for c in cols], F.spark_partition_id())

@@ -18,8 +18,8 @@ things decide its plan at scale:
   left rows per key (a map-side combined aggregate), takes the hottest keys
   over a threshold (a bounded top-k, so its broadcast is bounded by
   construction), spreads each hot key's left rows over several salt values
-  by a hash of the row, and copies only those keys' lookup rows once per
-  salt.  Keys below the threshold join as usual, so the result is exact
+  by a hash of the row and its input split (so even identical copies
+  spread), and copies only those keys' lookup rows once per salt.  Keys below the threshold join as usual, so the result is exact
   for every key.  NULL keys, which never match, are spread by the same
   hash.
 """
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import row_hash
+from ..functions.exprs import salt_hash
 
 #: Spark conf keys (read from the session) and their defaults
 BROADCAST_MAX_ROWS_CONF = "submart.broadcast.maxRows"
@@ -152,7 +152,7 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
         source = left if hot_keys_from is None else hot_keys_from
         hot = hot_keys(source, [left_key], hot_key_rows, max_hot_keys, max_salt)[left_key]
     ls, rs = "__lsalt", "__rsalt"
-    h = row_hash(list(salt_by or left.columns))
+    h = salt_hash(list(salt_by or left.columns))
     spread = F.pmod(h, F.lit(max_salt)).cast("int")
     lsalt = (F.when(F.col(NB).isNotNull(), F.pmod(h, F.col(NB)).cast("int"))
               .when(F.col(left_key).isNull(), spread)

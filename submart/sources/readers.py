@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_of, days_before
+from ..functions.exprs import salt_hash
 from ..specs import RunContext, ScdKind, SourceSpec
 
 
@@ -167,7 +168,7 @@ def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank
     counts = keyed.groupBy(kc).agg(F.count(F.lit(1)).alias("__n"),
                                    F.max(ts_column).alias("__newest"))
     hot = _top_hot(counts, kc, rows, top, max_salt, include_null=True, extra=("__newest",))
-    salt = F.when(F.col(NB).isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col(NB)))
+    salt = F.when(F.col(NB).isNotNull(), F.pmod(salt_hash(cols), F.col(NB)))
     pieces = (keyed.join(hot, F.col(kc).eqNullSafe(F.col(HK)), "left")
                    .where(F.col(NB).isNull() | (F.col(ts_column) == F.col("__newest")))
                    .withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")))

@@ -87,3 +87,23 @@ def test_asof_spreads_a_hot_tied_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_identical_copies_of_a_hot_key_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        # 12,000 identical rows of key 7 in 16 input splits, plus other keys
+        copies = spark.range(12_000).repartition(16).select(F.lit(7).alias("k"),
+                                                            F.lit("same").alias("v"))
+        others = spark.range(N).select((F.col("id") % 997 + 1000).cast("int").alias("k"),
+                                       F.lit("other").alias("v"))
+        left = copies.unionByName(others)
+        out = salted_left_join(left, lookup(spark), "k", "lk", hot_key_rows=1000, max_salt=16)
+        per_task = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(per_task) == 12_000 + N
+        assert max(per_task) < 12_000 // 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
