@@ -112,29 +112,30 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
         return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small,
                            salt_by=["a_subs_key"], hot=hot.get("a_cust_key"))
 
-    def by_subscriber(x: DataFrame, g: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The two subs_key joins, for rows that can match; and the rest.
-
-        A NULL key matches nothing, so those rows skip the joins (their
-        enrichment and usage columns are NULL) instead of all hashing into
-        one task; NULL keys on the right are dropped for the same reason.
-        """
-        rb = b.where(F.col("b_key").isNotNull())
+    # A NULL subscriber key matches nothing in the subs_key joins, so those
+    # rows skip them (their enrichment and usage columns are NULL) rather
+    # than all hashing into one task; NULL keys on the right are dropped for
+    # the same reason.  The split is made on the subscribers themselves: the
+    # filter reaches the scan (Parquet null counts skip row groups), so the
+    # NULL-key branch reads next to nothing and replays no join.
+    keyed_a = a.where(F.col("a_subs_key").isNotNull())
+    null_a = a.where(F.col("a_subs_key").isNull())
+    rb = b.where(F.col("b_key").isNotNull())
+
+    def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:
         rg = g.where(F.col("g_subs_key").isNotNull())
-        keyed = x.where(F.col("a_subs_key").isNotNull())
-        joined = (keyed.join(rb, F.col("a_subs_key") == F.col("b_key"), "left")
-                       .join(rg, F.col("a_subs_key") == F.col("g_subs_key"), "left"))
-        unkeyed = x.where(F.col("a_subs_key").isNull()).select(
-            *x.columns, *[F.lit(None).cast(fld.dataType).alias(fld.name)
-                          for fld in (*rb.schema.fields, *rg.schema.fields)])
-        return joined, unkeyed
+        return (x.join(rb, F.col("a_subs_key") == F.col("b_key"), "left")
+                 .join(rg, F.col("a_subs_key") == F.col("g_subs_key"), "left"))
+
+    def without_match(x: DataFrame, g: DataFrame) -> DataFrame:
+        return x.select(*x.columns, *[F.lit(None).cast(fld.dataType).alias(fld.name)
+                                      for fld in (*rb.schema.fields, *g.schema.fields)])
 
     if mode == "per_subscriber":
         g = (usage.groupBy(F.col("subs_key").alias("g_subs_key"))
                   .agg(*[F.sum(m).alias(f"g_{m}") for m in OUTPUT_MEASURES]))
         # the subs_key joins reuse the as-of read's partitioning; then lookups
-        joined, unkeyed = by_subscriber(a, g)
-        x = lookups(joined.unionByName(unkeyed))
+        x = lookups(by_subscriber(keyed_a, g).unionByName(without_match(null_a, g)))
         return x.select(*[F.col(src).alias(out) for out, src in PROFILE_OUTPUT],
                         *[F.col(f"g_{m}").alias(m) for m in OUTPUT_MEASURES], run)
 
@@ -146,14 +147,15 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
               .groupBy(F.col("subs_key").alias("g_subs_key"),
                        *[F.col(m).alias(f"g_{m}") for m in OUTPUT_MEASURES])
               .agg(*[F.sum(m).alias(f"s_{m}") for m in OUTPUT_MEASURES]))
-    joined, unkeyed = by_subscriber(lookups(a), g)
     group = ([f"a_{c}" for c in _GROUP_A] + [f"b_{c}" for c in ENRICHED_USED]
              + [f"e_{c}" for c in ACCT_COLUMNS] + [f"f_{c}" for c in CUST_COLUMNS]
              + measures + ["g_subs_key"])
     types = {fld.name: fld.dataType for fld in usage.schema.fields}
     sums = [F.sum(f"s_{m}").cast(sum_result_type(types[m])).alias(m) for m in OUTPUT_MEASURES]
-    # keyed rows: the GROUP BY holds a_subs_key, so it runs on the join's
-    # partitioning; NULL-key rows: their own (map-side combined) aggregate
-    out = joined.groupBy(*group).agg(*sums).unionByName(unkeyed.groupBy(*group).agg(*sums))
+    # keyed rows: the GROUP BY holds a_subs_key, so it runs on the last
+    # join's partitioning; NULL-key rows: their own (map-side combined) one
+    keyed = by_subscriber(lookups(keyed_a), g).groupBy(*group).agg(*sums)
+    unkeyed = without_match(lookups(null_a), g).groupBy(*group).agg(*sums)
+    out = keyed.unionByName(unkeyed)
     return out.select(*[F.col(src).alias(out_name) for out_name, src in PROFILE_OUTPUT],
                       *OUTPUT_MEASURES, run)
