@@ -8,6 +8,8 @@ into place at job commit, so a lost executor only costs a task retry.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,14 +70,25 @@ def overwrite_partitions(df: DataFrame, target: TargetSpec) -> None:
     _insert_dynamic(spark, writer, target.location)
 
 
+_MODE_LOCK = threading.Lock()
+
+
 def _insert_dynamic(spark: SparkSession, writer, table: str) -> None:
+    """``insertInto`` with dynamic overwrite, whatever the session default.
+
+    Spark 4.1 ignores the per-write ``partitionOverwriteMode`` option for
+    ``insertInto`` (and ``writeTo().overwritePartitions()`` refuses v1
+    tables), so the session setting is switched for the write; a lock keeps
+    concurrent writers of this process from seeing each other's switch.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        writer.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    with _MODE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            writer.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
 
 
 def write_table(df: DataFrame, location: str, mode: str = "overwrite",
