@@ -5,12 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
-import fixtures as fx
 from submart.plans.driver_queries import QUERIES
 from submart.session import shared_dir
-from submart.sources import scd1_window, scd4_asof, snapshot
+from submart.sources import snapshot
 
 SF = "/root/testdata/sf0.001"
 
