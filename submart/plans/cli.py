@@ -35,12 +35,15 @@ def parser() -> argparse.ArgumentParser:
                    help="the date that picks active over history reads (default: today)")
     p.add_argument("--mode", default="as_written", choices=("as_written", "per_subscriber"))
     p.add_argument("--master", default=None)
+    p.add_argument("--cluster", action="store_true",
+                   help="apply the large-cluster sizing (submart.session.CLUSTER_CONF)")
     return p
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = build_session(master=args.master, app_name=f"submart-{args.job}")
+    spark = build_session(master=args.master, app_name=f"submart-{args.job}",
+                          cluster=args.cluster)
     spark.sparkContext.setLogLevel(args.log_level)
     ctx = parse_context(spark, args.run_date, args.run_date_format, args.current_date)
     layout = Layout(root=args.root, database=args.database, format=args.format)

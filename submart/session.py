@@ -33,13 +33,40 @@ RECOMMENDED_CONF = {
 }
 
 
+#: sizing for ~100 TB inputs on ~1000 executors; applied with
+#: ``build_session(cluster=True)``.  Scan splits and shuffle partitions aim
+#: at a few hundred MB each, so a task's state fits executor memory (and
+#: spills if not) without hundreds of thousands of tiny tasks.
+CLUSTER_CONF = {
+    # scan: fewer, larger splits (column pruning shrinks what is read)
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    # shuffle: an upper bound for the widest stage; AQE coalesces the rest
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64MB",
+    # AQE's own skew splitting, behind the salting of hot keys
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    # lost executors and stragglers: re-run slow tasks elsewhere, and move
+    # shuffle blocks off executors being decommissioned instead of
+    # recomputing them (all jobs are deterministic, so retries are safe)
+    "spark.speculation": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "submart",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  cluster: bool = False) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(RECOMMENDED_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
