@@ -120,6 +120,9 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     # NULL-key branch reads next to nothing and replays no join.
     keyed_a = a.where(F.col("a_subs_key").isNotNull())
     null_a = a.where(F.col("a_subs_key").isNull())
+    # usually there are none: then the branch is not planned at all (the
+    # check stops at the first such row; row-group statistics skip the rest)
+    has_null_keys = not null_a.isEmpty()
     rb = b.where(F.col("b_key").isNotNull())
 
     def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:
@@ -135,7 +138,10 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
         g = (usage.groupBy(F.col("subs_key").alias("g_subs_key"))
                   .agg(*[F.sum(m).alias(f"g_{m}") for m in OUTPUT_MEASURES]))
         # the subs_key joins reuse the as-of read's partitioning; then lookups
-        x = lookups(by_subscriber(keyed_a, g).unionByName(without_match(null_a, g)))
+        x = by_subscriber(keyed_a, g)
+        if has_null_keys:
+            x = x.unionByName(without_match(null_a, g))
+        x = lookups(x)
         return x.select(*[F.col(src).alias(out) for out, src in PROFILE_OUTPUT],
                         *[F.col(f"g_{m}").alias(m) for m in OUTPUT_MEASURES], run)
 
@@ -154,8 +160,8 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     sums = [F.sum(f"s_{m}").cast(sum_result_type(types[m])).alias(m) for m in OUTPUT_MEASURES]
     # keyed rows: the GROUP BY holds a_subs_key, so it runs on the last
     # join's partitioning; NULL-key rows: their own (map-side combined) one
-    keyed = by_subscriber(lookups(keyed_a), g).groupBy(*group).agg(*sums)
-    unkeyed = without_match(lookups(null_a), g).groupBy(*group).agg(*sums)
-    out = keyed.unionByName(unkeyed)
+    out = by_subscriber(lookups(keyed_a), g).groupBy(*group).agg(*sums)
+    if has_null_keys:
+        out = out.unionByName(without_match(lookups(null_a), g).groupBy(*group).agg(*sums))
     return out.select(*[F.col(src).alias(out_name) for out_name, src in PROFILE_OUTPUT],
                       *OUTPUT_MEASURES, run)

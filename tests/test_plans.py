@@ -69,13 +69,10 @@ def test_snapshot_read_prunes_partitions(spark):
 def test_profile_final_aggregate_needs_no_extra_shuffle(spark):
     text = plan(QUERIES["profile_as_written"](spark, SF))
     top = [line.strip(" :|+-") for line in text.split("\n\n")[0].splitlines()]
-    # keyed subscribers: the two aggregates sit directly on the last join,
-    # no Exchange between; NULL-key subscribers: their own aggregate
-    assert top[2].startswith("Union")
-    # the NULL-key branch is split off at the scan, not after the joins
-    assert "PushedFilters: [IsNull(c_custkey)]" in text
-    assert top[3].startswith("HashAggregate") and top[4].startswith("HashAggregate")
-    assert "Join" in top[5]
+    # the two aggregates sit directly on the last join, no Exchange between
+    # (no subscriber key is NULL here, so there is no NULL-key branch)
+    assert top[2].startswith("HashAggregate") and top[3].startswith("HashAggregate")
+    assert "Join" in top[4]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -93,9 +90,8 @@ def test_salted_join_plans_are_linear(spark):
         spark.conf.unset("submart.broadcast.maxRows")
     tree = text.split("\n\n")[0]
     # four salted lookups (two in the enrichment, two in the profile), each
-    # using its hot-key top-k on both sides; the profile's lookups feed both
-    # the keyed and the NULL-key branch (identical subtrees, reused at run
-    # time): 2*2 + 2*2*2.  Nothing more is planned (the account history is
-    # too small to hold a hot key: plain window)
-    assert tree.count("TakeOrderedAndProject") == 12
+    # using its hot-key top-k on both sides; nothing more is planned (no
+    # NULL subscriber key, so no NULL-key branch; the account history is too
+    # small to hold a hot key: plain window)
+    assert tree.count("TakeOrderedAndProject") == 8
     assert "Generate" in text
