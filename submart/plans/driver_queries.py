@@ -213,7 +213,7 @@ def restate_usage_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     target = TargetSpec(name="usge_dly_aggr", location=shared_dir(spark, "restate"),
                         partition_columns=("evnt_strt",), columns=USAGE_TARGET_COLUMNS,
-                        keys=("subs_key",),
+                        keys=("subs_key",), rebalance=True,
                         files_per_partition=max(1, parts // (WINDOW_DAYS + 1)))
     events = table(spark, sf_dir, "events")
     # a zone-free literal, like the column: no session or process zone involved

@@ -72,7 +72,8 @@ def usage_specs(spark: SparkSession, layout: Layout, window_days: int = USAGE_WI
     target = TargetSpec(name="usge_dly_aggr", location=layout.where("usge_dly_aggr"),
                         partition_columns=(USAGE_PARTITION,),
                         columns=("subs_key",) + OUTPUT_MEASURES + (USAGE_PARTITION,),
-                        keys=("subs_key",), format=layout.format,
+                        keys=("subs_key",), format=layout.format, rebalance=True,
+                        # without AQE: a fixed number of files per day
                         files_per_partition=max(1, _shuffle_partitions(spark) // (window_days + 1)))
     return source, target
 

@@ -42,6 +42,9 @@ def _spread(df: DataFrame, target: TargetSpec) -> DataFrame:
     (tasks x days small files); with it one value never serialises on one
     task either.
     """
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    if target.rebalance and aqe:
+        return df.hint("rebalance", *target.partition_columns)
     if target.files_per_partition is None:
         return df
     parts = [F.col(c) for c in target.partition_columns]

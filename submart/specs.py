@@ -126,6 +126,11 @@ class TargetSpec:
     #: ``None`` writes as the result is partitioned, right for a result with
     #: a single partition value (one file per task, no extra shuffle)
     files_per_partition: int | None = None
+    #: let AQE size the files instead: ``REBALANCE`` by the partition
+    #: columns, which splits a large partition value over several tasks and
+    #: merges small ones (needs ``spark.sql.adaptive.enabled``; takes
+    #: precedence over ``files_per_partition`` when AQE is on)
+    rebalance: bool = False
     max_records_per_file: int | None = None
 
     def __post_init__(self):

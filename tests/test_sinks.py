@@ -115,3 +115,18 @@ def test_conform_rejects_wrong_width(spark):
     import pytest
     with pytest.raises(ValueError):
         overwrite_partitions(spark.range(1), target(shared_dir(spark, "bad")))
+
+
+def test_rebalance_spreads_by_partition_value(spark):
+    import glob
+    loc = shared_dir(spark, "rebalance")
+    rows = [(k, k, D(2024, 1, 1 + k % 3)) for k in range(3000)]
+    t = target(loc, rebalance=True)
+    df = frame(spark, rows).repartition(8)
+    from submart.sources.sinks import _spread, conform
+    plan = _spread(conform(df, t), t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    overwrite_partitions(df, t)
+    path = loc[len("file:"):] if loc.startswith("file:") else loc
+    assert len(glob.glob(f"{path}/evnt_strt=*")) == 3
+    assert len(read(spark, loc)) == 3000
