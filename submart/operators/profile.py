@@ -81,11 +81,16 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
                   key_cast_type: str = "int",
                   acct_probe: DataFrame | None = None, cust_probe: DataFrame | None = None,
                   acct_small: bool | None = None, cust_small: bool | None = None,
-                  hot_key_rows: int | None = None) -> DataFrame:
+                  hot_key_rows: int | None = None, null_keys: bool | None = None) -> DataFrame:
     """Join the as-of subscribers to enrichment, account, customer and usage.
 
     ``enriched.subs_key`` is cast to ``key_cast_type`` for the join; bad text
-    gives NULL (no match) rather than failing the job.
+    gives NULL (no match) rather than failing the job.  ``null_keys`` says
+    whether ``subs`` may hold NULL subscriber keys; ``None`` checks ``subs``
+    (a job that stops at the first such row, but over a skew-safe as-of read
+    it runs that read: callers with the stored table should ask it instead,
+    as the profile job does), ``False`` skips the NULL-key branch and
+    ``True`` always plans it.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
@@ -122,7 +127,7 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     null_a = a.where(F.col("a_subs_key").isNull())
     # usually there are none: then the branch is not planned at all (the
     # check stops at the first such row; row-group statistics skip the rest)
-    has_null_keys = not null_a.isEmpty()
+    has_null_keys = (not null_a.isEmpty()) if null_keys is None else null_keys
     rb = b.where(F.col("b_key").isNotNull())
 
     def by_subscriber(x: DataFrame, g: DataFrame) -> DataFrame:

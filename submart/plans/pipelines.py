@@ -171,9 +171,15 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
     if usage_to is not None:
         read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) <= F.lit(usage_to))
     small = _small(spark, [sources["vw_acct"], sources["vw_cust"]], ctx)
+    # NULL subscriber keys, asked of the stored rows: IsNull reaches Parquet
+    # and row-group null counts answer it without reading the data
+    subs = sources["vw_subs"]
+    null_keys = not (source_size_probe(spark, subs, ctx)
+                     .where(F.col(subs.keys[0]).isNull()).isEmpty())
     return build_profile(read["vw_subs"], read["subs_enriched"], read["vw_acct"],
                          read["vw_cust"], read["usge_dly_aggr"], ctx.run_date, mode=mode,
-                         acct_small=small["vw_acct"], cust_small=small["vw_cust"])
+                         acct_small=small["vw_acct"], cust_small=small["vw_cust"],
+                         null_keys=null_keys)
 
 
 def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,

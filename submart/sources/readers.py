@@ -172,7 +172,10 @@ def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank
     pieces = (keyed.join(hot, F.col(kc).eqNullSafe(F.col(HK)), "left")
                    .where(F.col(NB).isNull() | (F.col(ts_column) == F.col("__newest")))
                    .withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")))
-    w = Window.partitionBy(kc, "__salt").orderBy(F.col(ts_column).desc())
+    # partition by the key columns themselves.  (A filter on a key above this
+    # read stops at the salt, which Catalyst treats as non-deterministic; a
+    # second branch over the same read then reuses its shuffle instead.)
+    w = Window.partitionBy(*[F.col(k) for k in keys], "__salt").orderBy(F.col(ts_column).desc())
     return (pieces.withColumn(rank_column, F.rank().over(w))
                   .where(F.col(rank_column) == 1)
                   .select(*cols, rank_column))
