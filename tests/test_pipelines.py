@@ -133,3 +133,22 @@ def test_source_registered_as_view(spark, layout):
                       view_name="vw_subs")
     read_source(spark, spec, RunContext(fx.RUN_DATE, fx.CURRENT_DATE))
     assert spark.sql("select count(*) from vw_subs").first()[0] == 4
+
+
+def test_null_subscriber_keys_in_stored_history(spark):
+    lay = Layout(root=shared_dir(spark, "nullkeys"))
+    extra = spark.createDataFrame(
+        [(None, "N1", 10, 100, None, None, None, None, None, None, 1000, None, None, 5000,
+          fx.ts("2024-01-02 00:00:00"))], fx.SUBS_SCHEMA)
+    tables = dict(SOURCES, vw_subs_hist=lambda s: fx.subs_hist(s).unionByName(extra))
+    for name, make in tables.items():
+        make(spark).write.parquet(lay.where(name))
+        if name.endswith("_hist"):
+            make(spark).write.parquet(lay.where(name[:-len("_hist")] + "_active"))
+    run_all(spark, lay, RunContext(fx.RUN_DATE, fx.CURRENT_DATE))
+    prof = read_table(spark, lay.where("subs_profile"))
+    got = fx.sorted_rows(prof, fx.PROFILE_CHECKED)
+    # the job's rows for subscribers 1-5, plus the NULL-key subscriber with
+    # its account and customer but no enrichment and no usage
+    assert got == fx.as_sorted(fx.EXPECTED_AS_WRITTEN + [
+        (None, None, None, "A1000", "C5000", None, None, None, None)])
