@@ -152,3 +152,12 @@ def test_null_subscriber_keys_in_stored_history(spark):
     # its account and customer but no enrichment and no usage
     assert got == fx.as_sorted(fx.EXPECTED_AS_WRITTEN + [
         (None, None, None, "A1000", "C5000", None, None, None, None)])
+
+
+def test_usage_dedup_flag(spark):
+    lay = Layout(root=shared_dir(spark, "dedup"))
+    usage = fx.usage(spark)
+    usage.unionByName(usage).write.parquet(lay.where("vw_usge"))  # every row twice
+    run_usage_daily(spark, lay, RunContext(fx.RUN_DATE, fx.CURRENT_DATE), drop_duplicates=True)
+    got = sorted(tuple(r) for r in read_table(spark, lay.where("usge_dly_aggr")).collect())
+    assert got == sorted(fx.EXPECTED_DAILY)
