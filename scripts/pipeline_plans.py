@@ -22,7 +22,7 @@ import fixtures as fx  # noqa: E402
 from submart.plans.pipelines import (Layout, enrichment_result, enrichment_specs,  # noqa: E402
                                      profile_result, profile_specs, usage_result,
                                      usage_specs)
-from submart.session import RECOMMENDED_CONF  # noqa: E402
+from submart.session import RECOMMENDED_CONF, ensure_checkpoint_dir  # noqa: E402
 from submart.sources.sinks import _spread, conform  # noqa: E402
 from submart.specs import RunContext  # noqa: E402
 
@@ -35,11 +35,11 @@ def tree(df) -> str:
 def main():
     scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     b = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.checkpoint.dir", scratch + "/ckpt"))
+         .config("spark.sql.shuffle.partitions", "8"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    ensure_checkpoint_dir(spark)
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("submart.broadcast.maxRows", "0")
     spark.conf.set("submart.skew.hotKeyRows", "1")

@@ -27,10 +27,11 @@ def spark(tmp_path_factory):
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
-               # tests set their own shared folder: none is named here
-               .config("spark.checkpoint.dir", str(scratch / "checkpoint"))
                .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))
                .getOrCreate())
+    # the shared folder: the session's own if one is named, else a new one
+    from submart.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(session)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
