@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import window_start
+from ..functions.dates import parse_run_date, session_today, window_start
 from ..operators.enrich import ENRICHED_COLUMNS, enrich_subscribers
 from ..operators.joins import fits_broadcast_many
 from ..operators.profile import PROFILE_COLUMNS, build_profile
@@ -203,6 +203,5 @@ JOBS = {"usage": run_usage_daily, "enriched": run_subs_enriched, "profile": run_
 
 def parse_context(spark: SparkSession, run_date: str, fmt: str = "yyyy-MM-dd",
                   current_date: dt.date | None = None) -> RunContext:
-    from ..functions.dates import parse_run_date, session_today
     return RunContext(parse_run_date(spark, run_date, fmt),
                       current_date or session_today(spark))
