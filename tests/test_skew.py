@@ -107,3 +107,10 @@ def test_identical_copies_of_a_hot_key_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_row_counts_in_one_job(spark):
+    from submart.operators.joins import fits_broadcast_many, row_counts
+    a, b, empty = spark.range(10), spark.range(1000), spark.range(0)
+    assert row_counts({"a": a, "b": b, "e": empty}) == {"a": 10, "b": 1000, "e": 0}
+    assert fits_broadcast_many({"a": a, "b": b}, max_rows=100) == {"a": True, "b": False}
