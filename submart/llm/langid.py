@@ -23,12 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
+SHORT_PIECE = 24        # bytes of the pieces that settle narrow margins
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHER = bytes(b for b in range(128) if not 97 <= b <= 122)
+_TABLE = bytes.maketrans(_OTHER, b" " * len(_OTHER))
+
+
+def letters(text: str) -> bytes:
+    """UTF-8 of the lower-cased text, with one space for each run of other ASCII characters."""
+    return b" ".join(text.lower().encode("utf-8").translate(_TABLE).split())
 
 
 def language_samples(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
                      docs_per_language: int = 400, chars_per_doc: int = 1500,
-                     dictionary_bytes: int = 128 << 10) -> dict[str, bytes]:
+                     dictionary_bytes: int = 112 << 10) -> dict[str, bytes]:
     """The dictionary content of each language, from a bounded sample.
 
     Per language at most ``docs_per_language`` rows, the first by a hash of
@@ -43,7 +51,7 @@ def language_samples(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                   .select(F.substring(text_col, 1, chars_per_doc).alias("t"),
                           F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")).alias("h"))
                   .orderBy("h", "t").limit(docs_per_language).collect())
-        content = b"\n".join(r["t"].lower().encode("utf-8") for r in sample)
+        content = b" ".join(letters(r["t"]) for r in sample)
         out[language] = content[:dictionary_bytes]
     return out
 
@@ -62,11 +70,16 @@ class Compressors:
             self.compress.append(zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False,
                                                           write_checksum=False, write_dict_id=False).compress)
 
-    def sizes(self, text: str) -> list[int]:
-        data = text.lower().encode("utf-8")
-        pieces = [data[i:i + self.piece] for i in range(0, len(data), self.piece)]
+    def sizes(self, data: bytes, piece: int | None = None) -> list[int]:
+        piece = piece or self.piece
+        pieces = [data[i:i + piece] for i in range(0, len(data), piece)]
         return [sum(len(c(p)) for p in pieces) for c in self.compress]
 
+    def judge(self, text: str, min_margin: float) -> tuple[str, float, float, bool]:
+        data = letters(text)
+        found = judge(self.names, self.sizes(data), min_margin)
+        return judge(self.names, self.sizes(data, SHORT_PIECE), min_margin) if found[3] else found
+
 
 def judge(names: list[str], sizes: list[int], min_margin: float) -> tuple[str, float, float, bool]:
     """Language, score, margin and rejection for the compressed sizes."""
@@ -79,7 +92,7 @@ def judge(names: list[str], sizes: list[int], min_margin: float) -> tuple[str, f
     return names[at], score, margin, margin <= min_margin
 
 
-def identify_languages(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text", level: int = 3,
+def identify_languages(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text", level: int = 5,
                        piece_bytes: int = 2048, min_margin: float = 0.0) -> DataFrame:
     """``docs`` with ``langid``: a struct of language, score, margin and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(samples)
@@ -94,7 +107,7 @@ def identify_languages(docs: DataFrame, samples: dict[str, bytes], text_col: str
                 if not t or not tools.names or not _LETTER.search(t):
                     rows.append((UNDETERMINED, 0.0, 0.0, True))
                 else:
-                    rows.append(judge(tools.names, tools.sizes(t), min_margin))
+                    rows.append(tools.judge(t, min_margin))
             yield pd.DataFrame(rows, columns=["language", "score", "margin", "rejected"])
 
     return docs.withColumn("langid", langid(F.col(text_col)))

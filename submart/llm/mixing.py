@@ -243,10 +243,11 @@ class Mix:
     def taken(self) -> DataFrame:
         """Documents with the words the mix takes of them, repeats counted."""
         pieces, slots = self.pieces(), self.slots()
-        part = F.greatest(F.least(F.col("take"), F.col("b")) - F.col("a"), F.lit(0))
+        taken = F.coalesce(F.col("take"), F.lit(0))          # null: no slot drew the block
+        part = F.greatest(F.least(taken, F.col("b")) - F.col("a"), F.lit(0))
         keep = ["source_ix", "start", "doc_id", "text_hash", "size", "source_size", "target"]
         drawn = (pieces.join(slots, ["source_ix", "block"], "left")
-                 .groupBy(*keep).agg(F.sum(F.coalesce(part, F.lit(0))).cast("long").alias("taken")))
+                 .groupBy(*keep).agg(F.sum(part).cast("long").alias("taken")))
         # documents without words have no piece
         none = self.documents.filter(F.col("size") == 0).select(*keep, F.lit(0).cast("long").alias("taken"))
         return drawn.unionByName(none)
