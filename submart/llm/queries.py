@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from . import sql
 from .common import doc_remainder, read_table
 from .decontam import benchmark_items, find_contamination
+from .jaccard import Threshold, jaccard_components
 from .langid import identify_languages, language_samples
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .sharding import shard_documents
+from .toxicity import tag_toxicity, train
 from .urlfilter import UrlRule, judge_urls
 
 #: fixed values: the url rules
@@ -30,6 +32,12 @@ URL_RULES = [
 LISTED_LABELS = ["cheap-pills", "casino", "free-money", "porn", "viagra", "xxx"]
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = jaccard_components(docs, Threshold(words=4, num=85, den=100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mix = mix_sources(docs)
@@ -51,6 +59,18 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(doc_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    field = train(docs.join(labels, "doc_id").filter(~held_out))
+    tagged = tag_toxicity(docs, field)
+    score = F.col("toxicity.score")
+    return tagged.select("doc_id", held_out.alias("held_out"), score.alias("score"),
+                         F.when(score >= 0.7, 1).otherwise(0).alias("predicted"),
+                         F.size("toxicity.spans").alias("n_spans"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
 
@@ -73,6 +93,6 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("labels", ",").alias("labels"), "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op4_decontamination, op5_url_filters, op8_sharding, op9_language_id,
-                                   op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_mixing, op4_decontamination, op5_url_filters, op6_toxicity,
+                                   op8_sharding, op9_language_id, op10_license_scans)}
 ORACLE_SQL = {k: v for k, v in sql.ORACLE_SQL.items() if k in QUERIES}
