@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import doc_remainder, read_table
+from .cws import edited_fingerprints
 from .decontam import benchmark_items, find_contamination
 from .jaccard import Threshold, jaccard_components
 from .langid import identify_languages, language_samples
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .sharding import shard_documents
+from .suffixdedup import remove_repeats
 from .toxicity import tag_toxicity, train
 from .urlfilter import UrlRule, judge_urls
 
@@ -38,6 +40,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mix = mix_sources(docs)
@@ -71,6 +77,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.size("toxicity.spans").alias("n_spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, span=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), shards=40)
 
@@ -93,6 +104,6 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.array_join("labels", ",").alias("labels"), "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op3_mixing, op4_decontamination, op5_url_filters, op6_toxicity,
-                                   op8_sharding, op9_language_id, op10_license_scans)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_fingerprints, op3_mixing, op4_decontamination, op5_url_filters, op6_toxicity,
+                                   op7_suffix_dedup, op8_sharding, op9_language_id, op10_license_scans)}
 ORACLE_SQL = {k: v for k, v in sql.ORACLE_SQL.items() if k in QUERIES}
