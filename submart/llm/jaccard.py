@@ -15,11 +15,17 @@ moment of the subsets' frequencies (a sum of random signs, a few counters
 each).  A segment whose pairs cost more than indexing the deletions of another
 gets weight 0, and the other weight 2.
 
-Empty subsets agree without meaning.  A band has ``spare`` weight above H+1;
-a set whose empty segments weigh no more than that leaves them out of its
-index, as some other segment must agree as well.
-
-Candidates are verified exactly on the shingles of both texts.  They are
+Empty subsets agree without meaning.  A band has ``spare`` weight above H+1, so
+similar sets agree in segments that weigh ``spare + 1`` or more.  A set whose
+empty segments weigh no more than ``spare`` leaves them out of its index, as
+another must agree as well; what is left is the number of signatures it
+``needs`` to share with any set similar to it.  A set that shares fewer in all
+is not linked, and a pair that shares fewer is not verified.
+
+A candidate pair first compares two odd sketches, bits that each shingle of a
+set toggles: they differ in no more bits than the sets differ in shingles, so
+too many differing bits rule a pair out for certain.  What is left is verified
+exactly on the shingles of both texts.  Candidates  They are
 looked for in two steps, so that a group of near copies never forms all its
 pairs: each set with the set it shares most segments with by way of the
 segments' smallest sets, then, between different components only, all sets
@@ -47,7 +53,9 @@ from .components import connected_components
 from .textbytes import SPACES, Hashes, byte_table, mix, slices, utf8, word_spans
 
 _TABLE = byte_table(1, fold_case=True)
+SKETCH = [f"s{i}" for i in range(8)]       # 64 bits each
 _SIGNS = 8                      # counters of a segment's second moment
+HOT = 16                        # times the usual pairs and members that a segment's pairs are worth avoiding
 _STAT_SEGMENTS = 4096           # bands of longer sets have few members and keep the plain allocation
 
 
@@ -129,6 +137,13 @@ class Shingles:
         #: one number per set: equal sets have equal nodes
         self.nodes = mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.counts.astype(np.uint64)).astype(np.int64)
 
+    def sketches(self) -> np.ndarray:
+        """Odd sketches, one row of int64 per set."""
+        bits = 64 * len(SKETCH)
+        at = self.owner * bits + ((mix(self.hashes) >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(at, minlength=len(self.counts) * bits).reshape(len(self.counts), bits) & 1
+        return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.first[i]:self.first[i + 1]]
 
@@ -166,6 +181,20 @@ class Signer:
         global_segment = np.arange(out[-1]) - np.repeat(out[:-1], m) + np.repeat(self.base[band], m)
         return owner, global_segment, total, size, place, token, np.repeat(band, m)
 
+    def needs(self, s: Shingles) -> np.ndarray:
+        """The fewest signatures that each set shares with any similar set, under the plain allocation."""
+        out = np.ones(len(s.counts), dtype=np.int64)
+        least = None
+        for up in (0, 1):
+            owner, _, _, size, _, _, band = self.subsets(s, up)
+            blank = np.bincount(owner[size == 0], minlength=len(out))
+            spare = np.zeros(len(out), dtype=np.int64)
+            spare[owner] = self.spare[band]
+            need = np.where(blank > spare, 1, spare + 1 - blank)
+            least = need if least is None else np.minimum(least, need)
+        out[s.counts > 0] = least[s.counts > 0]
+        return out
+
     @staticmethod
     def _key(total: np.ndarray, segment: np.ndarray) -> np.ndarray:
         return mix(total + mix(segment.astype(np.uint64) + np.uint64(0x5EED)))
@@ -199,7 +228,10 @@ class Signer:
 def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Per document its id, size and node; per band its members and the segments' sign sums."""
     k = threshold.words
-    schema = "kind string, doc_id bigint, n bigint, node bigint, band int, signs binary"
+    schema = "kind string, doc_id bigint, n bigint, node bigint, need bigint, band int, signs binary, " + ", ".join(
+        f"{c} bigint" for c in SKETCH)
+
+    names = ["kind", "doc_id", "n", "node", "need", "band", "signs", *SKETCH]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats: dict[int, list] = {}
@@ -209,12 +241,13 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
             for i, j in slices(column):
                 s = Shingles(column[i:j], k)
                 n = j - i
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(["set"] * n), ids[i:j], pa.array(s.counts), pa.array(s.nodes), pa.nulls(n, pa.int32()),
-                     pa.nulls(n, pa.binary())], names=["kind", "doc_id", "n", "node", "band", "signs"])
                 largest = int(s.counts.max(initial=0))
-                if signer is None or largest >= signer.starts[-2]:
+                if signer is None or largest >= signer.starts[-3]:
                     signer = Signer(Scheme(threshold), 4 * max(largest, 1000))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(["set"] * n), ids[i:j], pa.array(s.counts), pa.array(s.nodes), pa.array(signer.needs(s)),
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *map(pa.array, s.sketches().T.copy())],
+                    names=names)
                 if not len(s.hashes):
                     continue
                 owner, segment, total, size, _, _, band = signer.subsets(s, 0)
@@ -233,12 +266,12 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(["band"] * len(order)), pa.nulls(len(order), pa.int64()),
                  pa.array([stats[b][0] for b in order], pa.int64()), pa.nulls(len(order), pa.int64()),
-                 pa.array(order, pa.int32()), pa.array([stats[b][1].tobytes() for b in order], pa.binary())],
-                names=["kind", "doc_id", "n", "node", "band", "signs"])
+                 pa.nulls(len(order), pa.int64()), pa.array(order, pa.int32()), pa.array([stats[b][1].tobytes() for b in order], pa.binary()),
+                 *[pa.nulls(len(order), pa.int64()) for _ in SKETCH]], names=names)
 
     rows = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                   .mapInArrow(read, schema), "jaccard-sets")
-    return (rows.filter("kind = 'set'").select("doc_id", "n", "node"),
+    return (rows.filter("kind = 'set'").select("doc_id", "n", "node", "need", *SKETCH),
             rows.filter("kind = 'band'").select("band", "n", "signs"))
 
 
@@ -255,8 +288,10 @@ def _allocate(stats: DataFrame, threshold: Threshold) -> Scheme:
         cheap = list(np.argsort(pairs, kind="stable"))
         none, two = [], []
         for j in order[:len(order) // 4]:
-            # a pair costs a verification, some 50 index rows; a deletion neighbourhood about 8 rows a set
-            if 50 * (pairs[j] - 2 * usual) <= 8 * members:
+            # pairs that come up in most segments are near copies, which no allocation avoids.  What a
+            # segment has beyond that costs a row each; a deletion neighbourhood some 8 rows a set, and
+            # the band's sets lose their needs, which filter most other pairs
+            if pairs[j] <= HOT * (usual + members):
                 break
             none.append(int(j))
             two.append(int(cheap[len(two)]))
@@ -365,30 +400,48 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     """
     sets, stats = _sets(docs, threshold, id_col, text_col)
     total, largest = sets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    classes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+    classes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"),
+                                                       F.min("need").alias("need"),
+                                                       *[F.min(c).alias(c) for c in SKETCH])
     scheme = _allocate(stats, threshold)
+    # needs hold for the plain allocation; where it was changed, one shared signature is enough
+    starts = threshold.bands(4 * largest + 1000)
+    for band in scheme.changes:
+        low, high = int(starts[max(band - 1, 0)]), int(starts[band + 1])
+        classes = classes.withColumn("need", F.when((F.col("n") >= low) & (F.col("n") < high), 1)
+                                     .otherwise(F.col("need")))
     rate = 2.2 * (threshold.den - threshold.num) / (threshold.den + threshold.num) * 2
     parts = max(1, int(total * rate) // part_rows + 1)
     shared = _memberships(docs, scheme, largest, parts, id_col, text_col)
-    nodes = staged(shared.select("node").distinct().join(classes, "node"), "jaccard-nodes")
+    nodes = staged(shared.groupBy("node").agg(F.count(F.lit(1)).alias("has")).join(classes, "node")
+                   .filter("has >= need").drop("has"), "jaccard-nodes")
+    shared = shared.join(nodes.select("node", "need"), "node")
     texts = _texts(docs, nodes, threshold, id_col, text_col, id_filter_bits)
 
-    # 1: each set with the one that leads most of its segments
-    lead = shared.groupBy("sig").agg(F.min("node").alias("lead"))
-    best = (shared.join(lead, "sig").filter("node <> lead").groupBy("node", "lead").count()
-            .groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")))
-    near = F.col("n") * threshold.den >= F.col("m") * threshold.num
-    near &= F.col("m") * threshold.den >= F.col("n") * threshold.num
-    sizes = nodes.select("node", "n")
+    # 1: each set with the one that leads most of its segments.  The set whose segments are the most
+    # common leads: of a group of near copies that is the one closest to all others
+    common = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("sets"))
+    weight = shared.join(common, "sig").groupBy("node").agg(F.sum("sets").alias("weight"))
+    led = staged(shared.join(weight, "node"), "jaccard-weights")
+    lead = led.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("top")).select(
+        "sig", F.col("top.node").alias("lead"))
+    best = (shared.join(lead, "sig").filter("node <> lead").groupBy("node", "need", "lead").count()
+            .filter("count >= need").groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")))
+    t = threshold
+    near = (F.col("n") * t.den >= F.col("m") * t.num) & (F.col("m") * t.den >= F.col("n") * t.num)
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"t{c}"))) for c in SKETCH)
+    near &= apart * (t.den + t.num) <= (F.col("n") + F.col("m")) * (t.den - t.num)
+    other = [F.col(c).alias(f"t{c}") for c in SKETCH]
     tried = staged(best.select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
-                   .join(sizes.select(F.col("node").alias("a"), "n"), "a")
-                   .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("m")), "b")
+                   .join(nodes.select(F.col("node").alias("a"), "n", *SKETCH), "a")
+                   .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), *other), "b")
                    .filter(near).select("a", "b"), "jaccard-tried")
     links = _verified(tried, texts, threshold)
     first = connected_components(links)
 
     # 2: pairs between components; within each signature, all but its main component against all
-    of = nodes.join(first, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    of = nodes.join(first, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"),
+                                                   *SKETCH)
     rows = shared.join(of, "node")
     mixed = (rows.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .filter("x <> y").select("sig"))
@@ -398,12 +451,15 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
             .select("sig", F.col("top.component").alias("main")))
     rows = rows.join(main, "sig")
     others = rows.filter("component <> main").select("sig", F.col("node").alias("a"), F.col("n").alias("n"),
-                                                     F.col("component").alias("ca"))
+                                                     F.col("component").alias("ca"), F.col("need").alias("na"), *SKETCH)
     everyone = rows.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"),
-                           (F.col("component") == F.col("main")).alias("is_main"))
+                           F.col("need").alias("nb"), *other, (F.col("component") == F.col("main")).alias("is_main"))
     pairs = (others.join(everyone, "sig")
              .filter((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & near)
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                     F.greatest("na", "nb").alias("need"))
+             .groupBy("a", "b", "need").count().filter("count >= need").select("a", "b"))
+    pairs = staged(pairs, "jaccard-pairs")
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(pairs.join(done, ["a", "b"], "left_anti"), texts, threshold)
     lookup = of.select("node", "component")
