@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import UNKNOWN, unknown_default
 from .joins import fits_broadcast, hot_keys, lookup_join
 
+#: The enrichment's output, in order
 ENRICHED_COLUMNS = ("subs_key", "subs_stts_key", "subs_stts_ds", "cust_type_key",
                     "cust_type_ds", "run_date")
 

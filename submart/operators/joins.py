@@ -5,8 +5,8 @@ lookup (status, customer type, account, customer, snapshot, usage).  Two
 things decide its plan at scale:
 
 * **A lookup of proven size is broadcast.**  The proof is an exact row
-  count of the stored rows the lookup is read from; a lookup over the bound
-  is never broadcast.  The count projects no column (``ReadSchema:
+  count of the stored rows the lookup is read from, and, where they are few
+  enough, their bytes; a lookup over either bound is never broadcast.  The count projects no column (``ReadSchema:
   struct<>``: Parquet answers from row-group metadata) and is combined
   map-side (one partial count per task crosses the network), so it stays
   cheap on a huge table; all of a query's counts run as one Spark job.
@@ -28,12 +28,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import salt_hash
 
 #: Spark conf keys (read from the session) and their defaults
 BROADCAST_MAX_ROWS_CONF = "submart.broadcast.maxRows"
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES_CONF = "submart.broadcast.maxBytes"
+BROADCAST_MAX_BYTES = 256 << 20
 HOT_KEY_ROWS_CONF = "submart.skew.hotKeyRows"
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS_CONF = "submart.skew.maxHotKeys"
@@ -71,19 +74,37 @@ def row_count(df: DataFrame) -> int:
     return row_counts({"df": df})["df"]
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: text and binary as measured, other types by their default size."""
+    fixed, measured = 0, F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            measured = measured + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            measured = measured + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        else:
+            fixed += 8
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(measured), F.lit(0))).first()
+    return int(size) + int(n) * fixed
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counted, not estimated)."""
+    """True when ``df`` is within the bounds of rows and bytes (counted, not estimated)."""
     return fits_broadcast_many({"df": df}, max_rows)["df"]
 
 
-def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = None) -> dict[str, bool]:
-    """``fits_broadcast`` for several tables in one Spark job."""
+def fits_broadcast_many(probes: dict[str, DataFrame], max_rows: int | None = None,
+                        counts: dict[str, int] | None = None) -> dict[str, bool]:
+    """``fits_broadcast`` for several tables: one job counts rows, and each
+    table that has few enough is measured in bytes, as wide rows count too."""
     if not probes:
         return {}
+    any_df = next(iter(probes.values()))
     if max_rows is None:
-        any_df = next(iter(probes.values()))
         max_rows = _conf_int(any_df, BROADCAST_MAX_ROWS_CONF, BROADCAST_MAX_ROWS)
-    return {name: n <= max_rows for name, n in row_counts(probes).items()}
+    max_bytes = _conf_int(any_df, BROADCAST_MAX_BYTES_CONF, BROADCAST_MAX_BYTES)
+    counts = row_counts(probes) if counts is None else counts
+    return {name: counts[name] <= max_rows and row_bytes(df) <= max_bytes for name, df in probes.items()}
 
 
 HK, NB = "__hot_key", "__hot_salts"
@@ -132,6 +153,23 @@ def hot_keys(source: DataFrame, keys: list[str], hot_key_rows: int | None = None
             for i, k in enumerate(keys)}
 
 
+def common_key_type(left: DataFrame, right: DataFrame, left_key: str, right_key: str):
+    """The type two keys of different types are compared in; ``None`` when they have one type.
+
+    Text against a number is compared as a number (text that is none matches
+    nothing); other pairs as Spark would widen them.
+    """
+    lt, rt = left.schema[left_key].dataType, right.schema[right_key].dataType
+    if lt == rt:
+        return None
+    texts, numbers = [[t for t in (lt, rt) if isinstance(t, kind)] for kind in (T.StringType, T.NumericType)]
+    if texts and numbers:
+        return T.LongType() if isinstance(numbers[0], T.IntegralType) else numbers[0]
+    null = F.lit(None)
+    return (left.sparkSession.range(0).select(F.coalesce(null.cast(lt), null.cast(rt)).alias("k"))
+            .schema["k"].dataType)
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                      hot_keys_from: DataFrame | None = None, salt_by: list[str] | None = None,
                      hot: DataFrame | None = None, hot_key_rows: int | None = None,
@@ -151,6 +189,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
     if hot is None:
         source = left if hot_keys_from is None else hot_keys_from
         hot = hot_keys(source, [left_key], hot_key_rows, max_hot_keys, max_salt)[left_key]
+    common = common_key_type(left, right, left_key, right_key)
+    if common is not None:
+        # one type on all sides: two hot texts can be one number, and must be one hot key
+        kept = [c for c in left.columns] + [c for c in right.columns]
+        left = left.withColumn("__lkey", F.col(left_key).try_cast(common))
+        right = right.withColumn("__rkey", F.col(right_key).try_cast(common))
+        hot = F.broadcast(hot.groupBy(F.col(HK).try_cast(common).alias(HK)).agg(F.max(NB).alias(NB))
+                          .where(F.col(HK).isNotNull()))
+        return salted_left_join(left, right, "__lkey", "__rkey", None, salt_by or [left_key], hot,
+                                hot_key_rows, max_hot_keys, max_salt).select(*kept)
     ls, rs = "__lsalt", "__rsalt"
     h = salt_hash(list(salt_by or left.columns))
     spread = F.pmod(h, F.lit(max_salt)).cast("int")
@@ -179,5 +227,9 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     if small is None:
         small = fits_broadcast(right if probe is None else probe)
     if small:
-        return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), "left")
+        common = common_key_type(left, right, left_key, right_key)
+        lk, rk = F.col(left_key), F.col(right_key)
+        if common is not None:
+            lk, rk = lk.try_cast(common), rk.try_cast(common)
+        return left.join(F.broadcast(right), lk == rk, "left")
     return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by, hot)

@@ -4,9 +4,14 @@
 usage measures it sums, so a subscriber gets one row per distinct daily usage
 tuple, each summed over the days having it (times any tie fan-out).
 ``mode="per_subscriber"`` gives the evident intent, usage summed per
-subscriber; it is an option of ours.
-
-Plan (both modes): usage is reduced per subscriber *before* the join, so the
+subscriber; it is an option of ours.  Its grain is one row per distinct
+combination of a subscriber's version, enrichment, account and customer: one
+row per subscriber unless versions are tied and differ.
+
+Plan (both modes): copies are collapsed before the joins.  Tied versions that
+are equal in all columns used become one row with their number, on each side,
+so T copies on both sides of a join meet as one row and not as T x T; the
+sums are multiplied by the numbers.  Usage is reduced per subscriber *before* the join, so the
 wide subscriber rows meet one row per distinct tuple (as written) or one row
 (per subscriber) instead of one row per day.  In ``as_written`` the lookups
 on account and customer keys come first and the two ``subs_key`` joins last;
@@ -66,9 +71,7 @@ PROFILE_COLUMNS = tuple(n for n, _ in PROFILE_OUTPUT) + OUTPUT_MEASURES + ("run_
 
 #: the job's GROUP BY, beyond the measures: every subscriber column it
 #: selects, the three enrichment columns, the account and customer columns
-_GROUP_A = ("subs_key", "subs_id", "subs_stts_key", "prim_rsrc_valu_txt", "serv_tech_nm",
-            "prod_nm", "orig_actv_ts", "subs_stts_ts", "imei_id", "prim_acct_key",
-            "cust_type_key", "prod_type_key", "main_bill_offr_key")
+_GROUP_A = tuple(c for c in SUBS_COLUMNS if c != "cust_key")
 MODES = ("as_written", "per_subscriber")
 
 
@@ -76,6 +79,11 @@ def _prefixed(df: DataFrame, prefix: str, cols) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in cols])
 
 
+def _collapsed(df: DataFrame, number: str) -> DataFrame:
+    """Distinct rows with how often each occurs (combined map-side)."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(number))
+
+
 def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: DataFrame,
                   usage: DataFrame, run_date: dt.date, mode: str = "as_written",
                   key_cast_type: str = "int",
@@ -94,22 +102,22 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
-    a = _prefixed(subs, "a_", SUBS_COLUMNS)
-    b = enriched.select(key_cast("subs_key", key_cast_type).alias("b_key"),
-                        *[F.col(c).alias(f"b_{c}") for c in ENRICHED_USED])
-    e = _prefixed(acct, "e_", ACCT_COLUMNS)
-    f = _prefixed(cust, "f_", CUST_COLUMNS)
+    a = _collapsed(_prefixed(subs, "a_", SUBS_COLUMNS), "n_a")
+    b = _collapsed(enriched.select(key_cast("subs_key", key_cast_type).alias("b_key"),
+                                   *[F.col(c).alias(f"b_{c}") for c in ENRICHED_USED]), "n_b")
+    e = _collapsed(_prefixed(acct, "e_", ACCT_COLUMNS), "n_e")
+    f = _collapsed(_prefixed(cust, "f_", CUST_COLUMNS), "n_f")
     measures = [f"g_{m}" for m in OUTPUT_MEASURES]
     run = F.lit(run_date.isoformat()).alias("run_date")
 
     if acct_small is None:
-        acct_small = fits_broadcast(e if acct_probe is None else acct_probe)
+        acct_small = fits_broadcast(_prefixed(acct, "e_", ACCT_COLUMNS) if acct_probe is None else acct_probe)
     if cust_small is None:
-        cust_small = fits_broadcast(f if cust_probe is None else cust_probe)
+        cust_small = fits_broadcast(_prefixed(cust, "f_", CUST_COLUMNS) if cust_probe is None else cust_probe)
     # hot keys of both lookups in one pass over the subscribers alone
     salted = [k for k, small in (("a_prim_acct_key", acct_small), ("a_cust_key", cust_small))
               if not small]
-    hot = hot_keys(a, salted, hot_key_rows) if salted else {}
+    hot = hot_keys(_prefixed(subs, "a_", SUBS_COLUMNS), salted, hot_key_rows) if salted else {}
 
     def lookups(x: DataFrame) -> DataFrame:
         x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small,
@@ -151,18 +159,18 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
                         *[F.col(f"g_{m}").alias(m) for m in OUTPUT_MEASURES], run)
 
     # as written: one row per (subscriber, distinct usage tuple); the per-tuple
-    # sums are summed again after the joins, which multiplies by any fan-out
-    # one shuffle on subs_key serves both the tuple aggregate and the join;
-    # a subscriber has at most one usage row per day, so no key is hot here
-    g = (usage.repartition(F.col("subs_key"))
-              .groupBy(F.col("subs_key").alias("g_subs_key"),
+    # sums are summed again after the joins, times the copies of each side
+    g = (usage.groupBy(F.col("subs_key").alias("g_subs_key"),
                        *[F.col(m).alias(f"g_{m}") for m in OUTPUT_MEASURES])
               .agg(*[F.sum(m).alias(f"s_{m}") for m in OUTPUT_MEASURES]))
     group = ([f"a_{c}" for c in _GROUP_A] + [f"b_{c}" for c in ENRICHED_USED]
              + [f"e_{c}" for c in ACCT_COLUMNS] + [f"f_{c}" for c in CUST_COLUMNS]
              + measures + ["g_subs_key"])
     types = {fld.name: fld.dataType for fld in usage.schema.fields}
-    sums = [F.sum(f"s_{m}").cast(sum_result_type(types[m])).alias(m) for m in OUTPUT_MEASURES]
+    copies = F.coalesce(F.col("n_a"), F.lit(1))
+    for n in ("n_b", "n_e", "n_f"):
+        copies = copies * F.coalesce(F.col(n), F.lit(1))
+    sums = [F.sum(F.col(f"s_{m}") * copies).cast(sum_result_type(types[m])).alias(m) for m in OUTPUT_MEASURES]
     # keyed rows: the GROUP BY holds a_subs_key, so it runs on the last
     # join's partitioning; NULL-key rows: their own (map-side combined) one
     out = by_subscriber(lookups(keyed_a), g).groupBy(*group).agg(*sums)

@@ -3,6 +3,8 @@
     python -m submart JOB RUN_DATE [RUN_DATE_FORMAT [LOG_LEVEL]]
                       (--root PATH | --database DB) [--current-date YYYY-MM-DD]
                       [--mode as_written|per_subscriber] [--master URL]
+                      [--grain DAILY|MONTHLY] [--window-days N] [--drop-duplicates]
+                      [--partition-column NAME] [--usage-from D] [--usage-to D]
 
 ``JOB`` is ``usage``, ``enriched``, ``profile`` or ``all``.  The positional
 arguments follow the jobs' own: the run date, its pattern (Spark's datetime
@@ -15,7 +17,7 @@ import argparse
 import datetime as dt
 
 from ..session import build_session
-from .pipelines import JOBS, Layout, parse_context
+from .pipelines import JOBS, USAGE_WINDOW_DAYS, Layout, parse_context
 
 #: Log levels a job accepts
 LOG_LEVELS = ("ALL", "TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL", "OFF")
@@ -34,6 +36,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--current-date", type=dt.date.fromisoformat,
                    help="the date that picks active over history reads (default: today)")
     p.add_argument("--mode", default="as_written", choices=("as_written", "per_subscriber"))
+    p.add_argument("--grain", default="DAILY", type=str.upper, choices=("DAILY", "MONTHLY"),
+                   help="grain of the usage job")
+    p.add_argument("--window-days", type=int, default=USAGE_WINDOW_DAYS,
+                   help="days before the run date that the usage job restates")
+    p.add_argument("--drop-duplicates", action="store_true",
+                   help="drop equal rows of the usage source first")
+    p.add_argument("--partition-column", help="DATE partition of the usage source, to skip folders by")
+    p.add_argument("--usage-from", type=dt.date.fromisoformat, help="first usage day the profile sums")
+    p.add_argument("--usage-to", type=dt.date.fromisoformat, help="last usage day the profile sums")
     p.add_argument("--master", default=None)
     p.add_argument("--cluster", action="store_true",
                    help="apply the large-cluster sizing (submart.session.CLUSTER_CONF)")
@@ -47,9 +58,16 @@ def main(argv: list[str] | None = None) -> int:
     spark.sparkContext.setLogLevel(args.log_level)
     ctx = parse_context(spark, args.run_date, args.run_date_format, args.current_date)
     layout = Layout(root=args.root, database=args.database, format=args.format)
+    usage = {"grain": args.grain, "window_days": args.window_days, "drop_duplicates": args.drop_duplicates,
+             "partition_column": args.partition_column}
+    profile = {"usage_from": args.usage_from, "usage_to": args.usage_to}
     job = JOBS[args.job]
-    if args.job in ("profile", "all"):
-        job(spark, layout, ctx, mode=args.mode)
+    if args.job == "all":
+        job(spark, layout, ctx, mode=args.mode, usage=usage, profile=profile)
+    elif args.job == "profile":
+        job(spark, layout, ctx, mode=args.mode, **profile)
+    elif args.job == "usage":
+        job(spark, layout, ctx, **usage)
     else:
         job(spark, layout, ctx)
     return 0

@@ -9,7 +9,8 @@ usage          ``events``       ``subs_key`` = ``user_id``, ``evnt_strt_ts`` =
 version hist   ``orders``       key ``o_custkey``, version time ``o_orderdate``
                                 (real ties)
 subscribers    ``customer``     ``subs_key`` = ``c_custkey``
-status lookup  ``nation``       keys below 20 only, so some are unknown
+status lookup  ``nation``       subscribers' keys are ``c_custkey % 30``: 25 to
+                                29 are unknown
 type lookup    ``region``       key ``c_nationkey % 7``: 5 and 6 are unknown
 customers      ``nation``       ``cust_key`` = ``n_nationkey``
 =============  ===============  ==========================================
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The dates the driver queries run at
@@ -30,7 +31,7 @@ WINDOW_DAYS = 10
 ASOF_DATE = dt.date(1999, 6, 30)
 SNAPSHOT_DATE = dt.date(1998, 10, 3)
 PREVIOUS_RUN_DATE = dt.date(2024, 1, 24)
-STATUS_KEYS_BELOW = 20
+STATUS_MODULUS = 30
 CUST_TYPE_MODULUS = 7
 
 
@@ -72,7 +73,7 @@ def subscribers(customer: DataFrame) -> DataFrame:
     return customer.select(
         F.col("c_custkey").alias("subs_key"),
         F.col("c_name").alias("subs_id"),
-        F.col("c_nationkey").alias("subs_stts_key"),
+        (F.col("c_custkey") % STATUS_MODULUS).cast("int").alias("subs_stts_key"),
         F.lit(None).cast("string").alias("prim_rsrc_valu_txt"),
         F.lit(None).cast("string").alias("serv_tech_nm"),
         F.col("c_mktsegment").alias("prod_nm"),
@@ -87,10 +88,9 @@ def subscribers(customer: DataFrame) -> DataFrame:
 
 
 def status_lookup(nation: DataFrame) -> DataFrame:
-    """``nation`` (keys below 20) as ``vw_subs_stts``."""
-    return (nation.where(F.col("n_nationkey") < STATUS_KEYS_BELOW)
-                  .select(F.col("n_nationkey").alias("subs_stts_key"),
-                          F.col("n_name").alias("subs_stts_ds")))
+    """``nation`` as ``vw_subs_stts``."""
+    return nation.select(F.col("n_nationkey").alias("subs_stts_key"),
+                         F.col("n_name").alias("subs_stts_ds"))
 
 
 def cust_type_lookup(region: DataFrame) -> DataFrame:
@@ -99,13 +99,13 @@ def cust_type_lookup(region: DataFrame) -> DataFrame:
                          F.col("r_name").alias("cust_type_ds"))
 
 
-def accounts(asof_orders: DataFrame) -> DataFrame:
+def accounts(asof_orders: DataFrame, *more: Column) -> DataFrame:
     """As-of ``orders`` as ``vw_acct``: one account per customer, ties kept."""
     return asof_orders.select(
         F.col("o_custkey").alias("acct_key"),
         F.col("o_orderkey").alias("acct_id"),
         F.lit(None).cast("int").alias("acct_stts_key"),
-        F.col("o_orderpriority").alias("xtrn_id"))
+        F.col("o_orderpriority").alias("xtrn_id"), *more)
 
 
 def customers(nation: DataFrame) -> DataFrame:

@@ -27,23 +27,56 @@ from u where cast(evnt_strt_ts as date) >= {start}
 group by subs_key, cast(evnt_strt_ts as date)"""
 
 
-_ENRICH = """select a.c_custkey as subs_key, a.c_nationkey as subs_stts_key,
+def _enrich(run_date: str) -> str:
+    return f"""select a.c_custkey as subs_key, cast(a.c_custkey % 30 as int) as subs_stts_key,
   coalesce(b.n_name, '~UNK') as subs_stts_ds, a.c_nationkey % 7 as cust_type_key,
-  coalesce(c.r_name, '~UNK') as cust_type_ds, '2024-01-25' as run_date
-from customer a
-left join (select * from nation where n_nationkey < 20) b on a.c_nationkey = b.n_nationkey
+  coalesce(c.r_name, '~UNK') as cust_type_ds, '{run_date}' as run_date
+from customer a left join nation b on a.c_custkey % 30 = b.n_nationkey
 left join region c on a.c_nationkey % 7 = c.r_regionkey"""
 
-_PROFILE_CTES = f"""with {_USAGE},
-d as ({_daily("date '2024-01-25' - 10")}),
-en as (select cast(a.c_custkey as varchar) as subs_key, a.c_nationkey as subs_stts_key,
-    coalesce(b.n_name, '~UNK') as subs_stts_ds, coalesce(c.r_name, '~UNK') as cust_type_ds
-  from customer a left join (select * from nation where n_nationkey < 20) b on a.c_nationkey = b.n_nationkey
-  left join region c on a.c_nationkey % 7 = c.r_regionkey),
-ac as (select * from (select o_custkey, o_orderkey,
+
+_ENRICH = _enrich("2024-01-25")
+
+
+def _profile_ctes(first_day: str | None) -> str:
+    return f"""with {_USAGE},
+d as ({_daily(first_day) if first_day else _daily("date '0001-01-01'")}),
+en as (select cast(subs_key as varchar) as subs_key, subs_stts_key, subs_stts_ds, cust_type_ds from ({_ENRICH}) z),
+ac as (select * from (select o_custkey, o_orderkey, o_orderpriority,
     rank() over (partition by o_custkey order by o_orderdate desc) as rnk
     from orders where cast(o_orderdate as date) <= date '2024-01-25') z where rnk = 1)"""
 
+
+_PROFILE_COLUMNS = """a.c_custkey as subs_key, a.c_name as subs_id, en.subs_stts_ds,
+  cast(a.c_custkey % 30 as int) as subs_stts_key, en.cust_type_ds, cast(null as varchar) as subs_prim_rsrc_valu,
+  cast(null as varchar) as serv_tech_nm, a.c_mktsegment as prod_nm, {ts} as subs_orig_actv_ts,
+  {ts} as subs_stts_efft_ts, cast(null as varchar) as sold_imei_id, a.c_custkey as subs_prim_acct_key,
+  a.c_nationkey % 7 as cust_type_key, cast(null as int) as prod_type_key, cast(null as int) as subs_main_offr_key,
+  a.c_custkey as prim_acct_key, cast(a.c_custkey % 30 as int) as subs_stts_rsn_key, e.o_custkey as acct_key,
+  e.o_orderkey as acct_id, cast(null as int) as acct_stts_key, e.o_orderpriority as xtrn_id,
+  f.n_nationkey as cust_key, f.n_name as cust_id, f.n_regionkey as cust_stat_key""".replace(
+    "{ts}", "cast(null as timestamp with time zone)")
+_MEASURES = ("dwld_vlum_qty", "upld_vlum_qty", "actl_data_vlum_qty", "data_rnd_unit_qty")
+_PROFILE_JOINS = """from customer a left join en on a.c_custkey = try_cast(en.subs_key as bigint)
+left join ac e on a.c_custkey = e.o_custkey
+left join nation f on a.c_nationkey = f.n_nationkey"""
+
+
+def _profile_as_written(run_date: str, ctes: str) -> str:
+    sums = ", ".join(f"cast(sum(g.{m}) as bigint) as {m}" for m in _MEASURES)
+    return f"""{ctes}
+select {_PROFILE_COLUMNS}, {sums}, '{run_date}' as run_date
+{_PROFILE_JOINS}
+left join d g on a.c_custkey = g.subs_key
+group by a.c_custkey, a.c_name, a.c_mktsegment, a.c_nationkey, en.subs_stts_ds, en.cust_type_ds, en.subs_stts_key,
+  e.o_custkey, e.o_orderkey, e.o_orderpriority, f.n_nationkey, f.n_name, f.n_regionkey, g.subs_key,
+  {", ".join("g." + m for m in _MEASURES)}"""
+
+
+# run 1 (2024-01-24) writes the days from its window's start on; run 2's days are among them
+_JOBS = " union all ".join(f"select * from ({_profile_as_written(day, _profile_ctes("date '2024-01-24' - 40"))}) p"
+                           for day in ("2024-01-24", "2024-01-25"))
+
 ORACLE_SQL = {
     "scd1_window": """select event_id, user_id, event_type from events
 where cast(ts as date) >= date '2024-01-25' - 10""",
@@ -66,7 +99,7 @@ where cast(ts as date) >= date '2024-01-25' - 10 and cast(ts as date) <= date '2
     "snapshot_read": """select o_orderkey, o_custkey from orders
 where cast(o_orderdate as date) = date '1998-10-03'""",
 
-    "source_dedup": "select distinct user_id, event_type from events",
+    "source_dedup": "select event_id, user_id, event_type from (select distinct * from events) z",
 
     "usage_daily_aggr": f"with {_USAGE}\n{_daily("date '2024-01-25' - 10")}",
 
@@ -88,34 +121,12 @@ group by subs_key, strftime(evnt_strt_ts, '%Y-%m-01')""",
 left join (select case when c_custkey % 50 = 0 then 'bad' else cast(c_custkey as varchar) end as sk,
   c_name from customer) b on a.c_custkey = try_cast(b.sk as bigint)""",
 
-    "profile_as_written": f"""{_PROFILE_CTES}
-select a.c_custkey as subs_key, a.c_name as subs_id, en.subs_stts_ds, en.cust_type_ds,
-  e.o_orderkey as acct_id, f.n_name as cust_id,
-  cast(sum(g.dwld_vlum_qty) as bigint) as dwld_vlum_qty,
-  cast(sum(g.upld_vlum_qty) as bigint) as upld_vlum_qty,
-  cast(sum(g.actl_data_vlum_qty) as bigint) as actl_data_vlum_qty,
-  cast(sum(g.data_rnd_unit_qty) as bigint) as data_rnd_unit_qty,
-  '2024-01-25' as run_date
-from customer a left join en on a.c_custkey = try_cast(en.subs_key as bigint)
-left join ac e on a.c_custkey = e.o_custkey
-left join nation f on a.c_nationkey = f.n_nationkey
-left join d g on a.c_custkey = g.subs_key
-group by a.c_custkey, a.c_name, en.subs_stts_ds, en.cust_type_ds, e.o_orderkey, f.n_name,
-  en.subs_stts_key, g.subs_key, g.dwld_vlum_qty, g.upld_vlum_qty, g.actl_data_vlum_qty,
-  g.data_rnd_unit_qty""",
-
-    "profile_per_subscriber": f"""{_PROFILE_CTES},
-s as (select subs_key, cast(sum(dwld_vlum_qty) as bigint) as dwld_vlum_qty,
-    cast(sum(upld_vlum_qty) as bigint) as upld_vlum_qty,
-    cast(sum(actl_data_vlum_qty) as bigint) as actl_data_vlum_qty,
-    cast(sum(data_rnd_unit_qty) as bigint) as data_rnd_unit_qty from d group by subs_key)
-select a.c_custkey as subs_key, a.c_name as subs_id, en.subs_stts_ds, en.cust_type_ds,
-  e.o_orderkey as acct_id, f.n_name as cust_id,
-  g.dwld_vlum_qty, g.upld_vlum_qty, g.actl_data_vlum_qty, g.data_rnd_unit_qty,
-  '2024-01-25' as run_date
-from customer a left join en on a.c_custkey = try_cast(en.subs_key as bigint)
-left join ac e on a.c_custkey = e.o_custkey
-left join nation f on a.c_nationkey = f.n_nationkey
+    "profile_as_written": _profile_as_written("2024-01-25", _profile_ctes(None)),
+
+    "profile_per_subscriber": f"""{_profile_ctes(None)},
+s as (select subs_key, {", ".join(f"cast(sum({m}) as bigint) as {m}" for m in _MEASURES)} from d group by subs_key)
+select distinct {_PROFILE_COLUMNS}, {", ".join("g." + m for m in _MEASURES)}, '2024-01-25' as run_date
+{_PROFILE_JOINS}
 left join s g on a.c_custkey = g.subs_key""",
 
     "profile_as_written_skewsafe": None,  # filled below: same rows as profile_as_written
@@ -126,7 +137,18 @@ left join s g on a.c_custkey = g.subs_key""",
 
     "full_table_overwrite": "select r_regionkey as k, r_name as name from region",
 
-    "snapshot_write_read": _ENRICH,
+    "snapshot_write_read": f"{_enrich('2024-01-24')} union all {_ENRICH}",
+
+    "source_dedup_full_row": """select user_id, event_type from (
+  select distinct user_id, event_type, cast(ts as date) as day from events) z""",
+
+    "enrich_salted_text_key": """select c_custkey as subs_key, n_name as subs_stts_ds
+from customer left join nation on c_nationkey = n_nationkey""",
+
+    "pipeline_profile_path": _JOBS,
+
+    "pipeline_profile_catalog": _JOBS,
 }
 
 ORACLE_SQL["profile_as_written_skewsafe"] = ORACLE_SQL["profile_as_written"]
+ORACLE_SQL["scd4_asof_latest_large"] = ORACLE_SQL["scd4_asof_latest"]

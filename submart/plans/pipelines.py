@@ -1,7 +1,10 @@
 """The three jobs, run-date parameterised: usage, enrichment, profile.
 
-Each job is ``read_source() x n -> transform -> overwrite_partitions()``:
-one Spark action per job (the write).  Run order for one run date is usage
+Each job is ``read_source() x n -> transform -> overwrite_partitions()``.
+Each source is loaded once.  Before the write, a job runs what its plan
+depends on: one count of all its versioned sources, the bytes of the lookups
+that are few enough to broadcast, and for the profile whether a subscriber key
+is NULL.  Run order for one run date is usage
 and enrichment (either order), then profile, which reads what the first two
 wrote, so its lineage starts at stored tables.
 """
@@ -16,10 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_run_date, session_today, window_start
 from ..operators.enrich import ENRICHED_COLUMNS, enrich_subscribers
-from ..operators.joins import fits_broadcast_many
+from ..operators.joins import fits_broadcast_many, row_counts
 from ..operators.profile import PROFILE_COLUMNS, build_profile
 from ..operators.usage import OUTPUT_MEASURES, aggregate_usage
-from ..sources.readers import read_source, source_size_probe
+from ..sources.readers import read_source, stored_rows
 from ..sources.sinks import overwrite_partitions
 from ..specs import RunContext, ScdKind, SourceSpec, TargetSpec
 
@@ -114,19 +117,25 @@ def enrichment_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]
     return sources, target
 
 
-def _small(spark: SparkSession, specs: list[SourceSpec], ctx: RunContext) -> dict[str, bool]:
-    """Which sources are proven small enough to broadcast (one Spark job)."""
-    return fits_broadcast_many({s.name: source_size_probe(spark, s, ctx) for s in specs})
+def _read(spark: SparkSession, sources: dict[str, SourceSpec], ctx: RunContext,
+          lookups: tuple[str, ...]) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, bool]]:
+    """Every source loaded once and versioned sources counted in one job.
+
+    Returns the stored rows, the sources as read, and which ``lookups`` are
+    proven small enough to broadcast.
+    """
+    stored = {name: stored_rows(spark, spec, ctx) for name, spec in sources.items()}
+    counts = row_counts({n: stored[n] for n, s in sources.items() if s.kind is ScdKind.DELTA_SCD4})
+    read = {n: read_source(spark, s, ctx, stored[n], counts.get(n)) for n, s in sources.items()}
+    small = fits_broadcast_many({n: stored[n] for n in lookups}, counts=counts)
+    return stored, read, small
 
 
 def enrichment_result(spark: SparkSession, sources: dict[str, SourceSpec],
                       ctx: RunContext) -> DataFrame:
-    subs = read_source(spark, sources["vw_subs"], ctx)
-    stts = read_source(spark, sources["vw_subs_stts"], ctx)
-    ctype = read_source(spark, sources["vw_cust_type"], ctx)
-    small = _small(spark, [sources["vw_subs_stts"], sources["vw_cust_type"]], ctx)
-    return enrich_subscribers(subs, stts, ctype, ctx.run_date,
-                              stts_small=small["vw_subs_stts"],
+    _, read, small = _read(spark, sources, ctx, ("vw_subs_stts", "vw_cust_type"))
+    return enrich_subscribers(read["vw_subs"], read["vw_subs_stts"], read["vw_cust_type"],
+                              ctx.run_date, stts_small=small["vw_subs_stts"],
                               cust_type_small=small["vw_cust_type"])
 
 
@@ -165,17 +174,15 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
                    usage_to: dt.date | None = None) -> DataFrame:
     """P3's result.  The job sums every day in the usage table, after the run
     date too; ``usage_from`` / ``usage_to`` bound the days (partition pruned)."""
-    read = {name: read_source(spark, spec, ctx) for name, spec in sources.items()}
+    stored, read, small = _read(spark, sources, ctx, ("vw_acct", "vw_cust"))
     if usage_from is not None:
         read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) >= F.lit(usage_from))
     if usage_to is not None:
         read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) <= F.lit(usage_to))
-    small = _small(spark, [sources["vw_acct"], sources["vw_cust"]], ctx)
     # NULL subscriber keys, asked of the stored rows: IsNull reaches Parquet
     # and row-group null counts answer it without reading the data
     subs = sources["vw_subs"]
-    null_keys = not (source_size_probe(spark, subs, ctx)
-                     .where(F.col(subs.keys[0]).isNull()).isEmpty())
+    null_keys = not stored["vw_subs"].where(F.col(subs.keys[0]).isNull()).isEmpty()
     return build_profile(read["vw_subs"], read["subs_enriched"], read["vw_acct"],
                          read["vw_cust"], read["usge_dly_aggr"], ctx.run_date, mode=mode,
                          acct_small=small["vw_acct"], cust_small=small["vw_cust"],
@@ -190,11 +197,13 @@ def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,
 
 
 def run_all(spark: SparkSession, layout: Layout, ctx: RunContext,
-            mode: str = "as_written") -> None:
-    """P1, P2, then P3 for one run date."""
-    run_usage_daily(spark, layout, ctx)
+            mode: str = "as_written", usage: dict | None = None,
+            profile: dict | None = None) -> None:
+    """P1, P2, then P3 for one run date; ``usage`` and ``profile`` are further
+    settings of ``run_usage_daily`` and ``run_subs_profile``."""
+    run_usage_daily(spark, layout, ctx, **(usage or {}))
     run_subs_enriched(spark, layout, ctx)
-    run_subs_profile(spark, layout, ctx, mode)
+    run_subs_profile(spark, layout, ctx, mode, **(profile or {}))
 
 
 JOBS = {"usage": run_usage_daily, "enriched": run_subs_enriched, "profile": run_subs_profile,

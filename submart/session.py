@@ -72,9 +72,7 @@ def build_session(master: str | None = None, app_name: str = "submart",
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def _is_local(spark: SparkSession) -> bool:

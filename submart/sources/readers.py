@@ -27,6 +27,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import day_of, days_before
 from ..functions.exprs import salt_hash
@@ -72,32 +73,37 @@ def scd4_active(df: DataFrame) -> DataFrame:
 def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str,
               run_date: dt.date, tie_break: list[str] | tuple[str, ...] | None = None,
               rank_column: str = "rnk", skew_safe: bool | None = None,
-              hot_key_rows: int | None = None) -> DataFrame:
+              hot_key_rows: int | None = None, rows: int | None = None) -> DataFrame:
     """R4: newest version per key as of the run date.
 
     ``RANK`` keeps every version tied on the newest time.  ``tie_break``
-    orders the tied versions further and keeps one per key.
-
-    With ``skew_safe`` no key, however hot, is ranked whole in one task (see
-    ``_asof_rank_salted`` and ``_asof_one_per_key``); ``False`` is the plain
-    window.  ``None`` (the default) decides by a column-less row count: a
-    history of at most ``hot_key_rows`` rows cannot hold a hot key, so it
-    gets the plain window; anything larger gets the skew-safe plan.
+    orders the tied versions further, then by all other columns that have an
+    order, and keeps one per key: the same one whatever the table's size.
+    The result has the history's columns (less one named ``rank_column``) and
+    ``rank_column``.
+
+    With ``skew_safe`` a key whose versions are tied on the newest time is
+    ranked in pieces (see ``_asof_rank_salted``); ``False`` is the plain
+    window.  Both give the same rows.  ``None`` (the default) decides by the
+    history's row count (``rows`` when the caller has counted): at most
+    ``hot_key_rows`` rows cannot hold a hot key.  With ``tie_break`` no key is
+    hot: each input split sends one row per key.
     """
     from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, row_count
 
+    hist = hist.select(*[F.col(c) for c in hist.columns if c != rank_column])
     eligible = hist.where(day_of(ts_column) <= F.lit(run_date))
     keys = list(keys)
-    if skew_safe is None:
-        rows = hot_key_rows or _conf_int(hist, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
-        skew_safe = row_count(hist) > rows
-    if tie_break and skew_safe and _orderable(eligible):
-        return _asof_one_per_key(eligible, keys, ts_column, list(tie_break), rank_column)
     order: list[Column] = [F.col(ts_column).desc()]
     ranker = F.rank()
     if tie_break:
-        order += [F.col(c).desc() for c in tie_break]
+        known = {*keys, ts_column, *tie_break}
+        rest = [f.name for f in hist.schema.fields if f.name not in known and _orderable(f.dataType)]
+        order += [F.col(c).desc() for c in (*tie_break, *rest)]
         ranker = F.row_number()
+    elif skew_safe is None:
+        limit = hot_key_rows or _conf_int(hist, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
+        skew_safe = (row_count(hist) if rows is None else rows) > limit
     if skew_safe and not tie_break:
         return _asof_rank_salted(eligible, keys, ts_column, rank_column, hot_key_rows)
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
@@ -105,37 +111,15 @@ def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str
                     .where(F.col(rank_column) == 1))
 
 
-def _orderable(df: DataFrame) -> bool:
-    from pyspark.sql import types as T
-
-    def ok(t):
-        if isinstance(t, T.MapType):
-            return False
-        if isinstance(t, T.ArrayType):
-            return ok(t.elementType)
-        if isinstance(t, T.StructType):
-            return all(ok(f.dataType) for f in t.fields)
-        return True
-    return ok(df.schema)
-
-
-def _asof_one_per_key(eligible: DataFrame, keys: list[str], ts_column: str,
-                      tie_break: list[str], rank_column: str) -> DataFrame:
-    """One version per key: the greatest ``(ts, tie_break..., other columns)``.
-
-    A plain aggregate (``max`` of a struct), combined map-side: each input
-    split sends one row per key, so a hot key costs nothing extra, and there
-    is no sort.  Among versions equal on ``(ts, tie_break)`` the choice is
-    deterministic (the greatest remaining columns).
-    """
-    cols = eligible.columns
-    rest = [c for c in cols if c not in keys and c != ts_column and c not in tie_break]
-    order = [ts_column, *tie_break, *rest]
-    best = F.max(F.struct(*[F.col(c).alias(f"__f{i}") for i, c in enumerate(order)]))
-    agg = eligible.groupBy(*keys).agg(best.alias("__best"))
-    picked = {c: F.col(f"__best.__f{i}") for i, c in enumerate(order)}
-    return agg.select(*[(F.col(c) if c in keys else picked[c]).alias(c) for c in cols],
-                      F.lit(1).alias(rank_column))
+def _orderable(t: T.DataType) -> bool:
+    """Whether values of a type have an order (and a hash)."""
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
 
 
 def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank_column: str,
@@ -168,7 +152,8 @@ def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank
     counts = keyed.groupBy(kc).agg(F.count(F.lit(1)).alias("__n"),
                                    F.max(ts_column).alias("__newest"))
     hot = _top_hot(counts, kc, rows, top, max_salt, include_null=True, extra=("__newest",))
-    salt = F.when(F.col(NB).isNotNull(), F.pmod(salt_hash(cols), F.col(NB)))
+    hashed = [f.name for f in eligible.schema.fields if _orderable(f.dataType)]
+    salt = F.when(F.col(NB).isNotNull(), F.pmod(salt_hash(hashed), F.col(NB)))
     pieces = (keyed.join(hot, F.col(kc).eqNullSafe(F.col(HK)), "left")
                    .where(F.col(NB).isNull() | (F.col(ts_column) == F.col("__newest")))
                    .withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")))
@@ -194,36 +179,42 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataFrame:
-    """R6: route a source to R1-R5, then project, de-duplicate and register."""
+def read_source(spark: SparkSession, spec: SourceSpec, ctx: RunContext,
+                stored: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """R6: route a source to R1-R5, then de-duplicate, project and register.
+
+    ``stored`` and ``rows`` are what ``stored_rows`` loaded and its count, when
+    the caller has them: then nothing is loaded or counted again.
+    """
+    if stored is None:
+        stored = stored_rows(spark, spec, ctx)
     if spec.kind is ScdKind.CURRENT_SCD1:
-        base = load(spark, spec.location, spec.format)
         if spec.window_days is None:
-            df = scd1_full(base)
+            df = scd1_full(stored)
         else:
-            df = scd1_window(base, spec.ts_column, ctx.run_date, spec.window_days,
+            df = scd1_window(stored, spec.ts_column, ctx.run_date, spec.window_days,
                              spec.partition_column,
                              until=ctx.run_date if spec.window_until_run_date else None)
     elif spec.kind is ScdKind.DELTA_SCD4 and ctx.reads_active:
-        df = scd4_active(load(spark, spec.active, spec.format))
+        df = scd4_active(stored)
     elif spec.kind is ScdKind.DELTA_SCD4:
-        df = scd4_asof(load(spark, spec.hist, spec.format), spec.keys, spec.ts_column,
-                       ctx.run_date, spec.tie_break, skew_safe=spec.skew_safe)
+        df = scd4_asof(stored, spec.keys, spec.ts_column, ctx.run_date, spec.tie_break,
+                       skew_safe=spec.skew_safe, rows=rows)
     elif spec.kind is ScdKind.SNAPSHOT:
-        df = snapshot(load(spark, spec.location, spec.format), spec.snapshot_column,
-                      ctx.run_date)
+        df = snapshot(stored, spec.snapshot_column, ctx.run_date)
     else:  # pragma: no cover - ScdKind.parse rejects anything else
         raise ValueError(f"unknown SCD kind {spec.kind!r}")
-    if spec.columns:
-        df = df.select(*spec.columns)
+    # rows equal in all columns, so before any column goes
     if spec.drop_duplicates:
         df = drop_duplicate_rows(df)
+    if spec.columns:
+        df = df.select(*spec.columns)
     if spec.view_name:
         df.createOrReplaceTempView(spec.view_name)
     return df
 
 
-def source_size_probe(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataFrame:
+def stored_rows(spark: SparkSession, spec: SourceSpec, ctx: RunContext) -> DataFrame:
     """The stored rows a source reads from, before any window or rank.
 
     Its row count bounds the size of ``read_source(spec)``, so counting it

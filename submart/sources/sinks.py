@@ -8,8 +8,6 @@ into place at job commit, so a lost executor only costs a task retry.
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,25 +71,20 @@ def overwrite_partitions(df: DataFrame, target: TargetSpec) -> None:
     _insert_dynamic(spark, writer, target.location)
 
 
-_MODE_LOCK = threading.Lock()
+MODE_CONF = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _insert_dynamic(spark: SparkSession, writer, table: str) -> None:
-    """``insertInto`` with dynamic overwrite, whatever the session default.
+    """``insertInto`` with dynamic overwrite.
 
     Spark 4.1 ignores the per-write ``partitionOverwriteMode`` option for
     ``insertInto`` (and ``writeTo().overwritePartitions()`` refuses v1
-    tables), so the session setting is switched for the write; a lock keeps
-    concurrent writers of this process from seeing each other's switch.
+    tables), so the session has to have the mode; ``build_session`` sets it.
+    In a static session the write would clear the table, so it fails instead.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _MODE_LOCK:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            writer.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
+    if spark.conf.get(MODE_CONF).lower() != "dynamic":
+        raise RuntimeError(f"set {MODE_CONF}=dynamic to overwrite partitions of {table}")
+    writer.insertInto(table, overwrite=True)
 
 
 def write_table(df: DataFrame, location: str, mode: str = "overwrite",

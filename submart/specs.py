@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import enum
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 class ScdKind(str, enum.Enum):
@@ -157,7 +157,7 @@ class RunContext:
     """
 
     run_date: dt.date
-    current_date: dt.date = field(default_factory=dt.date.today)
+    current_date: dt.date
 
     @property
     def reads_active(self) -> bool:

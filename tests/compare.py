@@ -40,7 +40,7 @@ def rows(names, tuples):
 
 
 _DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DATE": "date",
-                  "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double", "BOOLEAN": "boolean",
+                  "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp", "DOUBLE": "double", "BOOLEAN": "boolean",
                   "SMALLINT": "smallint", "TINYINT": "tinyint", "FLOAT": "float"}
 
 
