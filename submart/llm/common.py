@@ -12,13 +12,23 @@ from pyspark.sql import functions as F
 from submart.session import shared_dir
 
 
+#: rows of text that go to a Python worker at once: texts can be long
+BATCH_ROWS = 1000
+#: large arrays go back to the system when freed, so a worker that is reused stays small
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "262144",
+              "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and keep them small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for k, v in WORKER_ENV.items():
+        env.setdefault(k, v)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +58,16 @@ def doc_remainder(column, modulus: int):
     return F.pmod(F.crc32(column.cast("string")), F.lit(modulus)).cast("int")
 
 
+def first_rows(rows: DataFrame, key: str, n: int) -> list:
+    """The ``n`` rows with the smallest ``key``, as a list; ties by all columns.
+
+    The key alone is ranked first, so tasks send the driver n keys each and not
+    n rows; the rows up to the last key follow.
+    """
+    keys = rows.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
+    return [] if keys is None else rows.filter(F.col(key) <= keys).orderBy(key, *rows.columns).limit(n).collect()
+
+
 class IdFilter:
     """A bitmap of hashed ids of one fixed size, whatever the number of ids.
 

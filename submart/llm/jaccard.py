@@ -304,7 +304,7 @@ def _allocate(stats: DataFrame, threshold: Threshold) -> Scheme:
 
 
 def _memberships(docs: DataFrame, scheme: Scheme, largest: int, parts: int, id_col: str, text_col: str,
-                 chunk: int = 1_500_000) -> DataFrame:
+                 chunk: int = 750_000) -> DataFrame:
     """``sig``, ``node`` of every signature that two different sets have.
 
     Signatures go out as packed arrays, one per chunk and part.  Within a

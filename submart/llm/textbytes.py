@@ -82,7 +82,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - offsets[0]
 
 
-def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` bytes of text each (one long text is a range of its own)."""
     _, offsets = utf8(column)
     i, n = 0, len(column)
