@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import first_rows
+
 UNDETERMINED = "und"
 SHORT_PIECE = 24        # bytes of the pieces that settle narrow margins
 _LETTER = re.compile(r"[^\W\d_]")
@@ -47,10 +49,10 @@ def language_samples(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     languages = sorted(r[0] for r in rows.select(lang_col).distinct().collect())
     out = {}
     for language in languages:
-        sample = (rows.filter(F.col(lang_col) == language)
-                  .select(F.substring(text_col, 1, chars_per_doc).alias("t"),
-                          F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")).alias("h"))
-                  .orderBy("h", "t").limit(docs_per_language).collect())
+        mine = rows.filter(F.col(lang_col) == language).select(
+            F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")).alias("h"),
+            F.substring(text_col, 1, chars_per_doc).alias("t"))
+        sample = first_rows(mine, "h", docs_per_language)
         content = b" ".join(letters(r["t"]) for r in sample)
         out[language] = content[:dictionary_bytes]
     return out

@@ -5,6 +5,27 @@ _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\
 
 ORACLE_SQL: dict[str, str] = {}
 
+ORACLE_SQL["op1_jaccard_join"] = rf"""
+WITH RECURSIVE doc AS (
+    SELECT row_number() OVER () AS k, doc_id,
+           regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT k, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT k, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT k, count(*) AS n FROM shingle GROUP BY k
+), link AS (
+    SELECT x, y FROM (SELECT a.k AS x, b.k AS y, count(*) AS c FROM shingle a JOIN shingle b USING (s) GROUP BY ALL) p
+    JOIN size m ON m.k = x JOIN size n ON n.k = y WHERE 100 * c >= 85 * (m.n + n.n - c)
+), reach AS (
+    SELECT k AS x, k AS y FROM doc UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+), component AS (
+    SELECT x AS k, min(doc_id) AS component_id FROM reach JOIN doc ON doc.k = y GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM doc JOIN component USING (k) LEFT JOIN size USING (k)
+"""
+
 ORACLE_SQL["op4_decontamination"] = f"""
 WITH item AS (
     SELECT row_number() OVER () AS k, item_id, {_WORDS} AS w FROM benchmark

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import first_rows
 from .textbytes import Hashes, byte_table, mix, slices, utf8, word_spans
 from .words import SEPARATORS
 
@@ -257,7 +258,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     rows = rows.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
     sample = []
     for label, most in ((1, max_toxic), (0, max_clean)):
-        sample += rows.filter(F.col("toxic") == label).orderBy("h", "text").limit(most).collect()
+        sample += first_rows(rows.filter(F.col("toxic") == label), "h", most)
     return fit([r["text"] for r in sample], [r["toxic"] for r in sample])
 
 
