@@ -4,25 +4,26 @@ A byte is removed when a string of ``span`` bytes that covers it also starts
 in a document with a smaller id.  Strings are judged on the input, so the
 result does not depend on any order of work.
 
-*Parse.*  A rolling hash of ``gram`` bytes triggers a phrase wherever it is 0
-modulo ``phrase``.  A phrase is taken with the ``span - 1`` bytes behind it, so
-that every string of ``span`` bytes lies whole in the phrase it starts in, and
-equal phrases hold equal strings.
-
-*Dictionary.*  A phrase that occurs in a document with a smaller id is removed
-whole, by its hash.  Its strings are looked at once, in the document with the
-smallest id that has it: the dictionary.
-
-*Suffixes.*  A string is filed under its smallest gram hash.  Only where two
-different phrases hold the same smallest gram can they share a string; only
-those suffixes of dictionary phrases are sorted, by their first ``span`` bytes,
-within a chunk, and the first of each run of equal ones goes on to be merged
-with those of other chunks in the order of a 96-bit fingerprint.  The smallest
-id of a run tells which of its places are removed.
+*Parse.*  The trigger of a string of ``span`` bytes is its smallest rolling
+hash of ``gram`` bytes.  A maximal run of strings with one trigger is a phrase;
+it is taken with all bytes of its strings, so equal phrases hold equal strings,
+and a passage that two texts share falls into equal phrases but for its ends.
+
+*Dictionary.*  A phrase that a document with a smaller id has is removed whole,
+by its trigger and a hash.  Its strings are looked at once, in the document
+with the smallest id that has it: the dictionary.
+
+*Suffixes.*  Two different phrases can share a string only if they have one
+trigger.  Only the suffixes of such dictionary phrases are sorted within a
+chunk, by their first 8 bytes and then by a fingerprint of their first
+``span``; the first of each run of equal ones goes on to be merged with those
+of other chunks.  The smallest id of a run tells which of its places are
+removed.  (Runs of equal prefixes are all the suffix arrays are needed for, so
+beyond 8 bytes their order is the fingerprints', not the bytes'.)
 
 Everything that is common is combined within a chunk before it is sent: a
-phrase, gram or string that a third of all documents have sends a few rows a
-chunk.  Whole phrases that repeat never spread into their strings.
+phrase, trigger or string that a third of all documents have sends a few rows
+a chunk.
 
 A null text is empty.  Texts shorter than ``span`` lose nothing.  Rows of one
 id do not remove each other's bytes; a null id counts as larger than all
@@ -58,50 +59,49 @@ def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
 
 
 class Parse:
-    """Phrases, and the smallest gram of every string, of a slice of texts."""
+    """The strings of ``span`` bytes of a slice of texts, and their phrases."""
 
-    def __init__(self, column: pa.Array, span: int, gram: int, phrase: int, contents: bool = True):
+    def __init__(self, column: pa.Array, span: int, gram: int):
         self.buf, offsets = utf8(column)
-        self.offsets, n = offsets, len(self.buf)
+        self.offsets, n, self.span = offsets, len(self.buf), span
         size = np.diff(offsets)
+        self.at = np.zeros(0, np.int64)
         if n < span:
-            self.at = np.zeros(0, np.int64)
             return
         grams = np.arange(n - gram + 1)
-        h = Hashes(self.buf, _GRAM).of(grams, grams + gram)
-        least = sliding_min(h, span - gram + 1)                     # for each string of the slice
-        valid = np.zeros(n, dtype=bool)
+        least = sliding_min(Hashes(self.buf, _GRAM).of(grams, grams + gram), span - gram + 1)
         edge = np.zeros(n + 1, dtype=np.int64)
         long = size >= span
         np.add.at(edge, offsets[:-1][long], 1)
         np.add.at(edge, offsets[1:][long] - span + 1, -1)
-        valid = np.cumsum(edge[:-1]) > 0
-        #: first byte of every string that lies in one text, its text, phrase and smallest gram
-        self.at = np.flatnonzero(valid)
+        #: first byte of every string that lies in one text
+        self.at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
         if not len(self.at):
             return
-        self.text = np.searchsorted(offsets, self.at, side="right") - 1
-        self.least = least[self.at]
-        begins = np.zeros(n, dtype=bool)
-        begins[:len(h)] = h % np.uint64(phrase) == 0
-        begins[offsets[:-1][size > 0]] = True
-        number = np.cumsum(begins) - 1
-        start = np.flatnonzero(begins)
-        of = number[self.at]
-        used = np.unique(of)
-        self.phrase = np.searchsorted(used, of)
-        self.p_start = start[used]
-        self.p_text = np.searchsorted(offsets, self.p_start, side="right") - 1
-        following = np.concatenate((start[1:], [n]))[used]
-        self.p_stop = np.minimum(following + span - 1, offsets[self.p_text + 1])
-        if contents:
-            self.p_first = Hashes(self.buf, _FIRST).of(self.p_start, self.p_stop)
-            self.p_second = Hashes(self.buf, _SECOND).of(self.p_start, self.p_stop)
-            new = np.ones(len(self.at), dtype=bool)
-            new[1:] = (self.least[1:] != self.least[:-1]) | (self.phrase[1:] != self.phrase[:-1])
-            run = np.flatnonzero(new)
-            #: runs of strings with one smallest gram in one phrase
-            self.r_gram, self.r_phrase, self.r_text = self.least[run], self.phrase[run], self.text[run]
+        least = least[self.at]
+        new = np.ones(len(self.at), dtype=bool)
+        new[1:] = (least[1:] != least[:-1]) | (self.at[1:] != self.at[:-1] + 1)
+        #: per phrase: its first string (a number of ``at``), text, trigger and hash
+        self.run = np.flatnonzero(new)
+        start = self.at[self.run]
+        self.stop = self.at[np.concatenate((self.run[1:], [len(self.at)])) - 1] + span
+        self.start, self.trigger = start, least[self.run]
+        self.text = np.searchsorted(offsets, start, side="right") - 1
+        self._first = Hashes(self.buf, _FIRST)
+        self.phrase = self._first.of(start, self.stop) >> np.uint64(32)
+
+    def strings(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First 8 bytes as a big-endian number, and two fingerprints, of strings."""
+        head = np.zeros(len(at), dtype=np.uint64)
+        for k in range(8):
+            head = head << np.uint64(8) | self.buf[at + k]
+        second = Hashes(self.buf, _SECOND)
+        return head, self._first.of(at, at + self.span), second.of(at, at + self.span) >> np.uint64(32)
+
+
+def known_code(trigger: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    """The code of a phrase that an earlier document has; a trigger's own code is the trigger."""
+    return mix(trigger + phrase * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
 
 
 def _part(key: np.ndarray, parts: int) -> np.ndarray:
@@ -130,112 +130,123 @@ def _first_of_run(values: np.ndarray, new: np.ndarray) -> np.ndarray:
     return values[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
 
 
-_PACKED = ("kind string, part bigint, a binary, b binary, c binary, d binary, e binary, f binary, "
-           "doc bigint, th bigint, start int, stop int, gram bigint")
-_ARROW = pa.schema([("kind", pa.string()), ("part", pa.int64()), *[(c, pa.binary()) for c in "abcdef"],
-                    ("doc", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()),
-                    ("gram", pa.int64())])
+def _packed(fields: str):
+    """Spark and Arrow schemas of a part's packed columns."""
+    spark = "kind string, part bigint, " + ", ".join(f"{f} binary" for f in fields)
+    return spark, ["kind", "part", *fields]
 
 
-def _batch(**columns) -> pa.RecordBatch:
-    n = len(columns["kind"])
+def _batch(names: list[str], kind: str, part: np.ndarray, columns: list[list[bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _ARROW],
-        schema=_ARROW)
+        [pa.array([kind] * len(part), pa.string()), pa.array(part), *[pa.array(c, pa.binary()) for c in columns]],
+        names=names)
+
+
+def _with_ids(part: np.ndarray, columns: list[np.ndarray], doc: np.ndarray, th: np.ndarray):
+    """Packed columns by part, and last the places of ids and the ids that a part's rows use."""
+    row = np.lexsort((th, doc))
+    new = _starts(doc[row], th[row])
+    at = np.zeros(len(doc), dtype=np.int64)
+    at[row] = np.cumsum(new) - 1
+    ids = np.stack([doc[row][new], th[row][new]]) if len(doc) else np.zeros((2, 0), np.int64)
+    part, packed = _by_part(part, [*columns, at.astype(np.uint32)])
+    place, own_doc, own_th = [], [], []
+    for x in packed.pop():
+        use, where = np.unique(np.frombuffer(x, np.uint32), return_inverse=True)
+        own_doc.append(ids[0][use].tobytes())
+        own_th.append(ids[1][use].tobytes())
+        place.append(where.astype(np.uint32).tobytes())
+    return part, [*packed, place, own_doc, own_th]
+
 
+def _ids_of(frame: pd.DataFrame, place: str, doc: str, th: str) -> tuple[np.ndarray, np.ndarray]:
+    base = np.concatenate(([0], np.cumsum([len(x) // 8 for x in frame[doc]])))
+    at = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(frame[place], base)])
+    return _join(frame, doc, np.int64)[at], _join(frame, th, np.int64)[at]
 
-def _phrases_out(doc, th, start, stop, first, second, parts: int) -> Iterator[pa.RecordBatch]:
-    """Places of phrases to their parts; places after another in the chunk with a smaller id are marked here."""
-    order = np.lexsort((start, th, doc, second, first))
-    doc, th, start, stop, first, second = (x[order] for x in (doc, th, start, stop, first, second))
-    new = _starts(first, second)
-    later = doc > _first_of_run(doc, new)
-    if later.any():
-        yield _batch(kind=["mark"] * int(later.sum()), doc=doc[later], th=th[later], start=start[later], stop=stop[later])
-    k = ~later
-    part, (a, b, c, d, e, f) = _by_part(_part(first[k], parts), [
-        first[k], second[k], doc[k], th[k], start[k].astype(np.int32), stop[k].astype(np.int32)])
-    yield _batch(kind=["phrase"] * len(part), part=part, a=a, b=b, c=c, d=d, e=e, f=f)
 
+PHRASES, PHRASE_NAMES = _packed("abcde")
+STRINGS, STRING_NAMES = _packed("abcdef")
 
-def _grams_out(gram, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatch]:
-    """Smallest grams to their parts.
 
-    Of a gram and phrase the smallest id is enough.  Two phrases show that a
-    gram is shared; all of a chunk's phrases then hear of it here, and two go on.
+def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatch]:
+    """A chunk's phrases to the parts of their triggers.
+
+    Of a phrase, places after the chunk's smallest id are known to repeat; they
+    go to parts dealt by text as codes, which are only passed on there.  A
+    phrase sends one row a chunk to the part of its trigger.
     """
-    order = np.lexsort((th, doc, phrase, gram))
-    gram, phrase, doc, th = (x[order] for x in (gram, phrase, doc, th))
-    one = _starts(gram, phrase)
-    gram, phrase, doc, th = (x[one] for x in (gram, phrase, doc, th))
-    new = _starts(gram)
-    rank = np.arange(len(gram)) - np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    several = np.zeros(len(gram), dtype=bool)
-    several[:-1] = ~new[1:]
-    several |= ~new
-    if several.any():
-        yield _batch(kind=["shared"] * int(several.sum()), doc=doc[several], th=th[several],
-                     gram=gram[several].view(np.int64))
-    k = rank < 2
-    ids, at = np.unique(np.stack([doc[k], th[k]]), axis=1, return_inverse=True)
-    part, (a, b, c) = _by_part(_part(gram[k], parts), [
-        gram[k], (phrase[k] >> np.uint64(32)).astype(np.uint32), at.ravel().astype(np.uint32)])
-    # each part gets the ids that its entries use
-    own_doc, own_th, local = [], [], []
-    for x in c:
-        use, where = np.unique(np.frombuffer(x, np.uint32), return_inverse=True)
-        own_doc.append(ids[0][use].tobytes())
-        own_th.append(ids[1][use].tobytes())
-        local.append(where.astype(np.uint32).tobytes())
-    yield _batch(kind=["gram"] * len(part), part=part, a=a, b=b, c=local, d=own_doc, e=own_th)
+    order = np.lexsort((th, doc, phrase, trigger))
+    trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
+    one = _starts(trigger, phrase)
+    repeats = (doc > _first_of_run(doc, one)) & _starts(trigger, phrase, doc, th)
+    code, code_doc, code_th = known_code(trigger[repeats], phrase[repeats]), doc[repeats], th[repeats]
+    trigger, phrase, doc, th = (x[one] for x in (trigger, phrase, doc, th))
+    yield _batch(PHRASE_NAMES, "code", *_with_ids(code_th % parts, [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
+    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(trigger, parts), [trigger, phrase.astype(np.uint32)], doc, th))
 
 
 def _join(frame: pd.DataFrame, column: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, dtype=kind) for x in frame[column]])
 
 
+def _codes(doc: np.ndarray, th: np.ndarray, code: np.ndarray) -> pd.DataFrame:
+    """A row per text with its packed codes."""
+    order = np.lexsort((th, doc))
+    doc, th, code = doc[order], th[order], code[order]
+    first = np.flatnonzero(_starts(doc, th)) if len(doc) else np.zeros(0, np.int64)
+    end = np.concatenate((first[1:], [len(doc)]))
+    return pd.DataFrame({"doc": doc[first], "th": th[first],
+                         "codes": [code[a:b].tobytes() for a, b in zip(first, end)]})
+
+
 def _settle(frame: pd.DataFrame) -> pd.DataFrame:
-    """One part of the phrases: their places after a smaller id.  Of the grams: the shared ones."""
-    if frame["kind"].iloc[0] == "phrase":
-        first, second = _join(frame, "a", np.uint64), _join(frame, "b", np.uint64)
-        doc, th = _join(frame, "c", np.int64), _join(frame, "d", np.int64)
-        start, stop = _join(frame, "e", np.int32), _join(frame, "f", np.int32)
-        order = np.lexsort((doc, second, first))
-        new = _starts(first[order], second[order])
-        later = np.zeros(len(doc), dtype=bool)
-        later[order] = doc[order] > _first_of_run(doc[order], new)
-        return pd.DataFrame({"doc": doc[later], "th": th[later], "start": start[later], "stop": stop[later]}).assign(
-            kind="mark", gram=0)
-    gram, phrase = _join(frame, "a", np.uint64), _join(frame, "b", np.uint32)
-    base = np.concatenate(([0], np.cumsum([len(x) // 8 for x in frame["d"]])))
-    at = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(frame["c"], base)])
-    doc, th = _join(frame, "d", np.int64)[at], _join(frame, "e", np.int64)[at]
-    order = np.lexsort((doc, phrase, gram))
-    gram, phrase, doc, th = (x[order] for x in (gram, phrase, doc, th))
-    one = _starts(gram, phrase)
-    gram, phrase, doc, th = (x[one] for x in (gram, phrase, doc, th))
-    new = _starts(gram)
-    several = ~new
-    several[:-1] |= ~new[1:]
-    return pd.DataFrame({"doc": doc[several], "th": th[several], "gram": gram[several].view(np.int64)}).assign(
-        kind="shared", start=0, stop=0)
-
-
-def _ranges(doc, th, at, span: int) -> pd.DataFrame:
-    """Places of strings as ranges of bytes, joined where they touch."""
-    order = np.lexsort((at, th, doc))
-    doc, th, at = doc[order], th[order], at[order]
-    new = _starts(doc, th) if len(doc) else np.zeros(0, bool)
-    if len(doc):
-        new[1:] |= at[1:] > at[:-1] + span
+    """One part: codes of phrases after a smaller id, and triggers that dictionary phrases share."""
+    trigger = _join(frame, "a", np.uint64)
+    doc, th = _ids_of(frame, "c", "d", "e")
+    if frame["kind"].iloc[0] == "code":
+        return _codes(doc, th, trigger)
+    phrase = _join(frame, "b", np.uint32).astype(np.uint64)
+    order = np.lexsort((doc, phrase, trigger))
+    trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
+    one = _starts(trigger, phrase)
+    later = doc > _first_of_run(doc, one)
+    known = known_code(trigger[later], phrase[later]), doc[later], th[later]
+    # the smallest id of each phrase; others of that id in another chunk are the same text or decided above
+    keep = ~later
+    new = _starts(trigger)
+    group = np.cumsum(new) - 1
+    several = np.bincount(group, weights=one)[group] > 1
+    shared = keep & several
+    return _codes(*(np.concatenate(x) for x in zip((known[1], known[2], known[0]),
+                                                   (doc[shared], th[shared], trigger[shared]))))
+
+
+def _counting(lengths: np.ndarray) -> np.ndarray:
+    """0 .. n-1 for each length n, one after the other."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def _merged(doc, th, start, stop) -> pd.DataFrame:
+    """Ranges of bytes, joined where they touch."""
+    order = np.lexsort((start, th, doc))
+    doc, th, start, stop = (x[order] for x in (doc, th, start, stop))
+    if not len(doc):
+        return pd.DataFrame({"doc": doc, "th": th, "start": start.astype(np.int32), "stop": stop.astype(np.int32)})
+    text = np.cumsum(_starts(doc, th))
+    # the furthest stop so far within a text: texts are far apart on one line
+    line = int(stop.max()) + 2
+    reach = np.maximum.accumulate(stop + text * line)
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = start[1:] + text[1:] * line > reach[:-1]
     first = np.flatnonzero(new)
-    last = np.concatenate((first[1:], [len(doc)])) - 1 if len(doc) else first
-    return pd.DataFrame({"doc": doc[first], "th": th[first], "start": at[first].astype(np.int32),
-                         "stop": (at[last] + span).astype(np.int32)})
+    last = np.concatenate((first[1:], [len(doc)])) - 1
+    return pd.DataFrame({"doc": doc[first], "th": th[first], "start": start[first].astype(np.int32),
+                         "stop": (reach[last] - text[last] * line).astype(np.int32)})
 
 
-def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, phrase: int = 128, part_bytes: int = 16 << 20,
-                    chunk_bytes: int = 16 << 20, chunk_strings: int = 500_000, id_filter_bits: int = 22) -> DataFrame:
+def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes: int = 16 << 20,
+                    chunk_bytes: int = 24 << 20, chunk_strings: int = 2_000_000, id_filter_bits: int = 22) -> DataFrame:
     """Ranges of removed bytes of ``rows`` (doc, th, text): doc, th, start, stop, which may overlap."""
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = int(total // part_bytes) + 1
@@ -245,33 +256,21 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, phrase: int
         for batch in batches:
             doc, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for i, j in slices(batch.column(2)):
-                p = Parse(batch.column(2)[i:j], span, gram, phrase)
+                p = Parse(batch.column(2)[i:j], span, gram)
                 if len(p.at):
-                    own = p.offsets[p.p_text]
-                    held.append((doc[i:j][p.p_text], th[i:j][p.p_text], p.p_start - own, p.p_stop - own, p.p_first,
-                                 p.p_second, p.r_gram, p.p_first[p.r_phrase], doc[i:j][p.r_text], th[i:j][p.r_text]))
+                    held.append((p.trigger, p.phrase, doc[i:j][p.text], th[i:j][p.text]))
                 size += len(p.buf)
-                if size >= chunk_bytes:
-                    yield from send(held)
+                if held and size >= chunk_bytes:
+                    yield from _phrases_out(*(np.concatenate(c) for c in zip(*held)), parts)
                     held, size = [], 0
-        yield from send(held)
-
-    def send(held) -> Iterator[pa.RecordBatch]:
         if held:
-            columns = [np.concatenate(c) for c in zip(*held)]
-            yield from _phrases_out(*columns[:6], parts)
-            yield from _grams_out(*columns[6:], parts)
-
-    sent = staged(rows.mapInArrow(parse, _PACKED), "parse")
-    settled = staged(sent.filter("part is not null").groupBy("kind", "part").applyInPandas(
-        _settle, "doc bigint, th bigint, start int, stop int, kind string, gram bigint"), "parse-settled")
-    marks = (sent.filter("kind = 'mark'").select("doc", "th", "start", "stop")
-             .unionByName(settled.filter("kind = 'mark'").select("doc", "th", "start", "stop")))
-    shared = (sent.filter("kind = 'shared'").select("doc", "th", "gram")
-              .unionByName(settled.filter("kind = 'shared'").select("doc", "th", "gram")))
-    # a text's shared grams: no more than it has bytes
-    wanted = staged(shared.groupBy("doc", "th").agg(F.collect_set("gram").alias("grams")), "shared-grams")
-    may = IdFilter(wanted, "doc", id_filter_bits)
+            yield from _phrases_out(*(np.concatenate(c) for c in zip(*held)), parts)
+
+    codes = staged(rows.mapInArrow(parse, PHRASES).groupBy("kind", "part")
+                   .applyInPandas(_settle, "doc bigint, th bigint, codes binary"), "parse-codes")
+    # a text's codes: no more than it has phrases
+    wanted = codes.groupBy("doc", "th").agg(F.collect_list("codes").alias("codes"))
+    may = IdFilter(codes, "doc", id_filter_bits)
     suspects = rows.filter(may.may_have(F.col("doc"))).join(wanted, ["doc", "th"])
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,63 +278,67 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, phrase: int
         for batch in batches:
             doc, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for i, j in slices(batch.column(2)):
-                p = Parse(batch.column(2)[i:j], span, gram, phrase, contents=False)
+                p = Parse(batch.column(2)[i:j], span, gram)
                 if not len(p.at):
                     continue
+                known = np.zeros(len(p.run), dtype=bool)
+                shared = np.zeros(len(p.run), dtype=bool)
+                code = known_code(p.trigger, p.phrase)
+                cut = np.searchsorted(p.text, np.arange(j - i + 1))
                 for t in range(j - i):
-                    a, b = np.searchsorted(p.at, p.offsets[t:t + 2])
-                    if a == b:
-                        continue
-                    known = np.sort(np.asarray(batch.column(3)[i + t].values, dtype=np.int64).view(np.uint64))
-                    spot = np.minimum(np.searchsorted(known, p.least[a:b]), len(known) - 1)
-                    at = p.at[a:b][known[spot] == p.least[a:b]]
-                    for k in range(0, len(at), chunk_strings):
-                        part = at[k:k + chunk_strings]
-                        strings = p.buf[part[:, None] + np.arange(span)]
-                        held.append((strings, np.full(len(part), doc[i + t]), np.full(len(part), th[i + t]),
-                                     part - p.offsets[t]))
-                        size += len(part)
-                        if size >= chunk_strings:
-                            yield from send_strings(held)
-                            held, size = [], 0
+                    a, b = cut[t:t + 2]
+                    have = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(3)[i + t].values])
+                    known[a:b] = np.isin(code[a:b], have)
+                    shared[a:b] = np.isin(p.trigger[a:b], have)
+                own = p.offsets[p.text]
+                if known.any():
+                    yield from marks_out(doc[i:j][p.text[known]], th[i:j][p.text[known]],
+                                         (p.start - own)[known], (p.stop - own)[known])
+                shared &= ~known
+                if shared.any():
+                    length = p.stop - p.start - span + 1
+                    at = np.repeat(p.start[shared], length[shared]) + _counting(length[shared])
+                    text = np.repeat(p.text[shared], length[shared])
+                    held.append((*p.strings(at), doc[i:j][text], th[i:j][text], at - p.offsets[text]))
+                    size += len(at)
+                if size >= chunk_strings:
+                    yield from strings_out(*(np.concatenate(c) for c in zip(*held)))
+                    held, size = [], 0
         if held:
-            yield from send_strings(held)
-
-    def send_strings(held) -> Iterator[pa.RecordBatch]:
-        strings = np.ascontiguousarray(np.concatenate([h[0] for h in held]))
-        doc, th, at = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
-        # the chunk's suffixes in the order of their first bytes, big-endian words compare as bytes do
-        padded = np.zeros((len(strings), -(-span // 8) * 8), dtype=np.uint8)
-        padded[:, :span] = strings
-        words = padded.view(">u8").astype(np.uint64)
-        order = np.lexsort((doc, *[words[:, c] for c in range(words.shape[1] - 1, -1, -1)]))
-        words, doc, th, at = words[order], doc[order], th[order], at[order]
-        new = _starts(*[words[:, c] for c in range(words.shape[1])])
+            yield from strings_out(*(np.concatenate(c) for c in zip(*held)))
+
+    def marks_out(doc, th, start, stop) -> Iterator[pa.RecordBatch]:
+        r = _merged(doc, th, start, stop)
+        part, (a, b, c, d) = _by_part(r["th"].to_numpy() % parts, [r[c].to_numpy() for c in r])
+        empty = [b""] * len(part)
+        yield _batch(STRING_NAMES, "mark", part, [a, b, c, d, empty, empty])
+
+    def strings_out(head, first, second, doc, th, at) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((doc, second, first, head))
+        first, second, doc, th, at = (x[order] for x in (first, second, doc, th, at))
+        new = _starts(head[order], first, second)
         later = doc > _first_of_run(doc, new)
         if later.any():
-            r = _ranges(doc[later], th[later], at[later], span)
-            yield _batch(kind=["mark"] * len(r), doc=r["doc"], th=r["th"], start=r["start"], stop=r["stop"])
+            yield from marks_out(doc[later], th[later], at[later], at[later] + span)
         k = ~later
-        first, second = np.zeros(int(k.sum()), np.uint64), np.zeros(int(k.sum()), np.uint64)
-        for c in range(words.shape[1]):
-            first = mix(first ^ words[k, c]) + np.uint64(c)
-            second = mix(second + words[k, c] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(c + 1))
-        part, (a, b, c, d, e) = _by_part(_part(mix(first), parts), [
-            first, (second >> np.uint64(32)).astype(np.uint32), doc[k], th[k], at[k].astype(np.int32)])
-        yield _batch(kind=["string"] * len(part), part=part, a=a, b=b, c=c, d=d, e=e)
+        yield _batch(STRING_NAMES, "string", *_with_ids(
+            _part(mix(first[k]), parts), [first[k], second[k].astype(np.uint32), at[k].astype(np.int32)], doc[k], th[k]))
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        first, second = _join(frame, "a", np.uint64), _join(frame, "b", np.uint32)
-        doc, th, at = _join(frame, "c", np.int64), _join(frame, "d", np.int64), _join(frame, "e", np.int32)
+        if frame["kind"].iloc[0] == "mark":
+            return _merged(_join(frame, "a", np.int64), _join(frame, "b", np.int64),
+                           _join(frame, "c", np.int32).astype(np.int64), _join(frame, "d", np.int32).astype(np.int64))
+        first, second, at = _join(frame, "a", np.uint64), _join(frame, "b", np.uint32), _join(frame, "c", np.int32)
+        doc, th = _ids_of(frame, "d", "e", "f")
         order = np.lexsort((doc, second, first))
         new = _starts(first[order], second[order])
         later = order[doc[order] > _first_of_run(doc[order], new)]
-        return _ranges(doc[later], th[later], at[later].astype(np.int64), span)
+        at = at[later].astype(np.int64)
+        return _merged(doc[later], th[later], at, at + span)
 
-    strings = staged(suspects.select("doc", "th", "text", "grams").mapInArrow(suffixes, _PACKED), "suffixes")
-    found = strings.filter("kind = 'string'").groupBy("part").applyInPandas(merge, MARKS)
-    return staged(marks.unionByName(strings.filter("kind = 'mark'").select("doc", "th", "start", "stop"))
-                  .unionByName(found), "removed-ranges")
+    found = (suspects.select("doc", "th", "text", "codes").mapInArrow(suffixes, STRINGS)
+             .groupBy("kind", "part").applyInPandas(merge, MARKS))
+    return staged(found, "removed-ranges")
 
 
 def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text",
