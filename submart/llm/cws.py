@@ -31,12 +31,15 @@ from .common import staged
 BITS = 21                       # of a uniform variable
 #: word numbers below this one carry a row's own values through the counting
 RESERVED = 16
+MAX_RANGES = 10_000
+RANGES_A_PARTITION = 3
 
 
 def _range_of(docs: DataFrame, range_bytes: int) -> Column:
     """The range number of an id: 0 for the largest ids, the last for a null id."""
+    # a filter over the cuts tells a row's range, so they are bounded; ranges then grow with the data
     size, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
-    n = int(max(1, min(rows, size // range_bytes + 1)))
+    n = int(max(1, min(rows, size // range_bytes + 1, MAX_RANGES)))
     cuts = []
     if n > 1:
         at = [i / n for i in range(1, n)]
@@ -72,17 +75,21 @@ def _uniform(h: str, part: int) -> str:
     return f"((shiftrightunsigned({h}, {part * BITS}) & {(1 << BITS) - 1}) + 0.5D) / {float(1 << BITS)}D"
 
 
-def _draw(term: str, weight: str, k: int) -> str:
-    """One draw of a weighted term: ln a in the high bits, 16 bits of its sample in the low ones."""
+def _draw(term: str, log_weight: str, k: int) -> str:
+    """One draw of a weighted term: ln a in the high bits, 16 bits of its sample in the low ones.
+
+    A null weight gives null.  r, ln c and beta are the same expressions for
+    every weight, so Spark computes them once for both texts.
+    """
     h = f"xxhash64({term}, {k})"
     g = f"xxhash64({term}, {k}, 1)"
     r = f"(-ln({_uniform(h, 0)} * ({_uniform(h, 1)})))"
     log_c = f"ln(-ln({_uniform(h, 2)} * ({_uniform(g, 0)})))"
     beta = f"({_uniform(g, 1)})"
-    t = f"floor(ln({weight}) / {r} + {beta})"
+    t = f"floor({log_weight} / {r} + {beta})"
     log_a = f"({log_c} - {r} * ({t} - {beta} + 1))"
-    return (f"if({weight} > 0, shiftleft(cast(({log_a} + 64D) * 4294967296D as bigint), 24)"
-            f" | (xxhash64({term}, {t}) & 65535), null)")
+    sample = f"(shiftrightunsigned({term} ^ shiftleft({t}, 37) ^ shiftleft({t}, 26), 24) & 65535)"
+    return f"shiftleft(cast(({log_a} + 64D) * 4294967296D as bigint), 24) | {sample}"
 
 
 def _terms(text: str, first: int, second: int) -> str:
@@ -99,7 +106,7 @@ def likeness(left: Column, right: Column, samples: int) -> Column:
 
 
 def edited_fingerprints(docs: DataFrame, samples: int = 32, id_col: str = "doc_id", text_col: str = "text",
-                        range_bytes: int = 16 << 20) -> DataFrame:
+                        range_bytes: int = 2 << 20) -> DataFrame:
     """Fingerprints of each text and of its edited text.
 
     The edited text has the last floor(n_chars / 2) code points replaced by
@@ -110,8 +117,10 @@ def edited_fingerprints(docs: DataFrame, samples: int = 32, id_col: str = "doc_i
     number = _range_of(base, range_bytes).cast("int")
     have = sorted(r[0] for r in base.select(number.alias("range")).distinct().collect())
     w = Window.partitionBy("range").orderBy(F.desc_nulls_last("doc_id"), "tie")
-    rows = (base.withColumn("range", number).withColumn("tie", F.xxhash64("text"))
-            .withColumn("at", F.row_number().over(w)).drop("tie"))
+    # a few ranges a partition: counting a partition's terms fits in memory
+    rows = (base.withColumn("range", number)
+            .repartition(max(1, -(-len(have) // RANGES_A_PARTITION)), "range")
+            .withColumn("tie", F.xxhash64("text")).withColumn("at", F.row_number().over(w)).drop("tie"))
     rows = _next(rows, ["text"], have)
     n, half = F.length("text"), F.floor(F.length("text") / 2)
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), (n - half).cast("int")),
@@ -125,8 +134,10 @@ def edited_fingerprints(docs: DataFrame, samples: int = 32, id_col: str = "doc_i
                                            f"{_terms('edited', 0, 1)})) as (w, n, m)")
     counted = terms.groupBy("range", "at", "w").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     is_term = f"w < 0 or w >= {RESERVED}"
-    draws = [F.expr(f"min(if({is_term}, {_draw('w', c, k)}, null))").alias(f"{c}{k}")
-             for c in ("n", "m") for k in range(samples)]
+    # ln of 0 is null: a term that a text lacks draws nothing for it
+    counted = counted.selectExpr("range", "at", "w", "n", f"if({is_term}, ln(n), null) as ln_n",
+                                 f"if({is_term}, ln(m), null) as ln_m")
+    draws = [F.expr(f"min({_draw('w', f'ln_{c}', k)})").alias(f"{c}{k}") for c in ("n", "m") for k in range(samples)]
     values = [F.expr(f"max(if(w = {i}, n, null))").alias(f"v{i}") for i in range(len(own))]
     drawn = counted.groupBy("range", "at").agg(*values, *draws)
 
