@@ -69,7 +69,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(doc_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    field = train(docs.join(labels, "doc_id").filter(~held_out))
+    field = train(docs, labels.filter(~held_out))
     tagged = tag_toxicity(docs, field)
     score = F.col("toxicity.score")
     return tagged.select("doc_id", held_out.alias("held_out"), score.alias("score"),

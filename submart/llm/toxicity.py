@@ -207,10 +207,15 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 5, steps: int = 300, b
     if not len(words.start):
         return untrained
     y = token_labels(words, y_text)
-    names, at = np.unique(words.features, return_inverse=True)
-    at = at.reshape(words.features.shape)
-    in_text = np.unique(at.astype(np.int64) * len(texts) + words.text[:, None]) // len(texts)
-    known = (np.bincount(in_text, minlength=len(names)) >= min_texts) & (names != 0)
+    # number the features a kind at a time, which keeps the sorts small
+    names, at, spread = [], np.zeros(words.features.shape, dtype=np.int32), []
+    for k in range(at.shape[1]):
+        kind, which = np.unique(words.features[:, k], return_inverse=True)
+        at[:, k] = which + sum(map(len, names))
+        names.append(kind)
+        spread.append(np.bincount(np.unique(which * len(texts) + words.text) // len(texts), minlength=len(kind)))
+    names, spread = np.concatenate(names), np.concatenate(spread)
+    known = (spread >= min_texts) & (names != 0)
     row, column, rows = blocks_of(words.text)
     size = len(names)
     weights, bias, trans = np.zeros(size), -4.0, np.zeros((2, 2))
@@ -246,20 +251,25 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 5, steps: int = 300, b
     return Field(Weights(names[kept], weights[kept].astype(np.float32)), float(bias), trans)
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id",
-          max_toxic: int = 1500, max_clean: int = 3000, max_chars: int = 8_000) -> Field:
-    """Fit on a bounded sample: the first rows of each label by a hash of the id.
+def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic",
+          id_col: str = "doc_id", max_toxic: int = 1200, max_clean: int = 2400, max_chars: int = 6_000) -> Field:
+    """Fit on a bounded sample: of each label the first ids by a hash.
 
-    ``max_chars`` leaves longer texts out of the sample, so the driver holds at
-    most ``(max_toxic + max_clean) * max_chars`` characters.
+    The ids are chosen on the label table alone, and their texts fetched by
+    them, so no text is shuffled.  Texts over ``max_chars`` are left out of the
+    sample: the driver holds at most ``(max_toxic + max_clean) * max_chars``
+    characters.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"),
-                           F.xxhash64(F.col(id_col).cast("string"), F.lit("toxicity")).alias("h"))
-    rows = rows.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    sample = []
+    marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
+              .filter("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
+              .withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("toxicity"))))
+    of: dict = {}
     for label, most in ((1, max_toxic), (0, max_clean)):
-        sample += first_rows(rows.filter(F.col("toxic") == label), "h", most)
-    return fit([r["text"] for r in sample], [r["toxic"] for r in sample])
+        of |= {r["id"]: label for r in first_rows(marked.filter(F.col("toxic") == label), "h", most)}
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+             .filter(F.col("id").isin(list(of)) & (F.length("text") <= max_chars)))
+    sample = sorted(texts.groupBy("id").agg(F.min("text").alias("text")).collect()) if of else []
+    return fit([r["text"] for r in sample], [of[r["id"]] for r in sample])
 
 
 def score_texts(field: Field, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
