@@ -246,7 +246,7 @@ def _merged(doc, th, start, stop) -> pd.DataFrame:
 
 
 def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes: int = 16 << 20,
-                    chunk_bytes: int = 24 << 20, chunk_strings: int = 2_000_000, id_filter_bits: int = 22) -> DataFrame:
+                    chunk_bytes: int = 16 << 20, chunk_strings: int = 1_000_000, id_filter_bits: int = 22) -> DataFrame:
     """Ranges of removed bytes of ``rows`` (doc, th, text): doc, th, start, stop, which may overlap."""
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = int(total // part_bytes) + 1
