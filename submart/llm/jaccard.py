@@ -144,6 +144,13 @@ class Shingles:
         odd = np.bincount(at, minlength=len(self.counts) * bits).reshape(len(self.counts), bits) & 1
         return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
+    def wide_sketch(self, i: int) -> bytes:
+        """The odd sketch of one set in a power of two of at least two bits a shingle."""
+        bits = max(512, 1 << (2 * int(self.counts[i]) - 1).bit_length())
+        at = (mix(self.of(i) ^ np.uint64(0x77)) >> np.uint64(32)) & np.uint64(bits - 1)
+        odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.first[i]:self.first[i + 1]]
 
@@ -370,10 +377,36 @@ def _memberships(docs: DataFrame, scheme: Scheme, largest: int, parts: int, id_c
     return staged(packed.groupBy("part").applyInPandas(shared, "sig bigint, node bigint"), "jaccard-shared")
 
 
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two wide sketches differ, the longer folded to the shorter: at most the sets' difference."""
+    x, y = (int.from_bytes(s, "little") for s in (a, b))
+    size, least = 8 * max(len(a), len(b)), 8 * min(len(a), len(b))
+    if len(a) < len(b):
+        x, y = y, x
+    while size > least:
+        size //= 2
+        x = (x >> size) ^ (x & (1 << size) - 1)
+    return (x ^ y).bit_count()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by the shingles of both texts."""
+    """The pairs (a, b) whose sets are similar.
+
+    Wide sketches, some twentieth of a text, go to the pairs first and rule out
+    most that are not; the texts of the others decide, by the shingles of both.
+    """
     k, num, den = threshold.words, threshold.num, threshold.den
 
+    @F.arrow_udf("boolean")
+    def close(left: pa.Array, right: pa.Array, most: pa.Array) -> pa.Array:
+        return pa.array([sketch_distance(a, b) <= m for a, b, m in zip(left.to_pylist(), right.to_pylist(),
+                                                                       most.to_pylist())], pa.bool_())
+
+    most = F.expr(f"cast((n_a + n_b) * {den - num} div {den + num} as bigint)")
+    sketched = (pairs.join(texts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("wide").alias("w_a")), "a")
+                .join(texts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("wide").alias("w_b")), "b"))
+    pairs = staged(sketched.filter(close("w_a", "w_b", most)).select("a", "b"), "jaccard-close")
+
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
         out = np.zeros(len(left), dtype=bool)
@@ -486,13 +519,20 @@ def _texts(docs: DataFrame, nodes: DataFrame, threshold: Threshold, id_col: str,
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)).alias("rep"),
                        F.col(text_col).cast("string").alias("text"))
 
-    @F.arrow_udf("bigint")
-    def node_of(texts: pa.Array) -> pa.Array:
-        return pa.array(np.concatenate([Shingles(texts[i:j], k).nodes for i, j in slices(texts)] or
-                                       [np.zeros(0, np.int64)]))
-
-    rows = rows.filter(may.may_have(F.col("rep"))).withColumn("node", node_of("text"))
-    return staged(rows.join(wanted, ["node", "rep"]).dropDuplicates(["node"]).select("node", "text"), "jaccard-texts")
+    @F.arrow_udf("struct<node:bigint,n:bigint,wide:binary>")
+    def set_of(texts: pa.Array) -> pa.Array:
+        node, n, wide = [], [], []
+        for i, j in slices(texts):
+            s = Shingles(texts[i:j], k)
+            node += s.nodes.tolist()
+            n += s.counts.tolist()
+            wide += [s.wide_sketch(r) if s.counts[r] else b"" for r in range(j - i)]
+        return pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64()),
+                                           pa.array(wide, pa.binary())], names=["node", "n", "wide"])
+
+    rows = rows.filter(may.may_have(F.col("rep"))).withColumn("set", set_of("text")).select("rep", "text", "set.*")
+    return staged(rows.join(wanted, ["node", "rep"]).dropDuplicates(["node"]).select("node", "n", "wide", "text"),
+                  "jaccard-texts")
 
 
 def keep_one_of_each(docs: DataFrame, threshold: Threshold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

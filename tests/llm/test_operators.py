@@ -91,6 +91,7 @@ def test_jaccard_similar_sets_share_what_they_need():
         assert len(common) >= max(signer.needs(s)) or s.nodes[0] == s.nodes[1]
         differ = sum(int(x ^ y).bit_count() for x, y in zip(*(r.view(np.uint64).tolist() for r in s.sketches())))
         assert differ <= union - both
+        assert jaccard.sketch_distance(s.wide_sketch(0), s.wide_sketch(1)) <= union - both
 
 
 def test_keep_one_of_each(docs):
