@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next one's ``docs``.  All but the last return the
 columns of ``docs``.
 
-1. Language: documents whose language is undetermined or undecided go.
+1. Language: documents whose language is undetermined, or whose margin over the
+   next language is narrow, go.
 2. Near duplicates: of documents linked by word 5-grams at a Jaccard
    similarity of 0.8 or more, the one with the smallest id stays.
 3. Decontamination: documents that hold a window of a benchmark item go.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from submart.llm.common import reach_workers, read_table, staged
 from submart.llm.decontam import benchmark_items, find_contamination
 from submart.llm.jaccard import Threshold, keep_one_of_each
-from submart.llm.langid import identify_languages, language_samples
+from submart.llm.langid import MIN_MARGIN, identify_languages, language_samples
 from submart.llm.mixing import mixed_documents
 from submart.llm.sharding import shard_documents
 
@@ -38,7 +39,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_workers(spark)
     samples = language_samples(docs.select("doc_id", "text", "lang"))
     rows = docs.select(F.struct("*").alias("row"), "text")
-    return _kept(docs, identify_languages(rows, samples), ~F.col("langid.rejected"))
+    return _kept(docs, identify_languages(rows, samples, min_margin=MIN_MARGIN), ~F.col("langid.rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

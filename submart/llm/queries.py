@@ -14,7 +14,7 @@ from .common import doc_remainder, read_table
 from .cws import edited_fingerprints
 from .decontam import benchmark_items, find_contamination
 from .jaccard import Threshold, jaccard_components
-from .langid import identify_languages, language_samples
+from .langid import MIN_MARGIN, identify_languages, language_samples
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .sharding import shard_documents
@@ -90,7 +90,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = doc_remainder(F.col("doc_id"), 4) == 2
     train = docs.select("doc_id", "text", "lang").filter(~held_out)
-    found = identify_languages(docs.select("doc_id", "text"), language_samples(train))
+    found = identify_languages(docs.select("doc_id", "text"), language_samples(train), min_margin=MIN_MARGIN)
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                         F.col("langid.language").alias("lang_pred"), F.col("langid.score").alias("score"),
                         F.col("langid.rejected").alias("rejected"))

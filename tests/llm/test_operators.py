@@ -377,6 +377,40 @@ def test_language_id(spark):
     assert [r.language for r in none] == ["und"]
 
 
+def test_language_id_rejects_mixed_and_unlearned(spark):
+    """Texts of half and half, of an unlearned language and of random letters go; clean ones stay, long or short."""
+    rng = random.Random(19)
+    syllables = {"xx": "ka to ri mu ne sha".split(), "yy": "brel gund opf wach leit ein".split(),
+                 "zz": "quio jaz vexy pho duc lym".split()}
+    make = lambda l, n: ["".join(rng.choice(syllables[l]) for _ in range(rng.randrange(1, 4))) for _ in range(n)]
+    junk = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n)]
+    train = [(i, " ".join(make("xx" if i % 2 else "yy", 60)), "xx" if i % 2 else "yy") for i in range(80)]
+    samples = langid.language_samples(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    clean = [" ".join(make(l, n)) for l in ("xx", "yy") for n in (20, 60, 2000) for _ in range(10)]
+    mixed = [" ".join(w for p in zip(make("xx", n), make("yy", n)) for w in p) for n in (30, 1000) for _ in range(10)]
+    odd = [" ".join(make("zz", n)) for n in (60, 2000) for _ in range(10)] + [" ".join(junk(60)) for _ in range(10)]
+    table = spark.createDataFrame(list(enumerate(clean + mixed + odd)), "doc_id long, text string")
+    got = langid.identify_languages(table, samples, min_margin=langid.MIN_MARGIN).orderBy("doc_id").collect()
+    rejected = [r.langid.rejected for r in got]
+    of_mixed, of_odd = rejected[len(clean):-len(odd)], rejected[-len(odd):]
+    assert not any(rejected[:len(clean)])
+    assert sum(of_mixed) >= 0.5 * len(mixed) and sum(of_odd) >= 0.9 * len(odd), (of_mixed, of_odd)
+    assert all(r.langid.rejected == (r.langid.margin <= langid.MIN_MARGIN) for r in got)
+
+
+def test_language_stage_uses_the_margin(spark):
+    """Texts of languages without training rows go in the pipeline's first stage; the others stay."""
+    import corpus_pipeline
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.filter("length(text) > 100")
+    learned = F.col("lang").isin("en", "de")
+    kept = corpus_pipeline.language(spark, docs.withColumn("lang", F.when(learned, F.col("lang"))), "")
+    kept = {r.doc_id for r in kept.select("doc_id").collect()}
+    stay = [r.doc_id in kept for r in docs.filter(learned).collect()]
+    go = [r.doc_id not in kept for r in docs.filter(~learned).collect()]
+    assert sum(stay) >= 0.97 * len(stay) and sum(go) >= 0.8 * len(go), (len(stay), sum(stay), len(go), sum(go))
+
+
 # ---- licence scans
 
 def test_license_scan(docs):
