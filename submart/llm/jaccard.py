@@ -426,10 +426,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataF
 
 def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc_id", text_col: str = "text",
                        part_rows: int = 1_000_000, id_filter_bits: int = 22) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` and ``node``.
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``node`` and ``root``.
 
     ``node`` is the hash of the shingle set; ``component_id`` is the smallest
-    id reachable by links, the document's own included.
+    id reachable by links, the document's own included.  ``root`` is the
+    component's smallest node: unlike the id, it is never null and never
+    shared by components (rows of one id can have different texts).
     """
     sets, stats = _sets(docs, threshold, id_col, text_col)
     total, largest = sets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
@@ -503,12 +505,13 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     final = (of.join(second.withColumnRenamed("node", "component"), "component", "left")
              .select("node", F.coalesce("root", "component").alias("root")))
     smallest = (final.join(nodes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("smallest")))
-    named = final.join(smallest, "root").select("node", "smallest")
-    by_node = classes.join(named, "node", "left").select("node", F.coalesce("smallest", "rep").alias("component_id"))
+    named = final.join(smallest, "root").select("node", "smallest", "root")
+    by_node = classes.join(named, "node", "left").select("node", F.coalesce("smallest", "rep").alias("component_id"),
+                                                         F.coalesce("root", "node").alias("root"))
     return (sets.join(by_node, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    "node"))
+                    "node", F.coalesce("root", "node").alias("root")))
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, threshold: Threshold, id_col: str, text_col: str, bits: int) -> DataFrame:
@@ -538,7 +541,8 @@ def _texts(docs: DataFrame, nodes: DataFrame, threshold: Threshold, id_col: str,
 def keep_one_of_each(docs: DataFrame, threshold: Threshold, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay: of each component one row, its smallest id; wordless rows all stay.
 
-    All columns are kept.  Of rows with the same id and set, one stays.
+    All columns are kept.  Of rows with the same id and set, one stays.  A
+    null id counts as larger than all others.
     """
     found = jaccard_components(docs, threshold, id_col, text_col)
     k = threshold.words
@@ -550,7 +554,8 @@ def keep_one_of_each(docs: DataFrame, threshold: Threshold, id_col: str = "doc_i
         node = np.concatenate([p.nodes for p in parts]) if parts else np.zeros(0, np.int64)
         return pa.StructArray.from_arrays([pa.array(n), pa.array(node)], names=["n", "node"])
 
-    stay = (found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "node")).alias("s"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
+    stay = (found.filter("n_shingles > 0").groupBy("root").agg(first.alias("s"))
             .select(F.col("s.doc_id").alias("stay_id"), F.col("s.node").alias("stay_node")))
     rows = docs.select(F.struct("*").alias("row"), set_of(F.col(text_col)).alias("set"))
     empty = rows.filter("set.n = 0").select("row.*")

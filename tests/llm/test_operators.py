@@ -104,6 +104,19 @@ def test_keep_one_of_each(docs):
     assert collections.Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_keep_one_of_each_without_ids(spark):
+    """Components of null ids alone, or of one repeated id, stay apart; a component's smallest id that is there stays."""
+    rng = random.Random(8)
+    texts = [f"t{k} " + _plain(rng, 40) for k in range(6)]
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0]), (None, texts[1] + " z"), (None, texts[4]), (8, texts[4]),
+                                             (6, texts[4] + " z"), (5, texts[4]), (5, texts[5]), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.keep_one_of_each(df, jaccard.Threshold(5, 80, 100)).collect()
+    first = collections.Counter((r.doc_id, (r.text or "").split(" ")[0]) for r in kept)
+    assert first == {(None, "t0"): 1, (None, "t1"): 1, (None, "t2"): 1, (None, "t3"): 1, (5, "t4"): 1, (5, "t5"): 1,
+                     (None, ""): 1}
+
+
 # ---- fingerprints
 
 def test_fingerprints(docs):
