@@ -10,7 +10,7 @@ it is taken with all bytes of its strings, so equal phrases hold equal strings,
 and a passage that two texts share falls into equal phrases but for its ends.
 
 *Dictionary.*  A phrase that a document with a smaller id has is removed whole,
-by its trigger and a hash.  Its strings are looked at once, in the document
+by its trigger and a 64-bit hash.  Its strings are looked at once, in the document
 with the smallest id that has it: the dictionary.
 
 *Suffixes.*  Two different phrases can share a string only if they have one
@@ -88,7 +88,7 @@ class Parse:
         self.start, self.trigger = start, least[self.run]
         self.text = np.searchsorted(offsets, start, side="right") - 1
         self._first = Hashes(self.buf, _FIRST)
-        self.phrase = self._first.of(start, self.stop) >> np.uint64(32)
+        self.phrase = self._first.of(start, self.stop)
 
     def strings(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First 8 bytes as a big-endian number, and two fingerprints, of strings."""
@@ -183,7 +183,7 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
     code, code_doc, code_th = known_code(trigger[repeats], phrase[repeats]), doc[repeats], th[repeats]
     trigger, phrase, doc, th = (x[one] for x in (trigger, phrase, doc, th))
     yield _batch(PHRASE_NAMES, "code", *_with_ids(code_th % parts, [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
-    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(trigger, parts), [trigger, phrase.astype(np.uint32)], doc, th))
+    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(trigger, parts), [trigger, phrase], doc, th))
 
 
 def _join(frame: pd.DataFrame, column: str, kind) -> np.ndarray:
@@ -206,7 +206,7 @@ def _settle(frame: pd.DataFrame) -> pd.DataFrame:
     doc, th = _ids_of(frame, "c", "d", "e")
     if frame["kind"].iloc[0] == "code":
         return _codes(doc, th, trigger)
-    phrase = _join(frame, "b", np.uint32).astype(np.uint64)
+    phrase = _join(frame, "b", np.uint64)
     order = np.lexsort((doc, phrase, trigger))
     trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
     one = _starts(trigger, phrase)

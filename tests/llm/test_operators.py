@@ -336,6 +336,28 @@ def test_repeats(docs, span):
     assert sum(k[2] for k in want) > 0
 
 
+def test_phrases_of_one_trigger_are_told_apart(spark):
+    """Two texts of one trigger whose phrase hashes agree in 32 bits lose nothing."""
+    rng = np.random.default_rng(6)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    grams = letters[rng.integers(0, 26, (200_000, 24))]
+    at = np.arange(len(grams)) * 24
+    least = suffixdedup.Hashes(grams.reshape(-1), suffixdedup._GRAM).of(at, at + 24).argmin()
+    texts = np.concatenate([np.tile(grams[least], (300_000, 1)), letters[rng.integers(0, 26, (300_000, 26))]], axis=1)
+    at = np.arange(len(texts)) * 50
+    top = suffixdedup.Hashes(texts.reshape(-1), suffixdedup._FIRST).of(at, at + 50) >> np.uint64(32)
+    order = np.argsort(top, kind="stable")
+    same = np.flatnonzero(top[order][1:] == top[order][:-1])
+    assert len(same)
+    pairs = [(int(order[k]), int(order[k + 1])) for k in same]
+    rows = [(i, texts[x].tobytes().decode()) for i, x in enumerate(x for p in pairs for x in p)]
+    assert len({t for _, t in rows}) == len(rows)
+    parse = suffixdedup.Parse(pa.array([t for _, t in rows]), 50, 24)
+    assert len(parse.run) == len(rows) > len(set(parse.trigger.tolist()))
+    out = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.n_removed for r in out] == [0] * len(rows)
+
+
 # ---- sharding
 
 def test_sharding(docs):
