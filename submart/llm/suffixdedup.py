@@ -173,15 +173,17 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
     """A chunk's phrases to the parts of their triggers.
 
     Of a phrase, places after the chunk's smallest id are known to repeat; they
-    go to parts dealt by text as codes, which are only passed on there.  A
-    phrase sends one row a chunk to the part of its trigger.
+    go to parts dealt by text as codes, which are only passed on there.  To the
+    part of its trigger a phrase sends a row for each text of that smallest id:
+    one a chunk, but for null and repeated ids.
     """
     order = np.lexsort((th, doc, phrase, trigger))
     trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
     one = _starts(trigger, phrase)
-    repeats = (doc > _first_of_run(doc, one)) & _starts(trigger, phrase, doc, th)
+    text, later = _starts(trigger, phrase, doc, th), doc > _first_of_run(doc, one)
+    repeats, first = text & later, text & ~later
     code, code_doc, code_th = known_code(trigger[repeats], phrase[repeats]), doc[repeats], th[repeats]
-    trigger, phrase, doc, th = (x[one] for x in (trigger, phrase, doc, th))
+    trigger, phrase, doc, th = (x[first] for x in (trigger, phrase, doc, th))
     yield _batch(PHRASE_NAMES, "code", *_with_ids(code_th % parts, [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
     yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(trigger, parts), [trigger, phrase], doc, th))
 
@@ -212,7 +214,7 @@ def _settle(frame: pd.DataFrame) -> pd.DataFrame:
     one = _starts(trigger, phrase)
     later = doc > _first_of_run(doc, one)
     known = known_code(trigger[later], phrase[later]), doc[later], th[later]
-    # the smallest id of each phrase; others of that id in another chunk are the same text or decided above
+    # every text of the smallest id of each phrase
     keep = ~later
     new = _starts(trigger)
     group = np.cumsum(new) - 1

@@ -336,6 +336,32 @@ def test_repeats(docs, span):
     assert sum(k[2] for k in want) > 0
 
 
+@pytest.mark.parametrize("i", [None, 7])
+def test_repeats_of_one_id_in_a_chunk(spark, i):
+    """Texts of one id (or of none) in one chunk lose a passage that a smaller id has in another chunk, or the same one."""
+    rng = random.Random(21)
+    for split in (1, 3):
+        shared = [_plain(rng, 120) for _ in range(3)]
+        later = [(i, f"{_plain(rng, 20)} {shared[0]} {shared[1]} {_plain(rng, 20)}") for _ in range(4)]
+        first = (5, f"{_plain(rng, 9)} {shared[0]} {shared[2]} {shared[1][40:300]} {_plain(rng, 9)}")
+        rows = [first, (6, _plain(rng, 50)), *later] if split == 1 else [*later, (6, _plain(rng, 50)), first]
+        known = {first[1].encode()[k:k + 50] for k in range(len(first[1].encode()) - 49)}
+        want = collections.Counter()
+        for x, t in rows:
+            b, off = t.encode(), set()
+            for k in range(len(b) - 49):
+                if x == i and b[k:k + 50] in known:
+                    off |= set(range(k, k + 50))
+            kept = bytes(c for k, c in enumerate(b) if k not in off)
+            want[(x, len(b), len(off), hashlib.sha256(kept).hexdigest())] += 1
+        # two partitions, so two chunks: the smaller ids are in one and the four texts in the other
+        parts = [rows[:2], rows[2:]] if split == 1 else [rows[:4], rows[4:]]
+        table = spark.createDataFrame(spark.sparkContext.parallelize(parts, 2).flatMap(list),
+                                      "doc_id long, text string")
+        got = suffixdedup.remove_repeats(table)
+        assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in got.collect()) == want
+
+
 def test_phrases_of_one_trigger_are_told_apart(spark):
     """Two texts of one trigger whose phrase hashes agree in 32 bits lose nothing."""
     rng = np.random.default_rng(6)
