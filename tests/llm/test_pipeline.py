@@ -40,7 +40,7 @@ def test_stages(spark, tmp_path):
 def test_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(sql.ORACLE_SQL))
