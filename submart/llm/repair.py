@@ -12,10 +12,13 @@ The auction keeps a price per node, at most any arc's cost plus the price
 behind it, and a path from the origin along arcs where both are equal.  At the
 path's end the price rises to the best arc's; if it rose the path contracts by
 a node, and otherwise it extends over that arc.  Prices start at what the
-turns ahead cost at least.  When the path reaches the end the origin's price
-is the least cost, and every cheapest path runs over tight arcs (price = cost +
-price behind), so the least audit is traced over tight arcs that still lead to
-the end, taking D before I, K and R; a node has one arc of each.
+turns ahead cost at least.  Of a long run the nodes of every 16th turn are
+settled first, from the end on, and a path stops where a price is exact, so
+the work is in proportion to the turns.  When the path reaches the end the
+origin's price is the least cost, and every cheapest path runs over tight arcs
+(price = cost + price behind), so the least audit is traced over tight arcs
+that still lead to the end, taking D before I, K and R; a node has one arc of
+each.
 
 A conversation over ``block_bytes`` is solved in blocks (``turns.py``): each
 block for every role before and after it, which are then joined in order by
@@ -45,6 +48,8 @@ NAMES = {USER: "user", ASSISTANT: "assistant"}
 #: where a kept turn of a role may follow
 AFTER = {"s": {NONE: SYSTEM}, "u": {NONE: USER, SYSTEM: USER, ASSISTANT: USER}, "a": {USER: ASSISTANT}}
 LEGAL = {"su", "ua", "au"}
+#: turns between origins that are settled from the end on, so a path is never much longer
+STATION = 16
 WHOLE = (NONE, ASSISTANT)
 
 _TURNS = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
@@ -82,50 +87,85 @@ def _arcs(codes: str, i: int, q: int) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def auction(codes: str, start: int = NONE, ends: tuple[int, ...] = WHOLE) -> tuple[int, str] | None:
-    """Least cost from role ``start`` to one of ``ends`` over all turns, and its least audit; None if there is no way."""
-    n = len(codes)
-    ahead = [0] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        ahead[i] = ahead[i + 1] + (DELETE if codes[i] == "x" or codes[i].isupper() else 0)
-    # arcs to nodes from which an end can be reached
-    arcs: list[list] = [[[] for _ in range(4)] for _ in range(n + 1)]
-    reach = [[i == n and q in ends for q in range(4)] for i in range(n + 1)]
-    for i in range(n, -1, -1):
-        for _ in range(3):
+class Lattice:
+    """The lattice of a run of turns up to one of the roles ``ends``, with its prices."""
+
+    def __init__(self, codes: str, ends: tuple[int, ...] = WHOLE):
+        n = self.n = len(codes)
+        self.ends = ends
+        # arcs to nodes from which an end can be reached
+        self.reach = [[i == n and q in ends for q in range(4)] for i in range(n + 1)]
+        self.arcs: list[list] = [[[] for _ in range(4)] for _ in range(n + 1)]
+        ahead = [0] * (n + 1)
+        for i in range(n, -1, -1):
+            if i < n:
+                ahead[i] = ahead[i + 1] + (DELETE if codes[i] == "x" or codes[i].isupper() else 0)
+            out = [_arcs(codes, i, q) for q in range(4)]
+            for _ in range(3):
+                for q in range(4):
+                    self.reach[i][q] = self.reach[i][q] or any(self.reach[j][r] for _, _, j, r in out[q])
             for q in range(4):
-                reach[i][q] = reach[i][q] or any(reach[j][r] for _, _, j, r in _arcs(codes, i, q))
-        for q in range(4):
-            arcs[i][q] = [a for a in _arcs(codes, i, q) if reach[a[2]][a[3]]]
-    if not reach[0][start]:
-        return None
-    price = [[ahead[i]] * 4 for i in range(n + 1)]
-    path = [(0, start)]
-    while True:
-        i, q = path[-1]
-        best, to = min(((c + price[j][r], (j, r)) for _, c, j, r in arcs[i][q]), default=(None, None))
-        if i == n and q in ends:
-            best, to = 0, None                              # the end's price is 0; no arc costs less
-        if price[i][q] < best:
-            price[i][q] = best
-            if len(path) > 1:
-                path.pop()
-        elif to is None:
-            break
-        else:
-            path.append(to)
-    # tight arcs that lead to the end over tight arcs
-    leads = [[i == n and q in ends and price[i][q] == 0 for q in range(4)] for i in range(n + 1)]
-    for i in range(n, -1, -1):
-        for _ in range(3):
+                self.arcs[i][q] = [a for a in out[q] if self.reach[a[2]][a[3]]]
+        self.price = [[a] * 4 for a in ahead]
+        # nodes whose price is their distance to the end
+        self.exact = {(n, q) for q in ends}
+        for i in range(n - STATION, 0, -STATION):
             for q in range(4):
-                leads[i][q] = leads[i][q] or any(leads[j][r] and price[i][q] == c + price[j][r] for _, c, j, r in arcs[i][q])
-    i, q, audit = 0, start, []
-    while not (i == n and q in ends and price[i][q] == 0):
-        edit, _, j, r = next(a for a in arcs[i][q] if leads[a[2]][a[3]] and price[i][q] == a[1] + price[a[2]][a[3]])
-        audit.append(edit)
-        i, q = j, r
-    return price[0][start], "".join(audit)
+                if self.reach[i][q]:
+                    self._settle(i, q)
+            # the turns before a station cost what they cost at least and the least that follows it
+            least = min(self.price[i][q] for q in range(4) if self.reach[i][q])
+            for k in range(max(0, i - STATION), i):
+                self.price[k] = [ahead[k] - ahead[i] + least] * 4
+
+    def _settle(self, i: int, q: int) -> None:
+        """The auction from one origin; its path ends where a price is exact already."""
+        price, path = self.price, [(i, q)]
+        while path[-1] not in self.exact:
+            i, q = path[-1]
+            best, to = min((c + price[j][r], (j, r)) for _, c, j, r in self.arcs[i][q])
+            if price[i][q] < best:
+                price[i][q] = best
+                if len(path) > 1:
+                    path.pop()
+            else:
+                path.append(to)
+        self.exact.update(path)
+
+    def solve(self, start: int) -> tuple[int, str] | None:
+        """Least cost from role ``start`` over all turns and its least audit; None if there is no way."""
+        if not self.reach[0][start]:
+            return None
+        self._settle(0, start)
+        price, tight = self.price, {}
+        # tight arcs from here on, and those of them that lead to the end
+        todo = [(0, start)]
+        while todo:
+            node = todo.pop()
+            if node not in tight:
+                i, q = node
+                tight[node] = [(e, (j, r)) for e, c, j, r in self.arcs[i][q] if price[i][q] == c + price[j][r]]
+                todo.extend(to for _, to in tight[node])
+        at_end = {(self.n, q) for q in self.ends if price[self.n][q] == 0}
+        leads, before = set(), {}
+        for node, out in tight.items():
+            for _, to in out:
+                before.setdefault(to, []).append(node)
+        todo = [node for node in tight if node in at_end]
+        while todo:
+            node = todo.pop()
+            if node not in leads:
+                leads.add(node)
+                todo.extend(before.get(node, ()))
+        node, audit = (0, start), []
+        while node not in at_end:
+            edit, node = next(a for a in tight[node] if a[1] in leads)
+            audit.append(edit)
+        return price[0][start], "".join(audit)
+
+
+def auction(codes: str, start: int = NONE, ends: tuple[int, ...] = WHOLE) -> tuple[int, str] | None:
+    return Lattice(codes, ends).solve(start)
 
 
 _auction_kept = functools.lru_cache(maxsize=1 << 14)(auction)
@@ -194,7 +234,10 @@ def _parts(groups):
     for (conv, block), rows in groups:
         order, said, codes, n = _judged([r[2:] for r in rows], seen=True)
         order = [t for t in order if t is not None]
-        ways = [auction(codes, q, (r,)) for q in range(4) for r in range(4)]
+        ways = [None] * 16
+        for r in range(4):
+            lattice = Lattice(codes, (r,))
+            ways[r::4] = [lattice.solve(q) for q in range(4)]
         yield (conv, block, n["blank"], n["duplicate"], n["truncated"], n["illegal"], len(set(order)),
                min(order, default=None), max(order, default=None), said[0][0][:1], said[-1][0][:1],
                [w and w[0] for w in ways], [w and w[1] for w in ways])

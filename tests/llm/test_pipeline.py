@@ -49,7 +49,13 @@ def test_oracle(spark, name):
     assert ok, why
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(sql.ORACLE_SQL)))
+def test_one_row_per_conversation(spark):
+    out = QUERIES["op11_chat_formatting"](spark, SF).select("conv_id").collect()
+    stored = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().collect()
+    assert sorted(r.conv_id for r in out) == sorted([-1, *(r.conv_id for r in stored)])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(sql.ORACLE_SQL) - {"op11_chat_formatting"}))
 def test_one_row_per_document(spark, name):
     out = QUERIES[name](spark, SF).select("doc_id").collect()
     assert sorted(r.doc_id for r in out) == sorted(
