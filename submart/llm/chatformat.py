@@ -21,6 +21,7 @@ history from before it.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Iterator
@@ -38,7 +39,9 @@ _MARK = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL)
 SYSTEM, ASSISTANT = "system", "assistant"
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: byte-pair ranks of a public tokenizer, and (fixed value) how its texts are cut before merging
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 WINDOW = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("block", T.LongType()), T.StructField("window", T.IntegerType()),
@@ -99,30 +102,30 @@ class _Tokens:
         self.vocabulary = vocabulary
 
     def __call__(self, texts: list[str]) -> list[int]:
-        from tokenizers import Tokenizer
+        import tiktoken
         found = self._kept.get(self.vocabulary.id)
         if found is None:
-            found = Tokenizer.from_str(self.vocabulary.value)
-            found.encode_special_tokens = True
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, self.vocabulary.value.splitlines())}
+            found = tiktoken.Encoding(self.vocabulary.id, pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
             self._kept.clear()
             self._kept[self.vocabulary.id] = found
-        return [len(e.ids) for t in texts for e in [found.encode(t, add_special_tokens=False)]]
+        return [len(found.encode_ordinary(t)) for t in texts]
 
 
 class _Vocabulary:
-    """A broadcast tokenizer file (a few MB, whatever the data)."""
+    """A broadcast file of byte-pair ranks (a few MB, whatever the data)."""
 
     def __init__(self, spark: SparkSession, path: str):
         if "://" in path:
-            content = bytes(spark.read.format("binaryFile").load(path).first()["content"]).decode()
+            content = bytes(spark.read.format("binaryFile").load(path).first()["content"])
         else:
-            with open(path, encoding="utf-8") as f:
+            with open(path, "rb") as f:
                 content = f.read()
-        self.id = hashlib.sha256(content.encode()).hexdigest()
+        self.id = hashlib.sha256(content).hexdigest()
         self._sent = spark.sparkContext.broadcast(content)
 
     @property
-    def value(self) -> str:
+    def value(self) -> bytes:
         return self._sent.value
 
 
