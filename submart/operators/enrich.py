@@ -21,11 +21,14 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
                        cust_type_probe: DataFrame | None = None,
                        stts_small: bool | None = None,
                        cust_type_small: bool | None = None,
-                       hot_key_rows: int | None = None) -> DataFrame:
+                       hot_key_rows: int | None = None,
+                       buckets: dict[str, DataFrame] | None = None) -> DataFrame:
     """``subs`` left-joined to both lookups; a missing or NULL description is
     ``unknown``; the run date is stamped as ISO text in ``run_date``.
 
     Tied lookup versions each produce a row, as the as-of read keeps ties.
+    ``buckets`` (``hot_buckets`` of the stored subscribers, by key column) says
+    where hot keys are without reading ``subs`` for it.
     """
     a = subs.select("subs_key", "subs_stts_key", "cust_type_key")
     b = stts.select(F.col("subs_stts_key").alias("__b_key"),
@@ -38,11 +41,14 @@ def enrich_subscribers(subs: DataFrame, stts: DataFrame, cust_type: DataFrame,
         cust_type_small = fits_broadcast(c if cust_type_probe is None else cust_type_probe)
     salted = [k for k, small in (("subs_stts_key", stts_small), ("cust_type_key", cust_type_small))
               if not small]
-    hot = hot_keys(a, salted, hot_key_rows) if salted else {}
+    buckets = buckets or {}
+    counted = [k for k in salted if k not in buckets]
+    hot = hot_keys(a, counted, hot_key_rows) if counted else {}
     j = lookup_join(a, b, "subs_stts_key", "__b_key", small=stts_small, salt_by=["subs_key"],
-                    hot=hot.get("subs_stts_key"))
+                    hot=hot.get("subs_stts_key"), buckets=buckets.get("subs_stts_key"))
     j = lookup_join(j, c, "cust_type_key", "__c_key", small=cust_type_small,
-                    salt_by=["subs_key"], hot=hot.get("cust_type_key"))
+                    salt_by=["subs_key"], hot=hot.get("cust_type_key"),
+                    buckets=buckets.get("cust_type_key"))
     return j.select(
         "subs_key", "subs_stts_key",
         unknown_default("__b_ds", unknown).alias("subs_stts_ds"),

@@ -88,6 +88,26 @@ def row_bytes(df: DataFrame) -> int:
     return int(size) + int(n) * fixed
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """What Spark's plan statistics say ``df`` reads (file sizes, no job); an estimate, so it only picks
+    between plans of equal results and never forces a broadcast."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+#: bytes of a stored row at least, as a rule: short keys and times, compressed
+MIN_ROW_BYTES = 16
+
+
+#: what Spark takes for the size of rows it has no statistics of
+UNKNOWN_BYTES = (1 << 63) - 1
+
+
+def estimated_rows(df: DataFrame) -> int:
+    """How many rows a table of its bytes may well hold; rows without statistics are counted."""
+    size = stored_bytes(df)
+    return row_count(df) if size >= UNKNOWN_BYTES else size // MIN_ROW_BYTES
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` is within the bounds of rows and bytes (counted, not estimated)."""
     return fits_broadcast_many({"df": df}, max_rows)["df"]
@@ -153,6 +173,48 @@ def hot_keys(source: DataFrame, keys: list[str], hot_key_rows: int | None = None
             for i, k in enumerate(keys)}
 
 
+#: buckets that keys are hashed into to find hot ones: a bound on every hot list, whatever the number of keys
+KEY_BUCKETS = 1 << 20
+
+
+def key_bucket(key):
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def salts_of(counted: DataFrame, bucket: str, n, hot_key_rows: int, max_salt: int) -> DataFrame:
+    """``bucket, __salts`` for buckets of more than ``hot_key_rows``: at most one row per bucket."""
+    return (counted.groupBy(bucket).agg(n.alias("__rows")).where(F.col("__rows") > hot_key_rows)
+            .select(bucket, F.least(F.ceil(F.col("__rows") / F.lit(hot_key_rows)), F.lit(max_salt)).cast("int").alias("__salts")))
+
+
+def hot_buckets(stored: DataFrame, keys: dict[str, T.DataType | None], hot_key_rows: int | None = None,
+                max_salt: int | None = None) -> dict[str, DataFrame]:
+    """For each key column, a sketch of its frequent values: hash buckets that hold many rows, and their salts.
+
+    ``keys`` gives the type a key is compared in (``None``: its own).  One pass
+    over the stored key columns counts at most ``KEY_BUCKETS`` buckets a key,
+    combined map-side, and nothing of the join's inputs is computed for it.  A
+    hot value makes its bucket hot; a value that shares the bucket is spread as
+    well, which costs copies and changes no result.  The counts are exact, so
+    both sides of a join see one list even when a task is run again.  NULL is
+    left out: it matches nothing.
+    """
+    rows, _, salt = _limits(stored, hot_key_rows, None, max_salt)
+    names = {k: f"__b{i}" for i, k in enumerate(keys)}
+    cut = stored.select(*[F.when(F.col(k).isNotNull(), key_bucket(F.col(k) if t is None else F.col(k).try_cast(t)))
+                          .alias(names[k]) for k, t in keys.items()])
+    if len(names) > 1:
+        cut = (cut.groupingSets([[n] for n in names.values()], *names.values())
+                  .agg(F.count(F.lit(1)).alias("__n"), *[F.grouping(n).alias(f"{n}g") for n in names.values()]))
+    out = {}
+    for k, n in names.items():
+        one = cut.where(F.col(f"{n}g") == 0) if len(names) > 1 else cut.withColumn("__n", F.lit(1))
+        one = one.where(F.col(n).isNotNull()).select(F.col(n).alias("__bucket"), "__n")
+        out[k] = F.broadcast(salts_of(one, "__bucket", F.sum("__n"), rows, salt)
+                             .select(F.col("__bucket").alias(HK), F.col("__salts").alias(NB)))
+    return out
+
+
 def common_key_type(left: DataFrame, right: DataFrame, left_key: str, right_key: str):
     """The type two keys of different types are compared in; ``None`` when they have one type.
 
@@ -173,7 +235,8 @@ def common_key_type(left: DataFrame, right: DataFrame, left_key: str, right_key:
 def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                      hot_keys_from: DataFrame | None = None, salt_by: list[str] | None = None,
                      hot: DataFrame | None = None, hot_key_rows: int | None = None,
-                     max_hot_keys: int | None = None, max_salt: int | None = None) -> DataFrame:
+                     max_hot_keys: int | None = None, max_salt: int | None = None,
+                     buckets: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` with hot keys split.
 
     Column names of ``left`` and ``right`` must not overlap.  Hot keys are
@@ -183,10 +246,11 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
     ``hot`` from ``hot_keys``.  Which keys count as hot changes only the
     cost, never the result.  ``salt_by`` names the columns hashed to pick a
     row's salt (default: all of ``left``); a row identifier such as the
-    subscriber key is enough and cheaper.
+    subscriber key is enough and cheaper.  ``buckets`` from ``hot_buckets``
+    (counted in the type the keys are compared in) takes the place of ``hot``.
     """
     _, _, max_salt = _limits(left, hot_key_rows, max_hot_keys, max_salt)
-    if hot is None:
+    if hot is None and buckets is None:
         source = left if hot_keys_from is None else hot_keys_from
         hot = hot_keys(source, [left_key], hot_key_rows, max_hot_keys, max_salt)[left_key]
     common = common_key_type(left, right, left_key, right_key)
@@ -195,34 +259,64 @@ def salted_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key
         kept = [c for c in left.columns] + [c for c in right.columns]
         left = left.withColumn("__lkey", F.col(left_key).try_cast(common))
         right = right.withColumn("__rkey", F.col(right_key).try_cast(common))
-        hot = F.broadcast(hot.groupBy(F.col(HK).try_cast(common).alias(HK)).agg(F.max(NB).alias(NB))
-                          .where(F.col(HK).isNotNull()))
+        if hot is not None:
+            hot = F.broadcast(hot.groupBy(F.col(HK).try_cast(common).alias(HK)).agg(F.max(NB).alias(NB))
+                              .where(F.col(HK).isNotNull()))
         return salted_left_join(left, right, "__lkey", "__rkey", None, salt_by or [left_key], hot,
-                                hot_key_rows, max_hot_keys, max_salt).select(*kept)
+                                hot_key_rows, max_hot_keys, max_salt, buckets).select(*kept)
     ls, rs = "__lsalt", "__rsalt"
     h = salt_hash(list(salt_by or left.columns))
     spread = F.pmod(h, F.lit(max_salt)).cast("int")
     lsalt = (F.when(F.col(NB).isNotNull(), F.pmod(h, F.col(NB)).cast("int"))
               .when(F.col(left_key).isNull(), spread)
               .otherwise(F.lit(0)))
-    lhs = (left.join(hot, F.col(left_key) == F.col(HK), "left")
+    listed, what = (buckets, key_bucket) if buckets is not None else (hot, lambda key: key)
+    lhs = (left.join(listed, what(F.col(left_key)) == F.col(HK), "left")
                .withColumn(ls, lsalt).drop(HK, NB))
-    rhs = (right.join(hot, F.col(right_key) == F.col(HK), "left")
+    rhs = (right.join(listed, what(F.col(right_key)) == F.col(HK), "left")
                 .withColumn(rs, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(NB), F.lit(1)) - 1)))
                 .drop(HK, NB))
     cond = (F.col(left_key) == F.col(right_key)) & (F.col(ls) == F.col(rs))
     return lhs.join(rhs, cond, "left").drop(ls, rs)
 
 
+#: a lookup joined plainly, which AQE broadcasts on the size it measures
+MEASURED = "measured"
+
+
+def measured_broadcast(stored: DataFrame) -> bool:
+    """Whether a lookup's stored bytes are so far under AQE's broadcast threshold that it will surely be broadcast
+    once measured.  Asks the plan's statistics and settings only; the broadcast itself waits for the measured size."""
+    conf = stored.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        return False
+    limit = conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) or conf.get("spark.sql.autoBroadcastJoinThreshold")
+    size = _bytes(limit)
+    rows = _conf_int(stored, BROADCAST_MAX_ROWS_CONF, BROADCAST_MAX_ROWS)
+    return 0 <= MEASURED_FACTOR * stored_bytes(stored) <= size and estimated_rows(stored) <= rows
+
+
+#: how much a stored lookup may grow in memory and still be under the threshold
+MEASURED_FACTOR = 8
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def _bytes(text: str) -> int:
+    """A size setting (``64MB``, ``-1``) in bytes."""
+    digits = text.strip().lower().rstrip("kmgb")
+    return int(digits) * _UNITS[text.strip().lower()[len(digits):]]
+
+
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                small: bool | None = None, probe: DataFrame | None = None,
+                small: bool | str | None = None, probe: DataFrame | None = None,
                 hot_keys_from: DataFrame | None = None,
-                salt_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
+                salt_by: list[str] | None = None, hot: DataFrame | None = None,
+                buckets: DataFrame | None = None) -> DataFrame:
     """Left join onto a lookup: broadcast when proven small, else salted.
 
     ``probe`` holds the stored rows ``right`` is read from; its row count
     decides ``small`` when the caller has not.  Without a probe ``right``
-    itself is counted.
+    itself is counted.  ``MEASURED`` leaves the broadcast to AQE.
     """
     if small is None:
         small = fits_broadcast(right if probe is None else probe)
@@ -231,5 +325,5 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         lk, rk = F.col(left_key), F.col(right_key)
         if common is not None:
             lk, rk = lk.try_cast(common), rk.try_cast(common)
-        return left.join(F.broadcast(right), lk == rk, "left")
-    return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by, hot)
+        return left.join(right if small == MEASURED else F.broadcast(right), lk == rk, "left")
+    return salted_left_join(left, right, left_key, right_key, hot_keys_from, salt_by, hot, buckets=buckets)

@@ -27,6 +27,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import key_cast, sum_result_type
 from .joins import fits_broadcast, hot_keys, lookup_join
@@ -84,12 +85,27 @@ def _collapsed(df: DataFrame, number: str) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(number))
 
 
+def _keyed_enrichment(enriched: DataFrame, subs_key: T.DataType, key_cast_type: str) -> DataFrame:
+    """The enrichment's used columns with its key as ``b_key``, cast to ``key_cast_type``.
+
+    A stored key of the subscribers' own integral type is compared as it is,
+    less the keys that the cast would lose: the same matches, and a table
+    bucketed by the key is still known to be.
+    """
+    used = [F.col(c).alias(f"b_{c}") for c in ENRICHED_USED]
+    stored, cast = enriched.schema["subs_key"].dataType, key_cast("subs_key", key_cast_type)
+    if stored == subs_key and isinstance(stored, T.IntegralType) and isinstance(T.DataType.fromDDL(key_cast_type), T.IntegralType):
+        return enriched.where(cast.isNotNull()).select(F.col("subs_key").alias("b_key"), *used)
+    return enriched.select(cast.alias("b_key"), *used)
+
+
 def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: DataFrame,
                   usage: DataFrame, run_date: dt.date, mode: str = "as_written",
                   key_cast_type: str = "int",
                   acct_probe: DataFrame | None = None, cust_probe: DataFrame | None = None,
                   acct_small: bool | None = None, cust_small: bool | None = None,
-                  hot_key_rows: int | None = None, null_keys: bool | None = None) -> DataFrame:
+                  hot_key_rows: int | None = None, null_keys: bool | None = None,
+                  buckets: dict[str, DataFrame] | None = None, one_row_per_key: bool = False) -> DataFrame:
     """Join the as-of subscribers to enrichment, account, customer and usage.
 
     ``enriched.subs_key`` is cast to ``key_cast_type`` for the join; bad text
@@ -98,13 +114,17 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     (a job that stops at the first such row, but over a skew-safe as-of read
     it runs that read: callers with the stored table should ask it instead,
     as the profile job does), ``False`` skips the NULL-key branch and
-    ``True`` always plans it.
+    ``True`` always plans it.  ``buckets`` (``hot_buckets`` of the stored
+    subscribers, by their key column) says where hot lookup keys are without
+    reading ``subs`` for it.  ``one_row_per_key`` says that ``subs`` is an
+    active table: as written, its rows are not collapsed first, which would
+    shuffle them on all their columns; copies are still summed rightly.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
-    a = _collapsed(_prefixed(subs, "a_", SUBS_COLUMNS), "n_a")
-    b = _collapsed(enriched.select(key_cast("subs_key", key_cast_type).alias("b_key"),
-                                   *[F.col(c).alias(f"b_{c}") for c in ENRICHED_USED]), "n_b")
+    a = _prefixed(subs, "a_", SUBS_COLUMNS)
+    a = a.withColumn("n_a", F.lit(1).cast("bigint")) if one_row_per_key and mode == "as_written" else _collapsed(a, "n_a")
+    b = _collapsed(_keyed_enrichment(enriched, subs.schema["subs_key"].dataType, key_cast_type), "n_b")
     e = _collapsed(_prefixed(acct, "e_", ACCT_COLUMNS), "n_e")
     f = _collapsed(_prefixed(cust, "f_", CUST_COLUMNS), "n_f")
     measures = [f"g_{m}" for m in OUTPUT_MEASURES]
@@ -117,13 +137,15 @@ def build_profile(subs: DataFrame, enriched: DataFrame, acct: DataFrame, cust: D
     # hot keys of both lookups in one pass over the subscribers alone
     salted = [k for k, small in (("a_prim_acct_key", acct_small), ("a_cust_key", cust_small))
               if not small]
-    hot = hot_keys(_prefixed(subs, "a_", SUBS_COLUMNS), salted, hot_key_rows) if salted else {}
+    found = {f"a_{k}": b for k, b in (buckets or {}).items()}
+    counted = [k for k in salted if k not in found]
+    hot = hot_keys(_prefixed(subs, "a_", SUBS_COLUMNS), counted, hot_key_rows) if counted else {}
 
     def lookups(x: DataFrame) -> DataFrame:
         x = lookup_join(x, e, "a_prim_acct_key", "e_acct_key", small=acct_small,
-                        salt_by=["a_subs_key"], hot=hot.get("a_prim_acct_key"))
+                        salt_by=["a_subs_key"], hot=hot.get("a_prim_acct_key"), buckets=found.get("a_prim_acct_key"))
         return lookup_join(x, f, "a_cust_key", "f_cust_key", small=cust_small,
-                           salt_by=["a_subs_key"], hot=hot.get("a_cust_key"))
+                           salt_by=["a_subs_key"], hot=hot.get("a_cust_key"), buckets=found.get("a_cust_key"))
 
     # A NULL subscriber key matches nothing in the subs_key joins, so those
     # rows skip them (their enrichment and usage columns are NULL) rather

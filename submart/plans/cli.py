@@ -5,6 +5,7 @@
                       [--mode as_written|per_subscriber] [--master URL]
                       [--grain DAILY|MONTHLY] [--window-days N] [--drop-duplicates]
                       [--partition-column NAME] [--usage-from D] [--usage-to D]
+                      [--register-in DB] [--buckets N]
 
 ``JOB`` is ``usage``, ``enriched``, ``profile`` or ``all``.  The positional
 arguments follow the jobs' own: the run date, its pattern (Spark's datetime
@@ -33,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     where.add_argument("--root", help="folder holding the tables as <root>/<table>")
     where.add_argument("--database", help="catalog database holding the tables")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--register-in", help="with --root: database that gets a table over each target, partitions included")
+    p.add_argument("--buckets", type=int, help="with --database: store usage and enrichment in N buckets of the subscriber key")
     p.add_argument("--current-date", type=dt.date.fromisoformat,
                    help="the date that picks active over history reads (default: today)")
     p.add_argument("--mode", default="as_written", choices=("as_written", "per_subscriber"))
@@ -57,7 +60,8 @@ def main(argv: list[str] | None = None) -> int:
                           cluster=args.cluster)
     spark.sparkContext.setLogLevel(args.log_level)
     ctx = parse_context(spark, args.run_date, args.run_date_format, args.current_date)
-    layout = Layout(root=args.root, database=args.database, format=args.format)
+    layout = Layout(root=args.root, database=args.database, format=args.format,
+                    register_in=args.register_in, buckets=args.buckets)
     usage = {"grain": args.grain, "window_days": args.window_days, "drop_duplicates": args.drop_duplicates,
              "partition_column": args.partition_column}
     profile = {"usage_from": args.usage_from, "usage_to": args.usage_to}

@@ -8,7 +8,9 @@ checkpoint folder and return a lazy read of what they wrote.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,7 +186,7 @@ def _profile(spark: SparkSession, sf_dir: str, mode: str, skew_safe: bool = Fals
         # every day of usage, as the job sums its whole usage table
         usage=aggregate_usage(dt_.usage(table(spark, sf_dir, "events")), "DAILY").toDF(*USAGE_TARGET_COLUMNS),
         run_date=RUN_DATE, mode=mode, key_cast_type="bigint",
-        acct_small=small["orders"], cust_small=small["nation"], hot_key_rows=hot_key_rows)
+        acct_small=small["orders"], cust_small=small["nation"], hot_key_rows=hot_key_rows, one_row_per_key=True)
 
 
 def profile_as_written_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,37 +299,120 @@ def _mart_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def _run_jobs(spark: SparkSession, layout: Layout) -> None:
+def _run_jobs(spark: SparkSession, layout: Layout, **kw) -> None:
     later = RUN_DATE + dt.timedelta(days=30)
     for date in (dt_.PREVIOUS_RUN_DATE, RUN_DATE, RUN_DATE):
-        run_all(spark, layout, parse_context(spark, date.strftime("%d/%m/%Y"), "dd/MM/yyyy", later))
+        run_all(spark, layout, parse_context(spark, date.strftime("%d/%m/%Y"), "dd/MM/yyyy", later), **kw)
+
+
+USAGE_DAY = "evnt_day"
 
 
 def pipeline_profile_path_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1, P2 and P3 over stored tables for two run dates and a re-run."""
+    """P1, P2 and P3 over stored tables for two run dates and a re-run; usage is
+    stored by day, so the usage job lists only its window's folders."""
     layout = Layout(root=shared_dir(spark, "mart"))
     for name, df in _mart_sources(spark, sf_dir).items():
-        write_table(df, layout.where(name))
-    _run_jobs(spark, layout)
+        if name == "vw_usge":
+            by_day = df.withColumn(USAGE_DAY, F.to_date("evnt_strt_ts"))
+            by_day.repartition(USAGE_DAY).write.partitionBy(USAGE_DAY).parquet(layout.where(name))
+        else:
+            write_table(df, layout.where(name))
+    _run_jobs(spark, layout, usage={"partition_column": USAGE_DAY})
     spec = SourceSpec(name="subs_profile", kind=ScdKind.CURRENT_SCD1, location=layout.where("subs_profile"),
                       view_name="subs_profile")
     read_source(spark, spec, RunContext(RUN_DATE, RUN_DATE))
     return spark.table("subs_profile").withColumn("run_date", F.col("run_date").cast("string"))
 
 
-def pipeline_profile_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over catalog tables, written by ``insertInto``."""
-    location = shared_dir(spark, "mart-db")
+def _in_database(spark: SparkSession, name: str, work: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """The rows that ``work`` finds in a database of its own, which is dropped afterwards.
+
+    It runs in a session of its own, as the overwrite mode is the session's.
+    """
+    location = shared_dir(spark, name)
     database = f"mart_{location[-12:]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
-    layout = Layout(database=database)
-    # a session of its own: the overwrite mode is the session's
     session = spark.newSession()
     session.conf.set(MODE_CONF, "dynamic")
+    kept = shared_dir(spark, f"{name}-rows")
+    try:
+        write_table(work(session, database), kept)
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return read_table(spark, kept)
+
+
+def pipeline_profile_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over catalog tables, written by ``insertInto``."""
+    def work(session: SparkSession, database: str) -> DataFrame:
+        layout = Layout(database=database)
+        for name, df in _mart_sources(session, sf_dir).items():
+            write_table(df, layout.where(name))
+        _run_jobs(session, layout)
+        return session.table(layout.where("subs_profile"))
+
+    return _in_database(spark, "mart-db", work)
+
+
+#: buckets of the subscriber key in the bucketed mart
+BUCKETS = 8
+
+
+def bucketed_mart(spark: SparkSession, sf_dir: str, database: str) -> Layout:
+    """Sources in a database, the subscriber history in buckets of its key, and a layout that buckets the targets."""
+    layout = Layout(database=database, buckets=BUCKETS)
     for name, df in _mart_sources(spark, sf_dir).items():
-        write_table(df, layout.where(name))
-    _run_jobs(session, layout)
-    return spark.table(layout.where("subs_profile")).withColumn("run_date", F.col("run_date").cast("string"))
+        if name == "vw_subs_hist":
+            df.repartition(BUCKETS, "subs_key").write.bucketBy(BUCKETS, "subs_key").saveAsTable(layout.where(name))
+        else:
+            write_table(df, layout.where(name))
+    return layout
+
+
+def pipeline_profile_bucketed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6, A4, A5, P3 over tables stored in buckets of the subscriber key: the
+    profile's joins by it, and its usage sums, read without a shuffle."""
+    def work(session: SparkSession, database: str) -> DataFrame:
+        layout = bucketed_mart(session, sf_dir, database)
+        _run_jobs(session, layout)
+        return session.table(layout.where("subs_profile"))
+
+    return _in_database(spark, "mart-buckets", work)
+
+
+def path_partitions_registered_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 into a path with a catalog table over it: each run date is in the table at once, without a repair."""
+    def work(session: SparkSession, database: str) -> DataFrame:
+        target = TargetSpec(name="subs_enriched", location=shared_dir(session, "registered"), partition_columns=("run_date",),
+                            keys=("subs_key",), catalog_table=f"{database}.subs_enriched")
+        for date in (dt_.PREVIOUS_RUN_DATE, RUN_DATE, RUN_DATE):
+            overwrite_partitions(_enrichment(session, sf_dir, date), target)
+        return session.table(target.catalog_table)
+
+    return _in_database(spark, "registered-db", work)
+
+
+def write_modes_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 with all four modes on catalog tables: regions first, then nations into the same table."""
+    def work(session: SparkSession, database: str) -> DataFrame:
+        regions = table(session, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("k"), F.col("r_name").alias("name"))
+        nations = table(session, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+        out = None
+        for mode in ("append", "overwrite", "ignore", "error"):
+            location, refused = f"{database}.t_{mode}", False
+            write_table(regions, location, mode)
+            try:
+                write_table(nations, location, mode)
+            except AnalysisException as e:
+                if mode != "error" or "ALREADY_EXISTS" not in (e.getCondition() or ""):
+                    raise
+                refused = True
+            rows = read_table(session, location).select(F.lit(mode).alias("mode"), F.lit(refused).alias("refused"), "k", "name")
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    return _in_database(spark, "modes-db", work)
 
 
 QUERIES = {
@@ -355,4 +440,7 @@ QUERIES = {
     "enrich_salted_text_key": enrich_salted_text_key_q,
     "pipeline_profile_path": pipeline_profile_path_q,
     "pipeline_profile_catalog": pipeline_profile_catalog_q,
+    "pipeline_profile_bucketed": pipeline_profile_bucketed_q,
+    "path_partitions_registered": path_partitions_registered_q,
+    "write_modes_catalog": write_modes_catalog_q,
 }

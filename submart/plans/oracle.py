@@ -148,6 +148,19 @@ from customer left join nation on c_nationkey = n_nationkey""",
     "pipeline_profile_path": _JOBS,
 
     "pipeline_profile_catalog": _JOBS,
+
+    "pipeline_profile_bucketed": _JOBS,
+
+    "path_partitions_registered": f"{_enrich('2024-01-24')} union all {_ENRICH}",
+
+    # append: both; overwrite: the second; ignore and error: the first, and error says so
+    "write_modes_catalog": """with r as (select cast(r_regionkey as bigint) as k, r_name as name from region),
+n as (select cast(n_nationkey as bigint) as k, n_name as name from nation)
+select 'append' as mode, false as refused, * from r
+union all select 'append', false, * from n
+union all select 'overwrite', false, * from n
+union all select 'ignore', false, * from r
+union all select 'error', true, * from r""",
 }
 
 ORACLE_SQL["profile_as_written_skewsafe"] = ORACLE_SQL["profile_as_written"]

@@ -1,10 +1,9 @@
 """The three jobs, run-date parameterised: usage, enrichment, profile.
 
 Each job is ``read_source() x n -> transform -> overwrite_partitions()``.
-Each source is loaded once.  Before the write, a job runs what its plan
-depends on: one count of all its versioned sources, the bytes of the lookups
-that are few enough to broadcast, and for the profile whether a subscriber key
-is NULL.  Run order for one run date is usage
+Each source is loaded once.  The plans of the usage and enrichment jobs need
+no job of their own; the profile counts its two lookups, which it broadcasts
+on proof, and asks whether a subscriber key is NULL.  Run order for one run date is usage
 and enrichment (either order), then profile, which reads what the first two
 wrote, so its lineage starts at stored tables.
 """
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_run_date, session_today, window_start
 from ..operators.enrich import ENRICHED_COLUMNS, enrich_subscribers
-from ..operators.joins import fits_broadcast_many, row_counts
+from ..operators.joins import MEASURED, common_key_type, fits_broadcast_many, hot_buckets, measured_broadcast
 from ..operators.profile import PROFILE_COLUMNS, build_profile
 from ..operators.usage import OUTPUT_MEASURES, aggregate_usage
 from ..sources.readers import read_source, stored_rows
@@ -36,21 +35,33 @@ SNAPSHOT_COLUMN = "run_date"
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the mart's tables live: under a path root or in a database."""
+    """Where the mart's tables live: under a path root or in a database.
+
+    ``register_in`` names a database that gets a table over each target under
+    a root, with its partitions.  ``buckets`` stores a database's usage and
+    enrichment by subscriber key in as many buckets.
+    """
 
     root: str | None = None
     database: str | None = None
     format: str = "parquet"
+    register_in: str | None = None
+    buckets: int | None = None
 
     def __post_init__(self):
         if bool(self.root) == bool(self.database):
             raise ValueError("give exactly one of root and database")
+        if (self.register_in and not self.root) or (self.buckets and not self.database):
+            raise ValueError("register_in is for tables under a root, buckets are for a database")
 
     def where(self, table: str) -> str:
         if self.root:
             return f"{self.root.rstrip('/')}/{table}"
         return f"{self.database}.{table}"
 
+    def registered(self, table: str) -> str | None:
+        return f"{self.register_in}.{table}" if self.register_in else None
+
 
 def _shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -76,6 +87,7 @@ def usage_specs(spark: SparkSession, layout: Layout, window_days: int = USAGE_WI
                         partition_columns=(USAGE_PARTITION,),
                         columns=("subs_key",) + OUTPUT_MEASURES + (USAGE_PARTITION,),
                         keys=("subs_key",), format=layout.format, rebalance=True,
+                        buckets=layout.buckets, catalog_table=layout.registered("usge_dly_aggr"),
                         # without AQE: a fixed number of files per day
                         files_per_partition=max(1, _shuffle_partitions(spark) // (window_days + 1)))
     return source, target
@@ -113,30 +125,46 @@ def enrichment_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]
     }
     target = TargetSpec(name="subs_enriched", location=layout.where("subs_enriched"),
                         partition_columns=(SNAPSHOT_COLUMN,), columns=ENRICHED_COLUMNS,
-                        keys=("subs_key",), format=layout.format)
+                        keys=("subs_key",), format=layout.format, buckets=layout.buckets,
+                        catalog_table=layout.registered("subs_enriched"))
     return sources, target
 
 
-def _read(spark: SparkSession, sources: dict[str, SourceSpec], ctx: RunContext,
-          lookups: tuple[str, ...]) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, bool]]:
-    """Every source loaded once and versioned sources counted in one job.
+def _load(spark: SparkSession, sources: dict[str, SourceSpec], ctx: RunContext
+          ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Every source loaded once: the stored rows, and the sources as read."""
+    stored = {name: stored_rows(spark, spec, ctx) for name, spec in sources.items()}
+    return stored, {n: read_source(spark, s, ctx, stored[n]) for n, s in sources.items()}
+
 
-    Returns the stored rows, the sources as read, and which ``lookups`` are
-    proven small enough to broadcast.
+def _sketches(stored: dict[str, DataFrame], lookups: dict[str, tuple[str, str]],
+              small: dict[str, bool | str]) -> dict[str, DataFrame]:
+    """Where the subscribers' keys of the large lookups are hot, from the stored key columns.
+
+    ``lookups`` has for each lookup the subscribers' key and its own.
     """
-    stored = {name: stored_rows(spark, spec, ctx) for name, spec in sources.items()}
-    counts = row_counts({n: stored[n] for n, s in sources.items() if s.kind is ScdKind.DELTA_SCD4})
-    read = {n: read_source(spark, s, ctx, stored[n], counts.get(n)) for n, s in sources.items()}
-    small = fits_broadcast_many({n: stored[n] for n in lookups}, counts=counts)
-    return stored, read, small
+    subs = stored["vw_subs"]
+    keys = {mine: common_key_type(subs, stored[n], mine, theirs) for n, (mine, theirs) in lookups.items() if not small[n]}
+    return hot_buckets(subs, keys) if keys else {}
+
+
+ENRICHMENT_LOOKUPS = {"vw_subs_stts": ("subs_stts_key", "subs_stts_key"), "vw_cust_type": ("cust_type_key", "cust_type_key")}
+PROFILE_LOOKUPS = {"vw_acct": ("prim_acct_key", "acct_key"), "vw_cust": ("cust_key", "cust_key")}
 
 
 def enrichment_result(spark: SparkSession, sources: dict[str, SourceSpec],
                       ctx: RunContext) -> DataFrame:
-    _, read, small = _read(spark, sources, ctx, ("vw_subs_stts", "vw_cust_type"))
+    """P2's result.  No job runs before the write's own: a lookup of few stored
+    bytes is left to AQE, which broadcasts it on the size it measures; without
+    AQE it is counted; a larger one is joined with its hot keys spread."""
+    stored, read = _load(spark, sources, ctx)
+    small = {n: MEASURED if measured_broadcast(stored[n]) else False for n in ENRICHMENT_LOOKUPS}
+    if spark.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        small = fits_broadcast_many({n: stored[n] for n in ENRICHMENT_LOOKUPS})
     return enrich_subscribers(read["vw_subs"], read["vw_subs_stts"], read["vw_cust_type"],
                               ctx.run_date, stts_small=small["vw_subs_stts"],
-                              cust_type_small=small["vw_cust_type"])
+                              cust_type_small=small["vw_cust_type"],
+                              buckets=_sketches(stored, ENRICHMENT_LOOKUPS, small))
 
 
 def run_subs_enriched(spark: SparkSession, layout: Layout, ctx: RunContext) -> TargetSpec:
@@ -165,7 +193,8 @@ def profile_specs(layout: Layout) -> tuple[dict[str, SourceSpec], TargetSpec]:
     }
     target = TargetSpec(name="subs_profile", location=layout.where("subs_profile"),
                         partition_columns=(SNAPSHOT_COLUMN,), columns=PROFILE_COLUMNS,
-                        keys=("subs_key",), format=layout.format)
+                        keys=("subs_key",), format=layout.format,
+                        catalog_table=layout.registered("subs_profile"))
     return sources, target
 
 
@@ -174,7 +203,8 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
                    usage_to: dt.date | None = None) -> DataFrame:
     """P3's result.  The job sums every day in the usage table, after the run
     date too; ``usage_from`` / ``usage_to`` bound the days (partition pruned)."""
-    stored, read, small = _read(spark, sources, ctx, ("vw_acct", "vw_cust"))
+    stored, read = _load(spark, sources, ctx)
+    small = fits_broadcast_many({n: stored[n] for n in PROFILE_LOOKUPS})
     if usage_from is not None:
         read["usge_dly_aggr"] = read["usge_dly_aggr"].where(F.col(USAGE_PARTITION) >= F.lit(usage_from))
     if usage_to is not None:
@@ -186,7 +216,8 @@ def profile_result(spark: SparkSession, sources: dict[str, SourceSpec], ctx: Run
     return build_profile(read["vw_subs"], read["subs_enriched"], read["vw_acct"],
                          read["vw_cust"], read["usge_dly_aggr"], ctx.run_date, mode=mode,
                          acct_small=small["vw_acct"], cust_small=small["vw_cust"],
-                         null_keys=null_keys)
+                         null_keys=null_keys, buckets=_sketches(stored, PROFILE_LOOKUPS, small),
+                         one_row_per_key=ctx.reads_active)
 
 
 def run_subs_profile(spark: SparkSession, layout: Layout, ctx: RunContext,

@@ -15,10 +15,12 @@ R5 snapshot    rows whose snapshot column equals the run date
 =============  ==========================================================
 
 All are declarative, so Catalyst pushes the day bounds into the Parquet scan
-(``to_date(ts) >= d`` becomes ``ts >= d``), prunes columns through the
-``SELECT *`` and plans R4's rank filter as a partial ``WindowGroupLimit``
-ahead of the shuffle: only the newest rows of each key in each input split
-cross the network, however many versions or however hot a key is.
+(``to_date(ts) >= d`` becomes ``ts >= d``) and prunes columns through the
+``SELECT *``.  R4 has two plans with the same rows.  A history that one task
+could hold is ranked, by a partial ``WindowGroupLimit`` ahead of the shuffle.
+A larger one is read without a rank: the newest time per key by a narrow
+aggregate, then a semi-join on key and time, behind a Bloom filter of fixed
+size (see ``newest_versions``).
 """
 
 from __future__ import annotations
@@ -82,14 +84,14 @@ def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str
     The result has the history's columns (less one named ``rank_column``) and
     ``rank_column``.
 
-    With ``skew_safe`` a key whose versions are tied on the newest time is
-    ranked in pieces (see ``_asof_rank_salted``); ``False`` is the plain
-    window.  Both give the same rows.  ``None`` (the default) decides by the
-    history's row count (``rows`` when the caller has counted): at most
-    ``hot_key_rows`` rows cannot hold a hot key.  With ``tie_break`` no key is
-    hot: each input split sends one row per key.
+    ``skew_safe`` takes the plan for large histories (``newest_versions``);
+    ``False`` is the window.  Both give the same rows.  ``None`` (the default)
+    decides by how many rows the history may hold (``rows``, or else an upper
+    estimate from its files' bytes, without a job): at most ``hot_key_rows``
+    rows cannot hold a hot key.  With ``tie_break`` no key is hot: each input
+    split sends one row per key.
     """
-    from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, row_count
+    from ..operators.joins import HOT_KEY_ROWS, HOT_KEY_ROWS_CONF, _conf_int, estimated_rows
 
     hist = hist.select(*[F.col(c) for c in hist.columns if c != rank_column])
     eligible = hist.where(day_of(ts_column) <= F.lit(run_date))
@@ -103,9 +105,9 @@ def scd4_asof(hist: DataFrame, keys: list[str] | tuple[str, ...], ts_column: str
         ranker = F.row_number()
     elif skew_safe is None:
         limit = hot_key_rows or _conf_int(hist, HOT_KEY_ROWS_CONF, HOT_KEY_ROWS)
-        skew_safe = (row_count(hist) if rows is None else rows) > limit
+        skew_safe = (estimated_rows(hist) if rows is None else rows) > limit
     if skew_safe and not tie_break:
-        return _asof_rank_salted(eligible, keys, ts_column, rank_column, hot_key_rows)
+        return newest_versions(eligible, keys, ts_column, hot_key_rows).withColumn(rank_column, F.lit(1))
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
     return (eligible.withColumn(rank_column, ranker.over(w))
                     .where(F.col(rank_column) == 1))
@@ -122,48 +124,79 @@ def _orderable(t: T.DataType) -> bool:
     return True
 
 
-def _asof_rank_salted(eligible: DataFrame, keys: list[str], ts_column: str, rank_column: str,
-                      hot_key_rows: int | None = None) -> DataFrame:
-    """Newest versions per key (ties kept) with hot keys ranked in pieces.
+#: the Bloom filter of (key, newest time): groups of 512 words of 64 bits, 2**27
+#: bits (16 MB) by default, whatever the history's size
+FILTER_GROUPS_CONF = "submart.asof.filterGroups"
+FILTER_GROUPS = 1 << 12
+FILTER_WORDS = 512
 
-    The partial ``WindowGroupLimit`` already shrinks a key with many
-    versions before the shuffle, but it keeps every row *tied* on the newest
-    time: a key (or NULL) whose newest version was loaded as millions of
-    copies would still land whole in one window task.  So:
 
-    1. one narrow aggregate (key and time columns only, combined map-side)
-       gives each key's row count and newest time; the hottest keys over
-       ``submart.skew.hotKeyRows`` form a bounded top-k, broadcast;
-    2. a hot key's rows are cut to those at its newest time (all of them are
-       the answer) and spread over several salts by a hash of the row;
-    3. the rank runs within ``(key, salt)``: a hot key's rows are all tied,
-       so every piece keeps all of them; every other key has one piece and
-       gets exactly the plain window's answer.
+def newest_filter(newest: DataFrame, pair: Column, groups: int) -> DataFrame:
+    """A Bloom filter with one hash as a table ``__group, __bits`` of at most ``groups`` rows.
 
-    NULL keys form one group, as in the window.
+    A pair's hash names its group, a word of the group and a bit of the word.
+    Bits are or-ed per word and words packed per group, each by a grouped
+    aggregate; nothing is collected.
     """
-    from ..operators.joins import HK, NB, _limits, _top_hot
-
-    kc = "__asof_key"
-    key = F.struct(*[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
-    cols = eligible.columns
-    keyed = eligible.withColumn(kc, key)
-    rows, top, max_salt = _limits(eligible, hot_key_rows, None, None)
-    counts = keyed.groupBy(kc).agg(F.count(F.lit(1)).alias("__n"),
-                                   F.max(ts_column).alias("__newest"))
-    hot = _top_hot(counts, kc, rows, top, max_salt, include_null=True, extra=("__newest",))
+    bits = newest.select(F.shiftright(pair, 15).alias("h"), F.pmod(pair, F.lit(1 << 15)).cast("int").alias("b"))
+    words = (bits.groupBy(F.pmod("h", F.lit(groups)).cast("int").alias("__group"), F.shiftright("b", 6).alias("w"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("v")))
+    packed = words.groupBy("__group").agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
+    return packed.select("__group", F.transform(F.sequence(F.lit(0), F.lit(FILTER_WORDS - 1)),
+                                                lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
+                         .alias("__bits"))
+
+
+def newest_versions(eligible: DataFrame, keys: list[str], ts_column: str,
+                    hot_key_rows: int | None = None) -> DataFrame:
+    """Every row at its key's newest time: R4 for a large history, without a rank.
+
+    1. One aggregate over the key and time columns alone, combined map-side,
+       gives each key's newest time and its number of rows: the one keyed
+       shuffle of the table, of narrow rows.
+    2. A Bloom filter of (key, newest time), of one size whatever the table's,
+       is broadcast to the wide scan.  Nearly all older versions go there,
+       before any shuffle.  With more keys than it has bits for it passes more
+       rows; it never loses one.
+    3. A left semi-join on key and time keeps exactly the rows at the newest
+       time, ties and all.  A key with many rows is spread: keys are hashed
+       into a fixed number of buckets, a bucket with a hot key gets a number
+       of salts (a bounded table, broadcast), and only narrow rows are copied
+       per salt.
+
+    NULL keys form one group, as in the window.  A history whose versions are
+    mostly newest ones shuffles those rows, as it must to be joined.
+    """
+    from ..operators.joins import KEY_BUCKETS, _conf_int, _limits, salts_of
+
+    groups = _conf_int(eligible, FILTER_GROUPS_CONF, FILTER_GROUPS)
+    hot, _, max_salt = _limits(eligible, hot_key_rows, None, None)
+    names = [f"__key{i}" for i in range(len(keys))]
+    newest = (eligible.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+                      .agg(F.max(ts_column).alias("__newest"), F.count(F.lit(1)).alias("__n")))
+    pair = F.xxhash64(*names, "__newest")
+    bits = newest_filter(newest, pair, groups)
+    bucket = F.pmod(F.xxhash64(*names), F.lit(KEY_BUCKETS)).cast("int")
+    salts = F.broadcast(salts_of(newest.where(F.col("__n") > hot).select(bucket.alias("__bucket"), "__n"), "__bucket",
+                                 F.max("__n"), hot, max_salt))
+    # narrow side: a copy per salt
+    copies = (newest.join(salts, bucket == F.col("__bucket"), "left")
+                    .select(*names, "__newest", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)).alias("__copy")))
+    # wide side: the filter, then a salt
+    h = F.xxhash64(*keys, ts_column)
     hashed = [f.name for f in eligible.schema.fields if _orderable(f.dataType)]
-    salt = F.when(F.col(NB).isNotNull(), F.pmod(salt_hash(hashed), F.col(NB)))
-    pieces = (keyed.join(hot, F.col(kc).eqNullSafe(F.col(HK)), "left")
-                   .where(F.col(NB).isNull() | (F.col(ts_column) == F.col("__newest")))
-                   .withColumn("__salt", F.coalesce(salt, F.lit(0)).cast("int")))
-    # partition by the key columns themselves.  (A filter on a key above this
-    # read stops at the salt, which Catalyst treats as non-deterministic; a
-    # second branch over the same read then reuses its shuffle instead.)
-    w = Window.partitionBy(*[F.col(k) for k in keys], "__salt").orderBy(F.col(ts_column).desc())
-    return (pieces.withColumn(rank_column, F.rank().over(w))
-                  .where(F.col(rank_column) == 1)
-                  .select(*cols, rank_column))
+    passed = (eligible.join(F.broadcast(bits), F.pmod(F.shiftright(h, 15), F.lit(groups)).cast("int") == F.col("__group"))
+                      .where(F.getbit(F.get("__bits", F.shiftright(F.pmod(h, F.lit(1 << 15)).cast("int"), 6)),
+                                      F.pmod(h, F.lit(64)).cast("int")) == 1)
+                      .drop("__group", "__bits"))
+    spread = (passed.join(salts.withColumnsRenamed({"__bucket": "__b", "__salts": "__s"}),
+                          F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int") == F.col("__b"), "left")
+                    .withColumn("__salt", F.when(F.col("__s").isNotNull(), F.pmod(salt_hash(hashed), F.col("__s")).cast("int"))
+                                .otherwise(F.lit(0))).drop("__b", "__s"))
+    same = F.col(ts_column) == F.col("__newest")
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return (spread.join(copies, same & (F.col("__salt") == F.col("__copy")), "left_semi").select(*eligible.columns))
 
 
 def snapshot(df: DataFrame, snapshot_column: str, run_date: dt.date) -> DataFrame:

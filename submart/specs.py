@@ -132,6 +132,12 @@ class TargetSpec:
     #: precedence over ``files_per_partition`` when AQE is on)
     rebalance: bool = False
     max_records_per_file: int | None = None
+    #: catalog targets only: store the table in this many buckets of ``keys``,
+    #: so that reads joined or grouped by them need no shuffle
+    buckets: int | None = None
+    #: path targets only: the catalog table over the path (``db.table``), made
+    #: if missing, whose written partitions are registered after each write
+    catalog_table: str | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "partition_columns", _tuple(self.partition_columns))
@@ -146,6 +152,14 @@ class TargetSpec:
             raise ValueError(f"{self.name}: a partitioned target needs partition columns")
         if self.files_per_partition is not None and int(self.files_per_partition) < 1:
             raise ValueError(f"{self.name}: files_per_partition must be >= 1")
+        if self.buckets is not None and (int(self.buckets) < 1 or not self.keys or self.is_path):
+            raise ValueError(f"{self.name}: buckets need a number of at least 1, keys and a catalog table")
+        if self.catalog_table and not self.is_path:
+            raise ValueError(f"{self.name}: catalog_table is for targets that are paths")
+
+    @property
+    def is_path(self) -> bool:
+        return "/" in self.location or ":" in self.location
 
 
 @dataclass(frozen=True)
