@@ -108,6 +108,11 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _dealt(doc: np.ndarray, th: np.ndarray, parts: int) -> np.ndarray:
+    """Parts of texts by id and hash, so that copies of one text spread over all parts."""
+    return _part(mix(th.astype(np.uint64) ^ mix(doc.astype(np.uint64))), parts)
+
+
 def _by_part(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[bytes]]]:
     """The parts that occur, and each column's bytes for each of them."""
     order = np.argsort(part, kind="stable")
@@ -175,7 +180,8 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
     Of a phrase, places after the chunk's smallest id are known to repeat; they
     go to parts dealt by text as codes, which are only passed on there.  To the
     part of its trigger a phrase sends a row for each text of that smallest id:
-    one a chunk, but for null and repeated ids.
+    one a chunk, but for null and repeated ids.  Triggers are the smallest of
+    many hashes, so they are mixed again before they choose a part.
     """
     order = np.lexsort((th, doc, phrase, trigger))
     trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
@@ -184,8 +190,8 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
     repeats, first = text & later, text & ~later
     code, code_doc, code_th = known_code(trigger[repeats], phrase[repeats]), doc[repeats], th[repeats]
     trigger, phrase, doc, th = (x[first] for x in (trigger, phrase, doc, th))
-    yield _batch(PHRASE_NAMES, "code", *_with_ids(code_th % parts, [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
-    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(trigger, parts), [trigger, phrase], doc, th))
+    yield _batch(PHRASE_NAMES, "code", *_with_ids(_dealt(code_doc, code_th, parts), [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
+    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(mix(trigger), parts), [trigger, phrase], doc, th))
 
 
 def _join(frame: pd.DataFrame, column: str, kind) -> np.ndarray:
@@ -311,7 +317,7 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
 
     def marks_out(doc, th, start, stop) -> Iterator[pa.RecordBatch]:
         r = _merged(doc, th, start, stop)
-        part, (a, b, c, d) = _by_part(r["th"].to_numpy() % parts, [r[c].to_numpy() for c in r])
+        part, (a, b, c, d) = _by_part(_dealt(r["doc"].to_numpy(), r["th"].to_numpy(), parts), [r[c].to_numpy() for c in r])
         empty = [b""] * len(part)
         yield _batch(STRING_NAMES, "mark", part, [a, b, c, d, empty, empty])
 
@@ -346,15 +352,15 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
 def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text",
                    id_filter_bits: int = 22, **settings) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept (bytes; null when nothing goes) and its SHA-256."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"),
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"),
                        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("th"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    marks = repeated_ranges(rows, span, id_filter_bits=id_filter_bits, **settings)
+    marks = repeated_ranges(rows.select("doc", "th", "text"), span, id_filter_bits=id_filter_bits, **settings)
     per_text = staged(marks.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")),
                       "removed")
     may = IdFilter(per_text, "doc", id_filter_bits)
     touched = may.may_have(F.col("doc"))
-    schema = "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+    schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -376,13 +382,12 @@ def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[i:j], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(spans, pa.int64()), pa.array(sha), pa.array(kept, pa.binary())],
-                    names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    some = (rows.filter(touched).join(per_text, ["doc", "th"], "left").select("doc", "text", "ranges")
+    some = (rows.filter(touched).join(per_text, ["doc", "th"], "left").select("id", "text", "ranges")
             .mapInArrow(cut, schema))
     none = rows.filter(~touched).select(
-        "doc", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
+        "id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
         F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"),
         F.lit(None).cast("binary").alias("kept"))
-    back = F.when(F.col("doc") != NO_ID, F.col("doc"))
-    return some.unionByName(none).select(back.alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    return some.unionByName(none).select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
