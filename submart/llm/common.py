@@ -78,7 +78,7 @@ class IdFilter:
     def __init__(self, ids: DataFrame, column: str, log2_bits: int = 22):
         self.log2_bits = log2_bits
         spark = ids.sparkSession
-        bit = self._bit(F.col(column))
+        bit = self.bit(F.col(column))
         words = (ids.select(bit.alias("b")).groupBy((F.col("b") / 64).cast("int").alias("w"))
                  .agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("v")).collect())
         bits = np.zeros(1 << (log2_bits - 6), dtype=np.int64)
@@ -86,17 +86,28 @@ class IdFilter:
             bits[row["w"]] = row["v"]
         self._bits = spark.sparkContext.broadcast(bits)
 
-    def _bit(self, column):
+    def bit(self, column):
+        """The bit of an id, as a column."""
         return F.pmod(F.xxhash64(column.cast("bigint")), F.lit(1 << self.log2_bits)).cast("bigint")
 
+    @property
+    def hits(self):
+        """A function of an array of bits, for workers: which are set."""
+        bits = self._bits
+
+        def hits(bit: np.ndarray) -> np.ndarray:
+            bit = bit.astype(np.int64)
+            return (bits.value[bit >> 6] >> (bit & 63)) & 1 == 1
+
+        return hits
+
     def may_have(self, column):
         """Whether the id may be among the ids (never wrong when false)."""
-        bits = self._bits
+        hits = self.hits
 
         @F.pandas_udf("boolean")
         def hit(bit):
             import pandas as pd
-            b = bit.to_numpy().astype(np.int64)
-            return pd.Series((bits.value[b >> 6] >> (b & 63)) & 1 == 1)
+            return pd.Series(hits(bit.to_numpy()))
 
-        return hit(self._bit(column))
+        return hit(self.bit(column))

@@ -25,7 +25,7 @@ is not linked, and a pair that shares fewer is not verified.
 A candidate pair first compares two odd sketches, bits that each shingle of a
 set toggles: they differ in no more bits than the sets differ in shingles, so
 too many differing bits rule a pair out for certain.  What is left is verified
-exactly on the shingles of both texts.  Candidates  They are
+exactly on the shingles of both texts.  Candidates are
 looked for in two steps, so that a group of near copies never forms all its
 pairs: each set with the set it shares most segments with by way of the
 segments' smallest sets, then, between different components only, all sets
@@ -519,22 +519,23 @@ def _texts(docs: DataFrame, nodes: DataFrame, threshold: Threshold, id_col: str,
     k = threshold.words
     wanted = nodes.select(F.coalesce("rep", F.lit(-1)).alias("rep"), "node")
     may = IdFilter(wanted, "rep", bits)
+    hits = may.hits
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)).alias("rep"),
-                       F.col(text_col).cast("string").alias("text"))
+                       F.col(text_col).cast("string").alias("text")).withColumn("bit", may.bit(F.col("rep")))
 
-    @F.arrow_udf("struct<node:bigint,n:bigint,wide:binary>")
-    def set_of(texts: pa.Array) -> pa.Array:
-        node, n, wide = [], [], []
-        for i, j in slices(texts):
-            s = Shingles(texts[i:j], k)
-            node += s.nodes.tolist()
-            n += s.counts.tolist()
-            wide += [s.wide_sketch(r) if s.counts[r] else b"" for r in range(j - i)]
-        return pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64()),
-                                           pa.array(wide, pa.binary())], names=["node", "n", "wide"])
-
-    rows = rows.filter(may.may_have(F.col("rep"))).withColumn("set", set_of("text")).select("rep", "text", "set.*")
-    return staged(rows.join(wanted, ["node", "rep"]).dropDuplicates(["node"]).select("node", "n", "wide", "text"),
+    # the filter and the sets in one pass, so a task has one Python worker
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(hits(batch.column(2).to_numpy())))
+            for i, j in slices(batch.column(1)):
+                s = Shingles(batch.column(1)[i:j], k)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[i:j], batch.column(1)[i:j], pa.array(s.nodes), pa.array(s.counts),
+                     pa.array([s.wide_sketch(r) if s.counts[r] else b"" for r in range(j - i)], pa.binary())],
+                    names=["rep", "text", "node", "n", "wide"])
+
+    found = rows.mapInArrow(sets_of, "rep bigint, text string, node bigint, n bigint, wide binary")
+    return staged(found.join(wanted, ["node", "rep"]).dropDuplicates(["node"]).select("node", "n", "wide", "text"),
                   "jaccard-texts")
 
 
