@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from .common import staged
 
 
-def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for every node of ``links`` (a, b).
 
     Each round a node takes the smallest label among its neighbours' and then
-    the label of that label, so labels jump over long chains.  Labels are
+    the label of that label, so labels jump over long chains; labels only fall, so the rounds end.  Labels are
     written to the shared folder each round; nothing is collected but a count.
     """
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b").distinct()
     both = staged(both, "links")
     labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
-    for _ in range(max_rounds):
+    while True:
         near = (both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("theirs")), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs")))
         lower = labels.join(near, "node").select("node", F.col("component").alias("old"),
@@ -30,4 +30,3 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         labels = moved.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -20,11 +20,9 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import first_rows
-
 UNDETERMINED = "und"
 SHORT_PIECE = 24        # bytes of the pieces that settle ties
 #: the margin that 0.5 % of labelled training rows outside the dictionaries do not exceed
@@ -49,17 +47,21 @@ def language_samples(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     the id, with ``chars_per_doc`` characters each, cut to
     ``dictionary_bytes``: the driver holds that much for each language.
     """
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    languages = sorted(r[0] for r in rows.select(lang_col).distinct().collect())
-    out = {}
-    for language in languages:
-        mine = rows.filter(F.col(lang_col) == language).select(
-            F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")).alias("h"),
-            F.substring(text_col, 1, chars_per_doc).alias("t"))
-        sample = first_rows(mine, "h", docs_per_language)
-        content = b" ".join(letters(r["t"]) for r in sample)
-        out[language] = content[:dictionary_bytes]
-    return out
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.lit("langid")).alias("h"),
+        F.substring(text_col, 1, chars_per_doc).alias("t"))
+    # the hashes alone are ranked, by language; the rows up to each language's last one follow
+    first = Window.partitionBy("lang").orderBy("h")
+    last = (rows.select("lang", "h").withColumn("k", F.row_number().over(first)).filter(F.col("k") <= docs_per_language)
+            .groupBy("lang").agg(F.max("h").alias("last")).collect())
+    if not last:
+        return {}
+    bounds = docs.sparkSession.createDataFrame([(r["lang"], r["last"]) for r in last], "of string, last long")
+    found = rows.join(F.broadcast(bounds), F.col("lang") == F.col("of")).filter(F.col("h") <= F.col("last")).select("lang", "h", "t")
+    chosen: dict[str, list[str]] = {}
+    for r in sorted(found.collect()):
+        chosen.setdefault(r["lang"], []).append(r["t"])
+    return {lang: b" ".join(map(letters, texts[:docs_per_language]))[:dictionary_bytes] for lang, texts in chosen.items()}
 
 
 class Compressors:

@@ -200,7 +200,7 @@ class Mix:
         # one row per source, at most max_sources of them: sent to all
         placed = (rows.join(F.broadcast(self.sources.withColumnRenamed("source", "s")),
                             F.col("source").eqNullSafe(F.col("s"))).drop("s")
-                  .withColumn("sub", F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.col("subs"))))
+                  .withColumn("sub", F.pmod(F.xxhash64(F.coalesce("doc_id", "text_hash"), F.lit("mix")), F.col("subs"))))
         sums = placed.groupBy("source_ix", "sub").agg(F.sum("size").alias("words"))
         w = Window.partitionBy("source_ix").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
         firsts = sums.select("source_ix", "sub", F.coalesce(F.sum("words").over(w), F.lit(0)).alias("base"))
@@ -259,18 +259,22 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A document of ``n`` words of which the mix takes ``t`` comes floor(t / n)
     times, and once more with the chance of the remainder, by a hash of its
-    id: the words of each source stay near its target.  Documents without
-    words are not part of a mix of words and go.
+    id, text and source: the words of each source stay near its target.
+    Documents without words are not part of a mix of words and go.  Rows equal
+    in id, text and source share their copies, which all are of one of them.
+    Other columns may have any name.
     """
-    taken = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings).taken()
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
-    # repeated rows share a key: the copies of all of them go to the first, and only it is repeated
-    copies = (taken.filter(F.col("size") > 0).groupBy("doc_id", "text_hash")
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    # one row per source, at most max_sources of them: sent to all
+    names = F.broadcast(mix.sources.select("source_ix", F.col("source").alias("its_source")))
+    key = ["doc_id", "text_hash", "its_source"]
+    chance = F.pmod(F.xxhash64(*key, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
+    copies = (mix.taken().filter(F.col("size") > 0).join(names, "source_ix").groupBy(*key)
               .agg((F.sum("taken") / F.max("size")).alias("times"))
-              .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                      F.floor(F.col("times") + chance).cast("int").alias("__copies")))
-    keyed = docs.withColumn("__hash2", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    keyed = keyed.dropDuplicates([id_col, "__hash2"])
-    joined = keyed.join(copies, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__hash2") == F.col("__hash")))
-    return (joined.filter(F.col("__copies") > 0)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns))
+              .select(*key, F.floor(F.col("times") + chance).cast("int").alias("copies")).filter("copies > 0"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash")).dropDuplicates(["id", "source", "hash"])
+    same = (F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+            & F.col("source").eqNullSafe(F.col("its_source")))
+    return (rows.join(copies, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -164,7 +164,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     sharded = shard_groups(groups, shards, n, bucket_groups)
     subs = max(1, -(-n // (shards * slot_rows)))
     placed = rows.join(sharded, ["h1", "h2"]).withColumn(
-        "sub", F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(subs)))
+        "sub", F.pmod(F.xxhash64(F.coalesce("doc_id", "h1"), F.lit("slot")), F.lit(subs)))
     placed = staged(placed, "shard-placed")
     first = placed.groupBy("shard", "sub").count()
     before = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)

@@ -292,11 +292,12 @@ def score_texts(field: Field, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.
     clean = np.ones(n)
     np.multiply.at(clean, words.text[hot], 1 - p[hot])
     score = np.maximum(score, 1 - clean)
+    # characters before each byte: bytes that begin one
+    chars = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80))) if len(hot) else None
     for i in hot:
         t = int(words.text[i])
-        a, b, c = int(offsets[t]), int(words.start[i]), int(words.stop[i])
-        begin = len(bytes(buf[a:b]).decode("utf-8"))
-        spans[t].append({"start": begin, "stop": begin + len(bytes(buf[b:c]).decode("utf-8")), "p": float(p[i])})
+        before = int(chars[offsets[t]])
+        spans[t].append({"start": int(chars[words.start[i]]) - before, "stop": int(chars[words.stop[i]]) - before, "p": float(p[i])})
     return np.clip(score, 0.0, 1.0), spans
 
 
