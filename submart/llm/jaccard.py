@@ -29,7 +29,9 @@ exactly on the shingles of both texts.  Candidates are
 looked for in two steps, so that a group of near copies never forms all its
 pairs: each set with the set it shares most segments with by way of the
 segments' smallest sets, then, between different components only, all sets
-that share a segment.  What is left out is connected already.
+that share a segment.  What is left out is connected already.  Where many sets
+share a segment, those with too many shingles of their own are left out of it,
+so documents of one template don't form all their pairs.
 
 Texts of the same set are one node.  A text with fewer words than a shingle is
 one shingle; without words, or null, it has none and links with nothing.
@@ -54,6 +56,8 @@ from .textbytes import SPACES, Hashes, byte_table, mix, slices, utf8, word_spans
 
 _TABLE = byte_table(1, fold_case=True)
 SKETCH = [f"s{i}" for i in range(8)]       # 64 bits each
+SPARE = 0.5                     # of a band's segments, beyond those that its similar sets can differ in
+CROWD = 64                      # sets of a signature from which on their own shingles are counted
 _SIGNS = 8                      # counters of a segment's second moment
 HOT = 16                        # times the usual pairs and members that a segment's pairs are worth avoiding
 _STAT_SEGMENTS = 4096           # bands of longer sets have few members and keep the plain allocation
@@ -92,10 +96,11 @@ class Scheme:
         starts = self.threshold.bands(largest)
         most = np.concatenate((starts[1:] - 1, [starts[-1] * 2]))
         h = np.array([self.threshold.difference(int(m), int(m)) for m in most])
-        mean = starts / (h + 1)
-        empties = (h + 1) * np.exp(-mean)
+        m = np.ceil((1 + SPARE) * (h + 1))
+        empties = m * np.exp(-starts / m)
         # a set of one shingle has no other segment; larger ones rarely have more empties than this
-        spare = np.where(h == 0, 0, np.ceil(empties + 3 * np.sqrt(empties) + 2)).astype(np.int64)
+        spare = np.ceil(np.maximum(m - h - 1, empties + 3 * np.sqrt(empties) + 2))
+        spare = np.where(h == 0, 0, spare).astype(np.int64)
         return starts, h + 1 + spare, spare
 
 
@@ -189,22 +194,25 @@ class Signer:
         return owner, global_segment, total, size, place, token, np.repeat(band, m)
 
     def needs(self, s: Shingles) -> np.ndarray:
-        """The fewest signatures that each set shares with any similar set, under the plain allocation."""
-        out = np.ones(len(s.counts), dtype=np.int64)
-        least = None
+        """The fewest signatures that each set shares with any similar set in an even and in an odd band.
+
+        Under the plain allocation; sets that meet in a band share that many of that band.
+        """
+        out = np.ones((2, len(s.counts)), dtype=np.int64)
         for up in (0, 1):
             owner, _, _, size, _, _, band = self.subsets(s, up)
-            blank = np.bincount(owner[size == 0], minlength=len(out))
-            spare = np.zeros(len(out), dtype=np.int64)
-            spare[owner] = self.spare[band]
-            need = np.where(blank > spare, 1, spare + 1 - blank)
-            least = need if least is None else np.minimum(least, need)
-        out[s.counts > 0] = least[s.counts > 0]
+            blank = np.bincount(owner[size == 0], minlength=len(s.counts))
+            spare, odd = np.zeros((2, len(s.counts)), dtype=np.int64)
+            spare[owner], odd[owner] = self.spare[band], band & 1
+            has = np.flatnonzero(s.counts)
+            out[odd[has], has] = np.where(blank > spare, 1, spare + 1 - blank)[has]
         return out
 
     @staticmethod
-    def _key(total: np.ndarray, segment: np.ndarray) -> np.ndarray:
-        return mix(total + mix(segment.astype(np.uint64) + np.uint64(0x5EED)))
+    def _key(total: np.ndarray, segment: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """The signature of a subset; its lowest bit tells an even band from an odd one."""
+        key = mix(total + mix(segment.astype(np.uint64) + np.uint64(0x5EED)))
+        return key & ~np.uint64(1) | (band & 1).astype(np.uint64)
 
     def signatures(self, s: Shingles) -> tuple[np.ndarray, np.ndarray]:
         """Signature and node, of all sets of the slice."""
@@ -220,13 +228,14 @@ class Signer:
             np.add.at(heavy, owner[blank], weight[blank])
             over = heavy[owner] > self.spare[band]
             use = (weight > 0) & ((size > 0) | over)
-            keys.append(self._key(total[use], segment[use]))
+            keys.append(self._key(total[use], segment[use], band[use]))
             nodes.append(s.nodes[owner[use]])
             two = weight[place] == 2                                # one-deletion neighbourhoods, a token at a time
             two &= (size[place] > 1) | over[place]
             if two.any():
-                keys.append(self._key(total[place[two]] - token[two], segment[place[two]]))
-                nodes.append(s.nodes[owner[place[two]]])
+                at = place[two]
+                keys.append(self._key(total[at] - token[two], segment[at], band[at]))
+                nodes.append(s.nodes[owner[at]])
         if not keys:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return np.concatenate(keys), np.concatenate(nodes)
@@ -235,10 +244,10 @@ class Signer:
 def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Per document its id, size and node; per band its members and the segments' sign sums."""
     k = threshold.words
-    schema = "kind string, doc_id bigint, n bigint, node bigint, need bigint, band int, signs binary, " + ", ".join(
+    schema = "kind string, doc_id bigint, n bigint, node bigint, need0 bigint, need1 bigint, band int, signs binary, " + ", ".join(
         f"{c} bigint" for c in SKETCH)
 
-    names = ["kind", "doc_id", "n", "node", "need", "band", "signs", *SKETCH]
+    names = ["kind", "doc_id", "n", "node", "need0", "need1", "band", "signs", *SKETCH]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats: dict[int, list] = {}
@@ -252,7 +261,7 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
                 if signer is None or largest >= signer.starts[-3]:
                     signer = Signer(Scheme(threshold), 4 * max(largest, 1000))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(["set"] * n), ids[i:j], pa.array(s.counts), pa.array(s.nodes), pa.array(signer.needs(s)),
+                    [pa.array(["set"] * n), ids[i:j], pa.array(s.counts), pa.array(s.nodes), *map(pa.array, signer.needs(s)),
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *map(pa.array, s.sketches().T.copy())],
                     names=names)
                 if not len(s.hashes):
@@ -273,12 +282,13 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(["band"] * len(order)), pa.nulls(len(order), pa.int64()),
                  pa.array([stats[b][0] for b in order], pa.int64()), pa.nulls(len(order), pa.int64()),
-                 pa.nulls(len(order), pa.int64()), pa.array(order, pa.int32()), pa.array([stats[b][1].tobytes() for b in order], pa.binary()),
+                 pa.nulls(len(order), pa.int64()), pa.nulls(len(order), pa.int64()), pa.array(order, pa.int32()),
+                 pa.array([stats[b][1].tobytes() for b in order], pa.binary()),
                  *[pa.nulls(len(order), pa.int64()) for _ in SKETCH]], names=names)
 
     rows = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                   .mapInArrow(read, schema), "jaccard-sets")
-    return (rows.filter("kind = 'set'").select("doc_id", "n", "node", "need", *SKETCH),
+    return (rows.filter("kind = 'set'").select("doc_id", "n", "node", "need0", "need1", *SKETCH),
             rows.filter("kind = 'band'").select("band", "n", "signs"))
 
 
@@ -436,21 +446,27 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     sets, stats = _sets(docs, threshold, id_col, text_col)
     total, largest = sets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     classes = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"),
-                                                       F.min("need").alias("need"),
+                                                       F.min("need0").alias("need0"), F.min("need1").alias("need1"),
                                                        *[F.min(c).alias(c) for c in SKETCH])
     scheme = _allocate(stats, threshold)
     # needs hold for the plain allocation; where it was changed, one shared signature is enough
     starts = threshold.bands(4 * largest + 1000)
     for band in scheme.changes:
         low, high = int(starts[max(band - 1, 0)]), int(starts[band + 1])
-        classes = classes.withColumn("need", F.when((F.col("n") >= low) & (F.col("n") < high), 1)
-                                     .otherwise(F.col("need")))
-    rate = 2.2 * (threshold.den - threshold.num) / (threshold.den + threshold.num) * 2
+        need = f"need{band % 2}"
+        classes = classes.withColumn(need, F.when((F.col("n") >= low) & (F.col("n") < high), 1).otherwise(F.col(need)))
+    rate = 2.2 * (1 + SPARE) * (threshold.den - threshold.num) / (threshold.den + threshold.num) * 2
     parts = max(1, int(total * rate) // part_rows + 1)
     shared = _memberships(docs, scheme, largest, parts, id_col, text_col)
-    nodes = staged(shared.groupBy("node").agg(F.count(F.lit(1)).alias("has")).join(classes, "node")
-                   .filter("has >= need").drop("has"), "jaccard-nodes")
-    shared = shared.join(nodes.select("node", "need"), "node")
+    odd = F.col("sig").bitwiseAND(F.lit(1)) == 1
+    has = [F.count_if(odd == bool(p)).alias(f"has{p}") for p in (0, 1)]
+    nodes = staged(shared.groupBy("node").agg(*has).join(classes, "node")
+                   .filter("has0 >= need0 or has1 >= need1"), "jaccard-nodes")
+    # a set that shares too few signatures of a band meets no similar set in it
+    shared = (shared.join(nodes.select("node", "has0", "has1", "need0", "need1"), "node")
+              .select("sig", "node", F.when(odd, F.col("has1")).otherwise(F.col("has0")).alias("has"),
+                      F.when(odd, F.col("need1")).otherwise(F.col("need0")).alias("need"))
+              .filter("has >= need").drop("has"))
     texts = _texts(docs, nodes, threshold, id_col, text_col, id_filter_bits)
 
     # 1: each set with the one that leads most of its segments.  The set whose segments are the most
@@ -460,7 +476,7 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     led = staged(shared.join(weight, "node"), "jaccard-weights")
     lead = led.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("top")).select(
         "sig", F.col("top.node").alias("lead"))
-    best = (shared.join(lead, "sig").filter("node <> lead").groupBy("node", "need", "lead").count()
+    best = (shared.join(lead, "sig").filter("node <> lead").groupBy("node", "need", "lead", odd).count()
             .filter("count >= need").groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")))
     t = threshold
     near = (F.col("n") * t.den >= F.col("m") * t.num) & (F.col("m") * t.den >= F.col("n") * t.num)
@@ -480,20 +496,22 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     rows = shared.join(of, "node")
     mixed = (rows.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .filter("x <> y").select("sig"))
-    rows = staged(rows.join(mixed, "sig"), "jaccard-mixed")
+    rows = _without_loners(staged(rows.join(mixed, "sig"), "jaccard-mixed"), texts, threshold)
     main = (rows.groupBy("sig", "component").count().groupBy("sig")
             .agg(F.max(F.struct("count", "component")).alias("top"))
             .select("sig", F.col("top.component").alias("main")))
     rows = rows.join(main, "sig")
     others = rows.filter("component <> main").select("sig", F.col("node").alias("a"), F.col("n").alias("n"),
-                                                     F.col("component").alias("ca"), F.col("need").alias("na"), *SKETCH)
+                                                     F.col("component").alias("ca"), F.col("need").alias("na"),
+                                                     F.col("own").alias("oa"), *SKETCH)
     everyone = rows.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb"),
-                           F.col("need").alias("nb"), *other, (F.col("component") == F.col("main")).alias("is_main"))
+                           F.col("need").alias("nb"), F.col("own").alias("ob"), *other, (F.col("component") == F.col("main")).alias("is_main"))
+    near &= (F.col("oa") + F.col("ob")) * (t.den + t.num) <= (F.col("n") + F.col("m")) * (t.den - t.num)
     pairs = (others.join(everyone, "sig")
              .filter((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & near)
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                     F.greatest("na", "nb").alias("need"))
-             .groupBy("a", "b", "need").count().filter("count >= need").select("a", "b"))
+                     F.greatest("na", "nb").alias("need"), odd.alias("odd"))
+             .groupBy("a", "b", "need", "odd").count().filter("count >= need").select("a", "b").distinct())
     pairs = staged(pairs, "jaccard-pairs")
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(pairs.join(done, ["a", "b"], "left_anti"), texts, threshold)
@@ -514,6 +532,39 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
                     "node", F.coalesce("root", "node").alias("root")))
 
 
+def _without_loners(rows: DataFrame, texts: DataFrame, threshold: Threshold) -> DataFrame:
+    """``rows`` with ``own``, less those of crowded signatures whose set differs too much from all others.
+
+    Documents of one template crowd its segments without being similar.  The
+    shingles that a set shares with no other set of any crowded signature,
+    ``own``, are missing from each set it meets there.  A set is left out of
+    crowded signatures when they are more than it may lack; a pair is ruled out
+    when both sets' are more than the pair may differ in.  In other signatures
+    ``own`` is 0.
+    """
+    k = threshold.words
+    crowded = (rows.groupBy("sig").agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > CROWD)
+               .select("sig", F.lit(True).alias("crowded")))
+    crowd = staged(rows.join(crowded, "sig").select("node").distinct(), "jaccard-crowd")
+    if crowd.isEmpty():
+        return rows.withColumn("own", F.lit(0))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in slices(batch.column(0)):
+                s = Shingles(batch.column(0)[i:j], k)
+                yield pa.RecordBatch.from_arrays([pa.array(s.hashes.view(np.int64)), pa.array(s.nodes[s.owner])],
+                                                 names=["shingle", "node"])
+
+    own = (texts.join(crowd, "node").select("text").mapInArrow(shingles, "shingle bigint, node bigint")
+           .groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).filter("sets = 1")
+           .groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    rows = (rows.join(crowded, "sig", "left").join(own, "node", "left")
+            .withColumn("own", F.when(F.col("crowded"), F.coalesce("alone", F.lit(0))).otherwise(0)))
+    may = F.col("own") * threshold.den <= F.col("n") * (threshold.den - threshold.num)
+    return staged(rows.filter(may).drop("crowded", "alone"), "jaccard-met")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, threshold: Threshold, id_col: str, text_col: str, bits: int) -> DataFrame:
     """One text per node that shares a signature; a fixed-size filter keeps most others out of the shuffle."""
     k = threshold.words

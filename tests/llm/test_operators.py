@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from submart.llm import jaccard, langid, licenses, mixing, sharding, suffixdedup, toxicity, urlfilter
+from submart.llm import common, jaccard, langid, licenses, mixing, sharding, suffixdedup, toxicity, urlfilter
 from submart.llm.cws import edited_fingerprints
 from submart.llm.decontam import benchmark_items, find_contamination
 from submart.llm.textbytes import utf8
@@ -88,12 +88,53 @@ def test_jaccard_similar_sets_share_what_they_need():
         s = jaccard.Shingles(pa.array([" ".join(a), " ".join(b)]), 1)
         keys, nodes = signer.signatures(s)
         common = set(keys[nodes == s.nodes[0]]) & set(keys[nodes == s.nodes[1]])
-        assert len(common) >= max(signer.needs(s)) or s.nodes[0] == s.nodes[1]
+        needs = signer.needs(s)
+        x, y = np.searchsorted(signer.starts, s.counts, side="right") - 1
+        for band in {x, x + 1} & {y, y + 1}:
+            of_band = [c for c in common if int(c) & 1 == band & 1]
+            assert len(of_band) >= max(needs[band & 1]) or s.nodes[0] == s.nodes[1]
         differ = sum(int(x ^ y).bit_count() for x, y in zip(*(r.view(np.uint64).tolist() for r in s.sketches())))
         assert differ <= union - both
         assert jaccard.sketch_distance(s.wide_sketch(0), s.wide_sketch(1)) <= union - both
 
 
+def test_jaccard_templates_do_not_form_all_pairs(spark, monkeypatch):
+    """Documents of 80 shared and 20 own words (similarity 0.66): the pairs that meet grow no faster than they do."""
+    tables = {}
+
+    def staged(df, name):
+        return tables.setdefault(name, common.staged(df, name))
+
+    monkeypatch.setattr(jaccard, "staged", staged)
+    shared = " ".join(f"t{i}" for i in range(80))
+    for n in (250, 500, 1000):
+        rng = random.Random(n)
+        rows = [(i, shared + " " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(20))) for i in range(n)]
+        rows.append((n, rows[5][1] + " end"))                                # one near copy is still found
+        tables.clear()
+        found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4),
+                                           jaccard.Threshold(4, 85, 100))
+        assert found.filter("component_id <> doc_id").select("doc_id", "component_id").collect() == [(n, 5)]
+        met = tables["jaccard-met"].groupBy("sig").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+        assert (met or 0) <= 2 * n
+
+
+@pytest.mark.parametrize("crowd", [1, 4])
+def test_jaccard_crowded_signatures_lose_nothing(spark, monkeypatch, crowd):
+    """Templates with few and many own words, with every signature taken as crowded."""
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    rng = random.Random(3)
+    rows = []
+    for i in range(120):
+        words = [f"t{i % 4}x{j}" for j in range(60)]
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 9])):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(40)}"
+        rows.append((i, " ".join(words[:rng.choice([60, 60, 55, 50])])))
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+                                     jaccard.Threshold(2, 80, 100)).select("doc_id", "n_shingles", "component_id")
+    assert collections.Counter(map(tuple, got.collect())) == _components(rows, 2, 80, 100)
+
+
 def test_keep_one_of_each(docs):
     t = jaccard.Threshold(5, 80, 100)
     comps = jaccard.jaccard_components(docs, t).collect()
