@@ -242,18 +242,18 @@ class Signer:
 
 
 def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Per document its id, size and node; per band its members and the segments' sign sums."""
+    """Per document its id, text's hash, size and node; per band its members and the segments' sign sums."""
     k = threshold.words
-    schema = "kind string, doc_id bigint, n bigint, node bigint, need0 bigint, need1 bigint, band int, signs binary, " + ", ".join(
+    schema = "kind string, doc_id bigint, th bigint, n bigint, node bigint, need0 bigint, need1 bigint, band int, signs binary, " + ", ".join(
         f"{c} bigint" for c in SKETCH)
 
-    names = ["kind", "doc_id", "n", "node", "need0", "need1", "band", "signs", *SKETCH]
+    names = ["kind", "doc_id", "th", "n", "node", "need0", "need1", "band", "signs", *SKETCH]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats: dict[int, list] = {}
         signer = None
         for batch in batches:
-            column, ids = batch.column(1), batch.column(0)
+            ids, hashes, column = batch.columns
             for i, j in slices(column):
                 s = Shingles(column[i:j], k)
                 n = j - i
@@ -261,7 +261,7 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
                 if signer is None or largest >= signer.starts[-3]:
                     signer = Signer(Scheme(threshold), 4 * max(largest, 1000))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(["set"] * n), ids[i:j], pa.array(s.counts), pa.array(s.nodes), *map(pa.array, signer.needs(s)),
+                    [pa.array(["set"] * n), ids[i:j], hashes[i:j], pa.array(s.counts), pa.array(s.nodes), *map(pa.array, signer.needs(s)),
                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *map(pa.array, s.sketches().T.copy())],
                     names=names)
                 if not len(s.hashes):
@@ -280,15 +280,16 @@ def _sets(docs: DataFrame, threshold: Threshold, id_col: str, text_col: str) ->
         if stats:
             order = sorted(stats)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(["band"] * len(order)), pa.nulls(len(order), pa.int64()),
+                [pa.array(["band"] * len(order)), pa.nulls(len(order), pa.int64()), pa.nulls(len(order), pa.int64()),
                  pa.array([stats[b][0] for b in order], pa.int64()), pa.nulls(len(order), pa.int64()),
                  pa.nulls(len(order), pa.int64()), pa.nulls(len(order), pa.int64()), pa.array(order, pa.int32()),
                  pa.array([stats[b][1].tobytes() for b in order], pa.binary()),
                  *[pa.nulls(len(order), pa.int64()) for _ in SKETCH]], names=names)
 
-    rows = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = staged(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
                   .mapInArrow(read, schema), "jaccard-sets")
-    return (rows.filter("kind = 'set'").select("doc_id", "n", "node", "need0", "need1", *SKETCH),
+    return (rows.filter("kind = 'set'").select("doc_id", "th", "n", "node", "need0", "need1", *SKETCH),
             rows.filter("kind = 'band'").select("band", "n", "signs"))
 
 
@@ -436,9 +437,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataF
 
 def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc_id", text_col: str = "text",
                        part_rows: int = 1_000_000, id_filter_bits: int = 22) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``node`` and ``root``.
+    """One row per document: ``doc_id``, ``th``, ``n_shingles``, ``component_id``, ``node`` and ``root``.
 
-    ``node`` is the hash of the shingle set; ``component_id`` is the smallest
+    ``th`` is the xxhash64 of the text; ``node`` is the hash of the shingle set; ``component_id`` is the smallest
     id reachable by links, the document's own included.  ``root`` is the
     component's smallest node: unlike the id, it is never null and never
     shared by components (rows of one id can have different texts).
@@ -527,7 +528,7 @@ def jaccard_components(docs: DataFrame, threshold: Threshold, id_col: str = "doc
     by_node = classes.join(named, "node", "left").select("node", F.coalesce("smallest", "rep").alias("component_id"),
                                                          F.coalesce("root", "node").alias("root"))
     return (sets.join(by_node, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+            .select("doc_id", "th", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     "node", F.coalesce("root", "node").alias("root")))
 
@@ -594,25 +595,17 @@ def keep_one_of_each(docs: DataFrame, threshold: Threshold, id_col: str = "doc_i
     """The rows that stay: of each component one row, its smallest id; wordless rows all stay.
 
     All columns are kept.  Of rows with the same id and set, one stays.  A
-    null id counts as larger than all others.
+    null id counts as larger than all others.  Rows are met again by id and by
+    the hash of their text, so no set is built twice.
     """
     found = jaccard_components(docs, threshold, id_col, text_col)
-    k = threshold.words
-
-    @F.arrow_udf("struct<n:bigint,node:bigint>")
-    def set_of(texts: pa.Array) -> pa.Array:
-        parts = [Shingles(texts[i:j], k) for i, j in slices(texts)]
-        n = np.concatenate([p.counts for p in parts]) if parts else np.zeros(0, np.int64)
-        node = np.concatenate([p.nodes for p in parts]) if parts else np.zeros(0, np.int64)
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(node)], names=["n", "node"])
-
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node", "th"))
     stay = (found.filter("n_shingles > 0").groupBy("root").agg(first.alias("s"))
-            .select(F.col("s.doc_id").alias("stay_id"), F.col("s.node").alias("stay_node")))
-    rows = docs.select(F.struct("*").alias("row"), set_of(F.col(text_col)).alias("set"))
-    empty = rows.filter("set.n = 0").select("row.*")
-    one = (rows.filter("set.n > 0")
-           .join(stay, F.col("set.node").eqNullSafe(F.col("stay_node"))
-                 & F.col(f"row.`{id_col}`").eqNullSafe(F.col("stay_id")))
-           .dropDuplicates(["stay_id", "stay_node"]).select("row.*"))
-    return one.unionByName(empty)
+            .select(F.col("s.doc_id").alias("stay_id"), F.col("s.th").alias("stay_th")))
+    text = F.col(text_col).cast("string")
+    wordless = F.coalesce(~text.rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
+    rows = docs.select(F.struct("*").alias("row"), wordless.alias("wordless"), F.xxhash64(text).alias("th"))
+    one = (rows.filter("not wordless")
+           .join(stay, F.col("th").eqNullSafe(F.col("stay_th")) & F.col(f"row.`{id_col}`").eqNullSafe(F.col("stay_id")))
+           .dropDuplicates(["stay_id", "stay_th"]).select("row.*"))
+    return one.unionByName(rows.filter("wordless").select("row.*"))

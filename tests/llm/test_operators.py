@@ -145,6 +145,21 @@ def test_keep_one_of_each(docs):
     assert collections.Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_keep_one_of_each_builds_no_set_twice(spark):
+    """The rows that stay are met by id and text in the JVM: that stage starts no Python workers beside the others'."""
+    rng = random.Random(12)
+    t, u = _plain(rng, 40), _plain(rng, 40)
+    rows = [(1, t, "a"), (1, t.upper(), "b"), (1, t, "c"), (2, t + " end", "d"), (1, u, "e"), (3, " \t\x0b\r\n", "f"), (3, "", "g"),
+            (3, None, "h"), (None, None, "i"), (4, "\u00a0", "j"), (5, "\u00a0", "k"), (6, " \n x", "l")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    kept = jaccard.keep_one_of_each(df, jaccard.Threshold(5, 80, 100))
+    got = sorted(r.row for r in kept.collect())
+    assert len(set(got) & set("abc")) == 1
+    assert [x for x in got if x not in "abc"] == list("efghijl")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Python", "Pandas", "MapInArrow") if x in plan]
+
+
 def test_keep_one_of_each_without_ids(spark):
     """Components of null ids alone, or of one repeated id, stay apart; a component's smallest id that is there stays."""
     rng = random.Random(8)
