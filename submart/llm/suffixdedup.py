@@ -15,11 +15,11 @@ with the smallest id that has it: the dictionary.
 
 *Suffixes.*  Two different phrases can share a string only if they have one
 trigger.  Only the suffixes of such dictionary phrases are sorted within a
-chunk, by their first 8 bytes and then by a fingerprint of their first
+chunk, by their first 4 bytes and then by a fingerprint of their first
 ``span``; the first of each run of equal ones goes on to be merged with those
 of other chunks.  The smallest id of a run tells which of its places are
 removed.  (Runs of equal prefixes are all the suffix arrays are needed for, so
-beyond 8 bytes their order is the fingerprints', not the bytes'.)
+beyond 4 bytes their order is the fingerprints', not the bytes'.)
 
 Everything that is common is combined within a chunk before it is sent: a
 phrase, trigger or string that a third of all documents have sends a few rows
@@ -46,6 +46,9 @@ from .textbytes import Hashes, byte_table, mix, slices, utf8
 
 _GRAM, _FIRST, _SECOND = byte_table(7), byte_table(71), byte_table(72)
 NO_ID = (1 << 63) - 1
+SLICE = 1 << 16                 # bytes of text that are parsed at once: their arrays stay in the CPU's cache
+#: codes of a bucket of texts: packed codes and places of ids, and the ids
+CODES = "bucket bigint, codes binary, places binary, docs binary, ths binary"
 MARKS = "doc bigint, th bigint, start int, stop int"
 
 
@@ -68,8 +71,7 @@ class Parse:
         self.at = np.zeros(0, np.int64)
         if n < span:
             return
-        grams = np.arange(n - gram + 1)
-        least = sliding_min(Hashes(self.buf, _GRAM).of(grams, grams + gram), span - gram + 1)
+        least = sliding_min(Hashes(self.buf, _GRAM).windows(gram), span - gram + 1)
         edge = np.zeros(n + 1, dtype=np.int64)
         long = size >= span
         np.add.at(edge, offsets[:-1][long], 1)
@@ -92,9 +94,7 @@ class Parse:
 
     def strings(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First 8 bytes as a big-endian number, and two fingerprints, of strings."""
-        head = np.zeros(len(at), dtype=np.uint64)
-        for k in range(8):
-            head = head << np.uint64(8) | self.buf[at + k]
+        head = np.ndarray(len(self.buf) - 7, dtype=">u8", buffer=self.buf, strides=(1,))[at].astype(np.uint64)
         second = Hashes(self.buf, _SECOND)
         return head, self._first.of(at, at + self.span), second.of(at, at + self.span) >> np.uint64(32)
 
@@ -115,7 +115,8 @@ def _dealt(doc: np.ndarray, th: np.ndarray, parts: int) -> np.ndarray:
 
 def _by_part(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[bytes]]]:
     """The parts that occur, and each column's bytes for each of them."""
-    order = np.argsort(part, kind="stable")
+    # numbers of 16 bits are sorted in one pass
+    order = np.argsort(part.astype(np.uint16) if part.max(initial=0) < 1 << 16 else part, kind="stable")
     part = part[order]
     cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
     end = np.concatenate((cut[1:], [len(part)]))
@@ -131,6 +132,24 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _runs(key: np.ndarray, *exact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order with equal rows of ``exact`` together, by ``key``, which follows from them, and where their runs begin."""
+    order = np.argsort(key)
+    new = _starts(*(x[order] for x in exact))
+    if (new & ~_starts(key[order])).any():                          # different rows of one key
+        order = np.lexsort((*exact, key))
+        new = _starts(*(x[order] for x in exact))
+    return order, new
+
+
+def _after_first(doc: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Which ids of a run are larger than its smallest."""
+    first = np.flatnonzero(new)
+    if not len(first):
+        return np.zeros(0, dtype=bool)
+    return doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.concatenate((first, [len(doc)]))))
+
+
 def _first_of_run(values: np.ndarray, new: np.ndarray) -> np.ndarray:
     return values[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
 
@@ -147,21 +166,30 @@ def _batch(names: list[str], kind: str, part: np.ndarray, columns: list[list[byt
         names=names)
 
 
+def _with_places(part: np.ndarray, columns: list[np.ndarray], at: np.ndarray, doc: np.ndarray, th: np.ndarray):
+    """Packed columns by part, and last the places of ids and the ids that a part's rows use.
+
+    ``at`` is the place of each row's id in ``doc`` and ``th``.
+    """
+    part, packed = _by_part(part, [*columns, at.astype(np.uint32)])
+    place, own_doc, own_th = [], [], []
+    for x in packed.pop():
+        x = np.frombuffer(x, np.uint32)
+        used = np.zeros(len(doc), dtype=bool)
+        used[x] = True
+        own_doc.append(doc[used].tobytes())
+        own_th.append(th[used].tobytes())
+        place.append((np.cumsum(used) - 1).astype(np.uint32)[x].tobytes())
+    return part, [*packed, place, own_doc, own_th]
+
+
 def _with_ids(part: np.ndarray, columns: list[np.ndarray], doc: np.ndarray, th: np.ndarray):
-    """Packed columns by part, and last the places of ids and the ids that a part's rows use."""
+    """The same for rows with their ids."""
     row = np.lexsort((th, doc))
     new = _starts(doc[row], th[row])
     at = np.zeros(len(doc), dtype=np.int64)
     at[row] = np.cumsum(new) - 1
-    ids = np.stack([doc[row][new], th[row][new]]) if len(doc) else np.zeros((2, 0), np.int64)
-    part, packed = _by_part(part, [*columns, at.astype(np.uint32)])
-    place, own_doc, own_th = [], [], []
-    for x in packed.pop():
-        use, where = np.unique(np.frombuffer(x, np.uint32), return_inverse=True)
-        own_doc.append(ids[0][use].tobytes())
-        own_th.append(ids[1][use].tobytes())
-        place.append(where.astype(np.uint32).tobytes())
-    return part, [*packed, place, own_doc, own_th]
+    return _with_places(part, columns, at, doc[row][new], th[row][new])
 
 
 def _ids_of(frame: pd.DataFrame, place: str, doc: str, th: str) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +202,12 @@ PHRASES, PHRASE_NAMES = _packed("abcde")
 STRINGS, STRING_NAMES = _packed("abcdef")
 
 
+def _texts(doc: np.ndarray, th: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The place of each row's text, and the texts, of rows that come text by text."""
+    new = _starts(doc, th) if len(doc) else np.zeros(0, dtype=bool)
+    return np.cumsum(new) - 1, doc[new], th[new]
+
+
 def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatch]:
     """A chunk's phrases to the parts of their triggers.
 
@@ -183,37 +217,42 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
     one a chunk, but for null and repeated ids.  Triggers are the smallest of
     many hashes, so they are mixed again before they choose a part.
     """
-    order = np.lexsort((th, doc, phrase, trigger))
-    trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
-    one = _starts(trigger, phrase)
-    text, later = _starts(trigger, phrase, doc, th), doc > _first_of_run(doc, one)
+    at, ids, hashes = _texts(doc, th)
+    order, one = _runs(phrase, phrase, trigger)
+    trigger, phrase, at = trigger[order], phrase[order], at[order]
+    doc, th = ids[at], hashes[at]
+    later = _after_first(doc, one)
+    # of a text's places only one; most runs are of one place
+    text = np.ones(len(doc), dtype=bool)
+    run = np.cumsum(one) - 1
+    some = np.flatnonzero((np.bincount(run) > 1)[run]) if len(run) else run
+    some = some[np.lexsort((th[some], doc[some], run[some]))]
+    text[some] = _starts(run[some], doc[some], th[some])
     repeats, first = text & later, text & ~later
-    code, code_doc, code_th = known_code(trigger[repeats], phrase[repeats]), doc[repeats], th[repeats]
-    trigger, phrase, doc, th = (x[first] for x in (trigger, phrase, doc, th))
-    yield _batch(PHRASE_NAMES, "code", *_with_ids(_dealt(code_doc, code_th, parts), [code, np.zeros(len(code), np.uint8)], code_doc, code_th))
-    yield _batch(PHRASE_NAMES, "phrase", *_with_ids(_part(mix(trigger), parts), [trigger, phrase], doc, th))
+    code = known_code(trigger[repeats], phrase[repeats])
+    yield _batch(PHRASE_NAMES, "code", *_with_places(
+        _dealt(ids, hashes, parts)[at[repeats]], [code, np.zeros(len(code), np.uint8)], at[repeats], ids, hashes))
+    trigger, phrase = trigger[first], phrase[first]
+    yield _batch(PHRASE_NAMES, "phrase", *_with_places(
+        _part(mix(trigger), parts), [trigger, phrase], at[first], ids, hashes))
 
 
 def _join(frame: pd.DataFrame, column: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, dtype=kind) for x in frame[column]])
 
 
-def _codes(doc: np.ndarray, th: np.ndarray, code: np.ndarray) -> pd.DataFrame:
-    """A row per text with its packed codes."""
-    order = np.lexsort((th, doc))
-    doc, th, code = doc[order], th[order], code[order]
-    first = np.flatnonzero(_starts(doc, th)) if len(doc) else np.zeros(0, np.int64)
-    end = np.concatenate((first[1:], [len(doc)]))
-    return pd.DataFrame({"doc": doc[first], "th": th[first],
-                         "codes": [code[a:b].tobytes() for a, b in zip(first, end)]})
+def _codes(doc: np.ndarray, th: np.ndarray, code: np.ndarray, parts: int) -> pd.DataFrame:
+    """Codes by bucket of texts, a row for each bucket: so many rows a part at most as there are parts."""
+    bucket, columns = _with_ids(_dealt(doc, th, parts), [code], doc, th)
+    return pd.DataFrame(dict(zip(("bucket", "codes", "places", "docs", "ths"), [bucket, *columns])))
 
 
-def _settle(frame: pd.DataFrame) -> pd.DataFrame:
+def _settle(frame: pd.DataFrame, parts: int) -> pd.DataFrame:
     """One part: codes of phrases after a smaller id, and triggers that dictionary phrases share."""
     trigger = _join(frame, "a", np.uint64)
     doc, th = _ids_of(frame, "c", "d", "e")
     if frame["kind"].iloc[0] == "code":
-        return _codes(doc, th, trigger)
+        return _codes(doc, th, trigger, parts)
     phrase = _join(frame, "b", np.uint64)
     order = np.lexsort((doc, phrase, trigger))
     trigger, phrase, doc, th = (x[order] for x in (trigger, phrase, doc, th))
@@ -227,7 +266,35 @@ def _settle(frame: pd.DataFrame) -> pd.DataFrame:
     several = np.bincount(group, weights=one)[group] > 1
     shared = keep & several
     return _codes(*(np.concatenate(x) for x in zip((known[1], known[2], known[0]),
-                                                   (doc[shared], th[shared], trigger[shared]))))
+                                                   (doc[shared], th[shared], trigger[shared]))), parts)
+
+
+def _by_text(frame: pd.DataFrame) -> pd.DataFrame:
+    """One bucket: a row per text with its codes, no more than it has phrases."""
+    doc, th = _ids_of(frame, "places", "docs", "ths")
+    code = _join(frame, "codes", np.uint64)
+    order = np.lexsort((th, doc))
+    doc, th, code = doc[order], th[order], code[order]
+    first = np.flatnonzero(_starts(doc, th)) if len(doc) else np.zeros(0, np.int64)
+    end = np.concatenate((first[1:], [len(doc)]))
+    return pd.DataFrame({"doc": doc[first], "th": th[first],
+                         "codes": [code[a:b].tobytes() for a, b in zip(first, end)]})
+
+
+def _of_text(code: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Codes of several texts, told apart by their text."""
+    return mix(code ^ mix(text.astype(np.uint64)))
+
+
+def _codes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The packed codes of a slice of texts, and the text of each."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    if offsets[0] == offsets[-1]:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    codes = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].view(np.uint64)
+    return codes, np.repeat(np.arange(len(column)), np.diff(offsets) // 8)
 
 
 def _counting(lengths: np.ndarray) -> np.ndarray:
@@ -263,7 +330,7 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
         held, size = [], 0
         for batch in batches:
             doc, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, j in slices(batch.column(2)):
+            for i, j in slices(batch.column(2), SLICE):
                 p = Parse(batch.column(2)[i:j], span, gram)
                 if len(p.at):
                     held.append((p.trigger, p.phrase, doc[i:j][p.text], th[i:j][p.text]))
@@ -274,30 +341,25 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
         if held:
             yield from _phrases_out(*(np.concatenate(c) for c in zip(*held)), parts)
 
-    codes = staged(rows.mapInArrow(parse, PHRASES).groupBy("kind", "part")
-                   .applyInPandas(_settle, "doc bigint, th bigint, codes binary"), "parse-codes")
-    # a text's codes: no more than it has phrases
-    wanted = codes.groupBy("doc", "th").agg(F.collect_list("codes").alias("codes"))
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        return _settle(frame, parts)
+
+    codes = staged(rows.mapInArrow(parse, PHRASES).groupBy("kind", "part").applyInPandas(settle, CODES)
+                   .groupBy("bucket").applyInPandas(_by_text, "doc bigint, th bigint, codes binary"), "parse-codes")
     may = IdFilter(codes, "doc", id_filter_bits)
-    suspects = rows.filter(may.may_have(F.col("doc"))).join(wanted, ["doc", "th"])
+    suspects = rows.filter(may.may_have(F.col("doc"))).join(codes, ["doc", "th"])
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             doc, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, j in slices(batch.column(2)):
+            for i, j in slices(batch.column(2), SLICE):
                 p = Parse(batch.column(2)[i:j], span, gram)
                 if not len(p.at):
                     continue
-                known = np.zeros(len(p.run), dtype=bool)
-                shared = np.zeros(len(p.run), dtype=bool)
-                code = known_code(p.trigger, p.phrase)
-                cut = np.searchsorted(p.text, np.arange(j - i + 1))
-                for t in range(j - i):
-                    a, b = cut[t:t + 2]
-                    have = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(3)[i + t].values])
-                    known[a:b] = np.isin(code[a:b], have)
-                    shared[a:b] = np.isin(p.trigger[a:b], have)
+                have = _of_text(*_codes_of(batch.column(3)[i:j]))
+                known = np.isin(_of_text(known_code(p.trigger, p.phrase), p.text), have)
+                shared = np.isin(_of_text(p.trigger, p.text), have)
                 own = p.offsets[p.text]
                 if known.any():
                     yield from marks_out(doc[i:j][p.text[known]], th[i:j][p.text[known]],
@@ -322,15 +384,16 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
         yield _batch(STRING_NAMES, "mark", part, [a, b, c, d, empty, empty])
 
     def strings_out(head, first, second, doc, th, at) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((doc, second, first, head))
-        first, second, doc, th, at = (x[order] for x in (first, second, doc, th, at))
-        new = _starts(head[order], first, second)
-        later = doc > _first_of_run(doc, new)
+        text, ids, hashes = _texts(doc, th)
+        half = np.uint64(32)
+        order, new = _runs(head >> half << half | first >> half, head, first, second)
+        later = _after_first(doc[order], new)
         if later.any():
-            yield from marks_out(doc[later], th[later], at[later], at[later] + span)
-        k = ~later
-        yield _batch(STRING_NAMES, "string", *_with_ids(
-            _part(mix(first[k]), parts), [first[k], second[k].astype(np.uint32), at[k].astype(np.int32)], doc[k], th[k]))
+            gone = order[later]
+            yield from marks_out(doc[gone], th[gone], at[gone], at[gone] + span)
+        k = order[~later]
+        yield _batch(STRING_NAMES, "string", *_with_places(
+            _part(mix(first[k]), parts), [first[k], second[k].astype(np.uint32), at[k].astype(np.int32)], text[k], ids, hashes))
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         if frame["kind"].iloc[0] == "mark":

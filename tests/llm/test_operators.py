@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -440,6 +441,26 @@ def test_phrases_of_one_trigger_are_told_apart(spark):
     assert [r.n_removed for r in out] == [0] * len(rows)
 
 
+def test_codes_of_texts_go_by_bucket():
+    """A part puts out a row a bucket of texts, however many texts it has codes for; each text gets its own back."""
+    rng = np.random.default_rng(4)
+    n, parts = 4000, 3
+    trigger, phrase = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for _ in "ab")
+    trigger, phrase = np.concatenate((trigger, trigger)), np.concatenate((phrase, phrase))
+    doc, th = np.arange(2 * n), rng.integers(-1 << 62, 1 << 62, 2 * n)
+    _, (a, b, c, d, e) = suffixdedup._with_ids(np.zeros(2 * n, np.int64), [trigger, phrase], doc, th)
+    frame = pd.DataFrame({"kind": ["phrase"], "part": [0], "a": a, "b": b, "c": c, "d": d, "e": e})
+    settled = suffixdedup._settle(frame, parts)
+    assert sorted(settled["bucket"]) == list(range(parts))
+    got = {(r.doc, r.th): np.frombuffer(r.codes, np.uint64).tolist()
+           for _, f in settled.groupby("bucket") for r in suffixdedup._by_text(f).itertuples()}
+    code = suffixdedup.known_code(trigger, phrase)
+    assert got == {(i, int(th[i])): [int(code[i])] for i in range(n, 2 * n)}
+    packed = pa.array([b"", np.array([5, 6], np.uint64).tobytes(), b"", np.array([7], np.uint64).tobytes()], pa.binary())
+    assert [x.tolist() for x in suffixdedup._codes_of(packed[1:])] == [[5, 6, 7], [0, 0, 2]]
+    assert [x.tolist() for x in suffixdedup._codes_of(packed[:1])] == [[], []]
+
+
 # ---- sharding
 
 def test_sharding(docs):
