@@ -113,14 +113,31 @@ def _dealt(doc: np.ndarray, th: np.ndarray, parts: int) -> np.ndarray:
     return _part(mix(th.astype(np.uint64) ^ mix(doc.astype(np.uint64))), parts)
 
 
-def _by_part(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[bytes]]]:
-    """The parts that occur, and each column's bytes for each of them."""
+def _packed_column(x: np.ndarray) -> bytes:
+    """A column's bytes, all lowest ones first and all highest ones last: bytes that are alike lie side by side,
+    so that a shuffle compresses what small or sorted numbers share."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _unpacked(x: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def _cut(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """The parts that occur, and each column's rows for each of them."""
     # numbers of 16 bits are sorted in one pass
     order = np.argsort(part.astype(np.uint16) if part.max(initial=0) < 1 << 16 else part, kind="stable")
     part = part[order]
     cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
     end = np.concatenate((cut[1:], [len(part)]))
-    return part[cut], [[c[order][a:b].tobytes() for a, b in zip(cut, end)] for c in columns]
+    return part[cut], [[c[a:b] for a, b in zip(cut, end)] for c in (c[order] for c in columns)]
+
+
+def _by_part(part: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The parts that occur, and each column packed for each of them."""
+    part, columns = _cut(part, columns)
+    return part, [[_packed_column(x) for x in c] for c in columns]
 
 
 def _starts(*keys: np.ndarray) -> np.ndarray:
@@ -171,16 +188,15 @@ def _with_places(part: np.ndarray, columns: list[np.ndarray], at: np.ndarray, do
 
     ``at`` is the place of each row's id in ``doc`` and ``th``.
     """
-    part, packed = _by_part(part, [*columns, at.astype(np.uint32)])
+    part, cut = _cut(part, [*columns, at.astype(np.uint32)])
     place, own_doc, own_th = [], [], []
-    for x in packed.pop():
-        x = np.frombuffer(x, np.uint32)
+    for x in cut.pop():
         used = np.zeros(len(doc), dtype=bool)
         used[x] = True
-        own_doc.append(doc[used].tobytes())
-        own_th.append(th[used].tobytes())
-        place.append((np.cumsum(used) - 1).astype(np.uint32)[x].tobytes())
-    return part, [*packed, place, own_doc, own_th]
+        own_doc.append(_packed_column(doc[used]))
+        own_th.append(_packed_column(th[used]))
+        place.append(_packed_column((np.cumsum(used) - 1).astype(np.uint32)[x]))
+    return part, [*([_packed_column(x) for x in c] for c in cut), place, own_doc, own_th]
 
 
 def _with_ids(part: np.ndarray, columns: list[np.ndarray], doc: np.ndarray, th: np.ndarray):
@@ -194,7 +210,7 @@ def _with_ids(part: np.ndarray, columns: list[np.ndarray], doc: np.ndarray, th:
 
 def _ids_of(frame: pd.DataFrame, place: str, doc: str, th: str) -> tuple[np.ndarray, np.ndarray]:
     base = np.concatenate(([0], np.cumsum([len(x) // 8 for x in frame[doc]])))
-    at = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(frame[place], base)])
+    at = np.concatenate([_unpacked(x, np.uint32).astype(np.int64) + b for x, b in zip(frame[place], base)])
     return _join(frame, doc, np.int64)[at], _join(frame, th, np.int64)[at]
 
 
@@ -238,7 +254,7 @@ def _phrases_out(trigger, phrase, doc, th, parts: int) -> Iterator[pa.RecordBatc
 
 
 def _join(frame: pd.DataFrame, column: str, kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, dtype=kind) for x in frame[column]])
+    return np.concatenate([_unpacked(x, kind) for x in frame[column]])
 
 
 def _codes(doc: np.ndarray, th: np.ndarray, code: np.ndarray, parts: int) -> pd.DataFrame:
@@ -345,7 +361,7 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
         return _settle(frame, parts)
 
     codes = staged(rows.mapInArrow(parse, PHRASES).groupBy("kind", "part").applyInPandas(settle, CODES)
-                   .groupBy("bucket").applyInPandas(_by_text, "doc bigint, th bigint, codes binary"), "parse-codes")
+                   .groupBy("bucket").applyInPandas(_by_text, "doc bigint, th bigint, codes binary"), "parse-codes", free=True)
     may = IdFilter(codes, "doc", id_filter_bits)
     suspects = rows.filter(may.may_have(F.col("doc"))).join(codes, ["doc", "th"])
 
@@ -409,7 +425,7 @@ def repeated_ranges(rows: DataFrame, span: int = 50, gram: int = 24, part_bytes:
 
     found = (suspects.select("doc", "th", "text", "codes").mapInArrow(suffixes, STRINGS)
              .groupBy("kind", "part").applyInPandas(merge, MARKS))
-    return staged(found, "removed-ranges")
+    return staged(found, "removed-ranges", free=True)
 
 
 def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text",
@@ -420,7 +436,7 @@ def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     marks = repeated_ranges(rows.select("doc", "th", "text"), span, id_filter_bits=id_filter_bits, **settings)
     per_text = staged(marks.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")),
-                      "removed")
+                      "removed", free=True)
     may = IdFilter(per_text, "doc", id_filter_bits)
     touched = may.may_have(F.col("doc"))
     schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"

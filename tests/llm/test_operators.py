@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -461,6 +463,49 @@ def test_codes_of_texts_go_by_bucket():
     assert [x.tolist() for x in suffixdedup._codes_of(packed[:1])] == [[], []]
 
 
+def test_repeats_leave_no_shuffle_files_behind(spark, docs, monkeypatch):
+    """Each written step frees the shuffle files it made: they do not pile up until the driver collects its garbage."""
+    disks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.name for d in disks.localDirs() for f in pathlib.Path(str(d)).rglob("shuffle_*")}
+
+    left, real = {}, suffixdedup.staged
+
+    def staged(df, name, *args, **named):
+        before = files()
+        out = real(df, name, *args, **named)
+        for _ in range(30):
+            left[name] = files() - before
+            if not left[name]:
+                break
+            time.sleep(0.1)
+        return out
+
+    monkeypatch.setattr(suffixdedup, "staged", staged)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf = spark.conf.get(setting)
+    got = suffixdedup.remove_repeats(docs, part_bytes=4000, chunk_bytes=3000, chunk_strings=200)
+    assert got.filter("n_removed > 0").count() > 0
+    assert left == {"parse-codes": set(), "removed-ranges": set(), "removed": set()}
+    assert spark.conf.get(setting) == conf
+
+
+def test_phrases_are_packed_to_compress():
+    """The high bytes of places and of sorted hashes lie side by side, so a shuffle writes them in a few bytes."""
+    rng = np.random.default_rng(8)
+    doc = np.repeat(np.arange(8000), 50)
+    th = np.repeat(rng.integers(-1 << 62, 1 << 62, 8000), 50)
+    trigger, phrase = (rng.integers(0, 1 << 64, len(doc), dtype=np.uint64) for _ in "ab")
+    out = [b for b in suffixdedup._phrases_out(trigger, phrase, doc, th, 8) if b.num_rows]
+    frame = pd.concat([b.to_pandas() for b in out if b.column(0)[0].as_py() == "phrase"])
+    ids = suffixdedup._ids_of(frame, "c", "d", "e")
+    got = zip(suffixdedup._join(frame, "a", np.uint64), suffixdedup._join(frame, "b", np.uint64), *ids)
+    assert sorted(got) == sorted(zip(trigger, phrase, doc, th))
+    size = sum(len(pa.compress(x, "lz4", asbytes=True)) for c in "abc" for x in frame[c])
+    assert size < 18 * len(doc)                              # 20 bytes each as they are
+
+
 # ---- sharding
 
 def test_sharding(docs):
